@@ -29,11 +29,11 @@ def snapshot_since(t):
     return df.select("event_id", F.date_format("updated_date", "yyyy-MM-dd").alias("day"))
 
 
-@query("snapshot_entities", "select 'events' as entity, cast(count(distinct cast(ts as date)) as bigint) as n_folders from events union all select 'orders', cast(count(distinct cast(o_orderdate as date)) as bigint) from orders where year(o_orderdate) = 1995 and month(o_orderdate) = 1")
+@query("snapshot_entities", "select 'events' as entity, cast(count(distinct cast(ts as date)) as bigint) as n_folders from events union all select distinct 'suppliers', cast(1 as bigint) from supplier")
 def snapshot_entities(t):
     root = scratch(t.spark, "snapshot")
     snapshot.write_snapshot(t.events, root, "events", "ts")
-    snapshot.write_snapshot(t.orders.where("year(o_orderdate) = 1995 and month(o_orderdate) = 1"), root, "orders", "o_orderdate")
+    snapshot.write_snapshot(t.supplier, root, "suppliers")
     folder = F.regexp_extract("path", "updated_date=([^/]+)", 1)
     return snapshot.list_files(t.spark, root).groupBy("entity").agg(F.count_distinct(folder).alias("n_folders"))
 

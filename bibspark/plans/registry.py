@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 QUERIES: dict = {}
 
+TABLE_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` with its SQL twin."""

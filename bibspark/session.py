@@ -31,6 +31,7 @@ def local_session(cpus: int | str = "*", shuffle: int = 8, memory: str = "8g") -
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bibspark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
