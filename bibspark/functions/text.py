@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN = r"[\p{L}\p{N}]+"
+BETWEEN_TOKENS = r"[^\p{L}\p{N}]+"
 
 # fixed values: accented small letters and what they fold to
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüýÿñç"
@@ -23,7 +23,7 @@ def fold(col: Column) -> Column:
 
 def tokens(col: Column) -> Column:
     """Runs of letters and digits, lower case, in order."""
-    return F.regexp_extract_all(F.lower(col), F.lit(TOKEN), F.lit(0))
+    return F.array_remove(F.split(F.lower(col), BETWEEN_TOKENS), "")
 
 
 def stem(word: Column) -> Column:

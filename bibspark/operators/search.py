@@ -13,6 +13,9 @@ from bibspark.functions.text import analyze, fold, ngram_list, normal_phrase, to
 # fixed values: BM25 parameters
 K1, B = 1.2, 0.75
 
+# words of the queries that may travel as a list
+MAX_VOCABULARY = 2_000
+
 # fixed values: boost of (all words, phrase) per field, by the number of fields searched
 BOOSTS = {
     1: [(1.0, 2.0)],
@@ -26,10 +29,16 @@ def _words(col: Column, exact: bool) -> Column:
     return tokens(col) if exact else analyze(col)
 
 
+def vocabulary(terms: DataFrame, limit: int = MAX_VOCABULARY):
+    """The distinct words of the queries as a list, if they are few; else the frame itself."""
+    got = [r[0] for r in terms.select("term").distinct().limit(limit + 1).collect()]
+    return got if len(got) <= limit else terms
+
+
 def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, only=None) -> DataFrame:
-    """Build postings. ``only`` (a list of words, or a frame with a column ``term``) keeps the words of
-    the queries before anything is shuffled; without it the text moves once, by record, and the grouping
-    reuses that partitioning."""
+    """Build postings. ``only`` keeps the words of some queries, a list or a frame with a column ``term``,
+    before anything moves; without it the text itself moves. Either way rows move once, by record, and
+    every later grouping by record and anything else reuses that partitioning."""
     cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
     texts = df.select(F.col(key).alias("id"), *fields)
     if only is None:
@@ -37,13 +46,13 @@ def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, onl
     rows = texts.select("id", F.explode(F.array(*cells)).alias("c")).select("id", "c.field", "c.words")
     rows = rows.select("id", "field", F.size("words").alias("doc_len"), F.posexplode("words").alias("position", "term"))
     if isinstance(only, DataFrame):
-        rows = rows.join(only.select("term").distinct(), "term", "left_semi")
+        rows = rows.join(only.select("term").distinct(), "term", "left_semi").repartition("id")
     elif only is not None:
-        rows = rows.where(F.col("term").isin(list(only)))
+        rows = rows.where(F.col("term").isin(list(only))).repartition("id")
     grouped = rows.groupBy("id", "field", "term").agg(
-        F.array_sort(F.collect_list("position")).alias("positions"), F.first("doc_len").alias("doc_len")
+        F.array_sort(F.collect_list("position")).alias("positions"), F.count("*").cast("int").alias("tf"), F.first("doc_len").alias("doc_len")
     )
-    return grouped.select("id", "field", "term", F.size("positions").alias("tf"), "positions", "doc_len")
+    return grouped.select("id", "field", "term", "tf", "positions", "doc_len")
 
 
 def write_postings(post: DataFrame, path: str, buckets: int = 64) -> str:
@@ -61,40 +70,68 @@ def read_postings(spark, path: str, terms: list[str], buckets: int = 64) -> Data
     return df.where(F.col("bucket").isin(found) & F.col("term").isin(terms)).drop("bucket")
 
 
-def field_stats(df: DataFrame, fields: list[str], exact: bool = True) -> DataFrame:
-    """(field, n_docs, avg_len): one row per field."""
-    sizes = [F.size(_words(F.col(f), exact)) for f in fields]
-    one = df.agg(*[x for i, s in enumerate(sizes) for x in (F.count_if(s > 0).alias(f"n{i}"), F.sum(F.when(s > 0, s)).alias(f"t{i}"))])
-    cells = [F.struct(F.lit(f).alias("field"), F.col(f"n{i}").alias("n_docs"), (F.col(f"t{i}") / F.col(f"n{i}")).alias("avg_len")) for i, f in enumerate(fields)]
-    return one.select(F.inline(F.array(*cells)))
+def term_stats(df: DataFrame, fields: list[str], vocab, exact: bool = True) -> DataFrame:
+    """(field, term, n_docs, avg_len, df) for some words, in one pass: each record gives its distinct
+    words, and one row of its own for the totals of the field."""
+    cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
+    rows = df.select(F.explode(F.array(*cells)).alias("c")).select("c.field", "c.words").where(F.size("words") > 0)
+    terms = F.array_distinct("words")
+    if not isinstance(vocab, DataFrame):
+        terms = F.filter(terms, lambda w: w.isin(list(vocab)))
+    total = F.array(F.lit(None).cast("string"))
+    rows = rows.select("field", F.size("words").alias("doc_len"), F.explode(F.concat(total, terms)).alias("term"))
+    if isinstance(vocab, DataFrame):
+        wanted = vocab.select("term").distinct().unionByName(vocab.sparkSession.range(1).select(F.lit(None).cast("string").alias("term")))
+        rows = rows.join(wanted.withColumnRenamed("term", "__t"), F.col("term").eqNullSafe(F.col("__t")), "left_semi")
+    counts = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("doc_len").alias("words"))
+    totals = counts.where("term is null").select("field", F.col("df").alias("n_docs"), (F.col("words") / F.col("df")).alias("avg_len"))
+    return counts.where("term is not null").drop("words").join(totals, "field")
 
 
 def query_terms(queries: DataFrame, exact: bool = True) -> DataFrame:
-    """(query_id, slot, term, n_terms, n_slots)."""
+    """(query_id, slot, term, lead, n_terms, n_slots): one row per word of the query; ``lead`` marks the
+    first place of a word."""
     words = queries.select("query_id", _words(F.col("text"), exact).alias("words"))
     sizes = [F.size(F.array_distinct("words")).alias("n_terms"), F.size("words").alias("n_slots")]
-    return words.select("query_id", *sizes, F.posexplode("words").alias("slot", "term"))
+    rows = words.select("query_id", "words", *sizes, F.posexplode("words").alias("slot", "term"))
+    lead = F.array_position("words", F.col("term")) - 1 == F.col("slot")
+    return rows.select("query_id", "slot", "term", lead.alias("lead"), "n_terms", "n_slots")
 
 
 def match_all(post: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, id, field) of records with all words of the query in one field."""
-    want = terms.select("query_id", "term", "n_terms").distinct()
-    hits = post.select("id", "field", "term").join(want, "term")
-    found = hits.groupBy("query_id", "id", "field").agg(F.count("*").alias("n"), F.first("n_terms").alias("n_terms"))
+    want = terms.where("lead").select("query_id", "term", "n_terms")
+    found = post.select("id", "field", "term").join(want, "term").groupBy("query_id", "id", "field").agg(
+        F.count("*").alias("n"), F.max("n_terms").alias("n_terms")
+    )
     return found.where("n = n_terms").select("query_id", "id", "field")
 
 
+def _cover(slop: int) -> Column:
+    """Window starts that a word's positions fill, for its place in the phrase."""
+    starts = F.transform("positions", lambda p: F.sequence(p - F.col("slot") - slop, p - F.col("slot")))
+    return F.array_distinct(F.flatten(starts)) if slop else F.transform("positions", lambda p: p - F.col("slot"))
+
+
+def _common(covers: Column) -> Column:
+    """Values in every one of some arrays."""
+    return F.aggregate(F.slice(covers, 2, F.greatest(F.size(covers), F.lit(1))), F.get(covers, F.lit(0)), lambda a, b: F.array_intersect(a, b))
+
+
+def _in_matched(rows: DataFrame, post: DataFrame, terms: DataFrame) -> DataFrame:
+    """Rows of the records that match some query; both sides lie by record already."""
+    return rows.join(match_all(post, terms).select("id").distinct(), "id", "left_semi")
+
+
 def match_near(post: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
     """Words of the query within ``slop`` moves of their places in the phrase: (query_id, id, field,
-    starts). Each word covers the window starts that would hold it; a match is a start covered by all."""
-    hits = post.select("id", "field", "term", "positions").join(terms, "term")
-    cover = F.flatten(F.transform("positions", lambda p: F.sequence(p - F.col("slot") - slop, p - F.col("slot"))))
-    sets = hits.select("query_id", "id", "field", "n_slots", F.array_distinct(cover).alias("cover") if slop else cover.alias("cover"))
+    starts). Each word covers the window starts that would hold it; a match is a start covered by all.
+    Positions are looked at only where all words occur."""
+    rows = _in_matched(post.select("id", "field", "term", "positions"), post, terms).join(terms, "term")
     # one short list per word of the query
-    found = sets.groupBy("query_id", "id", "field").agg(F.collect_list("cover").alias("covers"), F.first("n_slots").alias("n_slots"))
+    found = rows.groupBy("query_id", "id", "field").agg(F.collect_list(_cover(slop)).alias("covers"), F.max("n_slots").alias("n_slots"))
     found = found.where(F.size("covers") == F.col("n_slots"))
-    starts = F.aggregate(F.slice("covers", 2, F.greatest(F.col("n_slots"), F.lit(1))), F.get("covers", F.lit(0)), lambda a, b: F.array_intersect(a, b))
-    return found.select("query_id", "id", "field", starts.alias("starts")).where(F.size("starts") > 0)
+    return found.select("query_id", "id", "field", _common(F.col("covers")).alias("starts")).where(F.size("starts") > 0)
 
 
 def match_phrase(post: DataFrame, terms: DataFrame) -> DataFrame:
@@ -103,36 +140,45 @@ def match_phrase(post: DataFrame, terms: DataFrame) -> DataFrame:
 
 def scores(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact: bool = True, boosts=None) -> DataFrame:
     """Match set and score of multi-field search: records with all words in some field, scored by the
-    boosted sum over fields of BM25 for the words, and again, at a higher boost, for the phrase."""
+    boosted sum over fields of BM25 for the words, and again, at a higher boost, for the phrase. Matches
+    are found first, on words alone; only they meet the text again, where a row is scored by itself."""
     boosts = boosts or BOOSTS[len(fields)]
     terms = query_terms(queries, exact)
-    post = postings(df, key, fields, exact, only=terms)
-    sizes = field_stats(df, fields, exact)
+    vocab = vocabulary(terms)
+    matched = match_all(postings(df, key, fields, exact, only=vocab), terms)
     weights = F.create_map(*[F.lit(x) for f, (m, _) in zip(fields, boosts, strict=True) for x in (f, float(m))])
     phrase_weights = F.create_map(*[F.lit(x) for f, (_, p) in zip(fields, boosts, strict=True) for x in (f, float(p))])
-    df_counts = post.groupBy("field", "term").agg(F.count("*").alias("df"))
-    idf = df_counts.join(sizes, "field").select(
-        "field", "term", "avg_len", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
+    rarity = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = term_stats(df, fields, vocab, exact).select("field", "term", "avg_len", rarity.alias("idf"))
+    # one row per query and field, as long as the query
+    asked = terms.join(idf, "term").groupBy("query_id", "field").agg(
+        F.max("avg_len").alias("avg_len"),
+        F.transform(F.array_sort(F.collect_list(F.struct("slot", "term"))), lambda s: s["term"]).alias("phrase"),
+        F.collect_list(F.when(F.col("lead"), F.struct("term", "idf"))).alias("terms"),
     )
+    cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
+    texts = df.select(F.col(key).alias("id"), F.explode(F.array(*cells)).alias("c")).select("id", "c.field", "c.words")
+    rows = texts.join(matched, ["id", "field"]).join(asked, ["query_id", "field"])
+
+    def bm25(weight, tf):
+        return weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("words") / F.col("avg_len")))
+
+    def times(term):
+        return F.size(F.filter("words", lambda w: w == term))
 
-    def bm25(tf):
-        return F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / F.col("avg_len")))
+    def begins(w, i):
+        return (w == F.get("phrase", F.lit(0))) & (F.slice("words", i + 1, F.size("phrase")) == F.col("phrase"))
 
-    hits = post.join(terms.drop("slot").distinct(), "term").join(idf, ["field", "term"])
-    words = hits.groupBy("query_id", "id", "field", "n_terms", "doc_len", "avg_len").agg(
-        F.count("*").alias("n"), F.sum(bm25(F.col("tf"))).alias("score"), F.sum("idf").alias("idf")
-    ).where("n = n_terms")
-    phrases = match_phrase(post, terms).select("query_id", "id", "field", F.size("starts").alias("hits"))
-    both = words.join(phrases, ["query_id", "id", "field"], "left")
-    phrase = F.coalesce(bm25(F.col("hits")), F.lit(0.0))
-    total = F.col("score") * F.try_element_at(weights, F.col("field")) + phrase * F.try_element_at(phrase_weights, F.col("field"))
-    return both.groupBy("query_id", "id").agg(F.sum(total).alias("score"))
+    score = F.aggregate("terms", F.lit(0.0), lambda total, t: total + bm25(t["idf"], times(t["term"])))
+    whole = bm25(F.aggregate("terms", F.lit(0.0), lambda total, t: total + t["idf"]), F.size(F.filter("words", begins)))
+    total = score * F.try_element_at(weights, F.col("field")) + whole * F.try_element_at(phrase_weights, F.col("field"))
+    return rows.select("query_id", "id", total.alias("part")).groupBy("query_id", "id").agg(F.sum("part").alias("score"))
 
 
 def search_scope(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact: bool = False) -> DataFrame:
     """(query_id, id) with all words in one of the fields, stemmed or exact."""
     terms = query_terms(queries, exact)
-    return match_all(postings(df, key, fields, exact, only=terms), terms).select("query_id", "id").distinct()
+    return match_all(postings(df, key, fields, exact, only=vocabulary(terms)), terms).select("query_id", "id").distinct()
 
 
 def search_field(df: DataFrame, key: str, queries: DataFrame, field: str) -> DataFrame:

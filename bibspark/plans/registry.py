@@ -20,6 +20,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than the cluster has cores, as a table in one small file
+    does; a table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 class Tables:
     """Lazy readers of the tables under one folder; ``tables.orders`` is a DataFrame."""
 
@@ -33,7 +43,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        return spread(df) if name in TEXT_TABLES else df
 
     @property
     def works(self) -> DataFrame:

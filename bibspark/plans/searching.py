@@ -49,14 +49,14 @@ def analysed_words(t):
 @query("match_all_words", f"with {DOCS}, {ITEMS} select query_id, id from docs join items on list_has_all(docs.words, items.words)")
 def match_all(t):
     terms = S.query_terms(_items(t))
-    return S.match_all(S.postings(t.documents, "doc_id", ["text"], only=terms), terms).select("query_id", "id")
+    return S.match_all(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms).select("query_id", "id")
 
 
 @query("match_phrase", f"""
 with {DOCS}, {ITEMS} select query_id, id from docs join items on contains(' ' || array_to_string(docs.words, ' ') || ' ', ' ' || array_to_string(items.words, ' ') || ' ')""")
 def match_phrase(t):
     terms = S.query_terms(_items(t))
-    return S.match_phrase(S.postings(t.documents, "doc_id", ["text"], only=terms), terms).select("query_id", "id")
+    return S.match_phrase(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms).select("query_id", "id")
 
 
 @query("match_near", f"""
@@ -64,7 +64,7 @@ with {DOCS}, {TOKENS}, q as (select * from (values (0, 'the', 'of', 2), (1, 'die
 select distinct query_id, x.id from q join toks x on x.term = a join toks y on y.term = b and y.id = x.id and abs(y.position - 1 - x.position) <= n""")
 def match_near(t):
     terms = S.query_terms(_asked(t, "the of", "die und", "que de"))
-    return S.match_near(S.postings(t.documents, "doc_id", ["text"], only=terms), terms, 2).select("query_id", "id")
+    return S.match_near(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms, 2).select("query_id", "id")
 
 
 _BM25 = "ln(1 + (n_docs - df + 0.5) / (df + 0.5))"
