@@ -184,7 +184,7 @@ def starts_with(at: Leaf, s: str, min_len: int = 3, exact: bool = False) -> Colu
 
 
 def starts_any(at: Leaf, prefixes) -> Column:
-    return any_of(*[at.any(lambda x, p=p: x.startswith(p)) for p in prefixes])
+    return at.any(lambda x: any_of(*[x.startswith(p) for p in prefixes]))
 
 
 def in_region(df: DataFrame, path: str, region: DataFrame, wanted: bool = True) -> DataFrame:

@@ -56,9 +56,10 @@ def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, onl
 
 
 def write_postings(post: DataFrame, path: str, buckets: int = 64) -> str:
-    """Store postings in folders by word hash, sorted by word, so that a query reads only its words."""
+    """Store postings in folders by word hash, sorted by word, so that a query reads only its words. Rows are
+    dealt out by ranges of (bucket, word, id): few files per folder, and a hot word over many tasks."""
     out = post.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-    out.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    out.repartitionByRange("bucket", "term", "id").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
     return path
 
 
