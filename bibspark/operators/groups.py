@@ -170,21 +170,20 @@ def meta_sums(df: DataFrame, listed: str, paid: str, status: str, citations: str
 
 def stats(df: DataFrame, cols: list[str], pcts=(0.25, 0.5, 0.75), exact: bool = False) -> DataFrame:
     """Per column: percentiles cut to whole numbers, and the sum."""
-    spark = df.sparkSession
-
-    def row(c, quantiles):
-        cells = [quantiles[i].cast("bigint").alias(f"p{round(p * 100)}") for i, p in enumerate(pcts)]
-        return [F.lit(c).alias("column"), *cells, F.col("total").alias("sum")]
-
-    if exact:
-        found = exact_quantiles(df, cols, list(pcts))
-        parts = [df.agg(F.sum(c).alias("total")).select(*row(c, [F.lit(found[c, p]) for p in pcts])) for c in cols]
-    else:
-        parts = []
-        for c in cols:
-            both = df.agg(F.percentile_approx(c, [float(p) for p in pcts]).alias("q"), F.sum(c).alias("total"))
-            parts.append(both.select(*row(c, [F.col("q")[i] for i in range(len(pcts))])))
-    return reduce(DataFrame.unionByName, parts)
+    found = exact_quantiles(df, cols, list(pcts)) if exact else None
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs.append(F.sum(F.col(c).cast("double")).alias(f"s{i}"))
+        if not exact:
+            aggs.append(F.percentile_approx(c, [float(p) for p in pcts]).alias(f"q{i}"))
+    one = df.agg(*aggs)
+
+    def row(i, c):
+        at = [F.lit(found[c, p]) if exact else F.col(f"q{i}")[j] for j, p in enumerate(pcts)]
+        cells = [v.cast("bigint").alias(f"p{round(p * 100)}") for v, p in zip(at, pcts, strict=True)]
+        return F.struct(F.lit(c).alias("column"), *cells, F.col(f"s{i}").alias("sum"))
+
+    return one.select(F.inline(F.array(*[row(i, c) for i, c in enumerate(cols)])))
 
 
 def histogram(df: DataFrame, col: str, interval: float = 500, min_count: int = 15) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibspark.functions.paths import Leaf, leaf
+from bibspark.functions.text import normal_phrase, tokens
 
 MAX_LIST = 100
 
@@ -83,10 +84,10 @@ def all_in(at: Leaf, vs, exact: bool = False) -> Column:
 
 
 def in_frame(df: DataFrame, path: str, listed: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows whose scalar ``path`` is in the one column of ``listed``, whatever its length."""
-    key = listed.columns[0]
-    other = listed.select(F.col(key).alias("__v")).distinct()
-    return df.join(other, leaf(df, path).col.eqNullSafe(F.col("__v")), how)
+    """Rows whose scalar ``path`` is in the one column of ``listed``, whatever its length; with
+    ``left_anti`` the others, missing values among them."""
+    other = listed.select(F.col(listed.columns[0]).alias("__v"))
+    return df.join(other, leaf(df, path).col == F.col("__v"), how)
 
 
 def not_null(at: Leaf) -> Column:
@@ -292,16 +293,30 @@ def any_leaf(df: DataFrame, v, under: list[str] | None = None) -> Column:
 
 def in_label(df: DataFrame, pairs: DataFrame, key: str, item: str, label: DataFrame, mode: str = "any") -> DataFrame:
     """Rows of ``df`` tied, through ``pairs(key, item)``, to any or every item of a saved list."""
-    listed = label.select(F.col(label.columns[0]).alias(item)).distinct()
+    listed = label.select(F.col(label.columns[0]).alias(item))
     hits = pairs.join(listed, item, "left_semi")
     if mode == "any":
         return df.join(hits.select(key), key, "left_semi")
-    size = listed.agg(F.count("*").alias("__size"))
+    size = listed.agg(F.count_distinct(item).alias("__size"))
     full = hits.groupBy(key).agg(F.count_distinct(item).alias("__n")).join(F.broadcast(size), F.col("__n") == F.col("__size"))
     return df.join(full.select(key), key, "left_semi")
 
 
+def phrase(at: Leaf, q: str) -> Column:
+    """The words of the query stand in a row in some value."""
+    whole = F.concat(normal_phrase(F.lit(q)), F.lit(" "))
+    return at.any(lambda x: F.concat(normal_phrase(x), F.lit(" ")).contains(whole))
+
+
+def all_words(at: Leaf, q: str) -> Column:
+    """Some value has all words of the query."""
+    want = tokens(F.lit(q))
+    return at.any(lambda x: F.size(F.array_except(want, tokens(x))) == 0)
+
+
 OPS = {
+    "phrase": phrase,
+    "search": all_words,
     "is": eq,
     "is not": lambda at, v: not_(eq(at, v)),
     "in": is_in,

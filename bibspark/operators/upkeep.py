@@ -27,7 +27,7 @@ def apply_delta(base: DataFrame, delta: DataFrame, key, version: str, tie: list[
 
 def drop_merged(df: DataFrame, key: str, merged: DataFrame) -> DataFrame:
     """Remove records whose id was merged away; ``merged`` has a column ``id``."""
-    return df.join(merged.select(F.col("id").alias(key)).distinct(), key, "left_anti")
+    return df.join(merged.select(F.col("id").alias(key)), key, "left_anti")
 
 
 def merge_log(log: DataFrame, add: DataFrame | None = None, remove: DataFrame | None = None) -> DataFrame:
@@ -65,6 +65,9 @@ def seed(df: DataFrame, pred: Column, out: str | None = None, sort: list[str] =
     picked = df.where(pred)
     if out is None:
         return picked
+    if partition:
+        # few files per folder, and a large folder still from many tasks
+        picked = picked.hint("rebalance", *partition)
     if sort:
         picked = picked.sortWithinPartitions(*sort)
     writer = picked.write.mode("overwrite")

@@ -39,17 +39,25 @@ def write_snapshot(df: DataFrame, root: str, entity: str, date_col: str | None =
     """Write gzip JSON Lines, in ``updated_date`` folders if a date column is named."""
     path = f"{root.rstrip('/')}/{entity}"
     if date_col:
-        df = df.withColumn("updated_date", F.date_format(date_col, "yyyy-MM-dd"))
+        # rebalancing gives few files per folder, and splits a day that holds much of the data
+        df = df.withColumn("updated_date", F.date_format(date_col, "yyyy-MM-dd")).hint("rebalance", "updated_date")
     writer = df.write.mode("overwrite").option("compression", "gzip")
     (writer.partitionBy("updated_date") if date_col else writer).json(path)
     return path
 
 
-def land(lines: DataFrame, id_path: str = "$.id", col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Landing rows ``(id, raw)`` and, apart, the lines that hold no parsable record with an id."""
+def land_all(lines: DataFrame, id_path: str = "$.id", col: str = "value") -> DataFrame:
+    """(id, raw, line, kind) of all lines in one pass; ``line`` is kept for rejects only."""
     parsed = lines.select(col, F.try_parse_json(col).alias("raw"))
     keyed = parsed.withColumn("id", F.try_variant_get("raw", id_path, "string"))
-    return keyed.where("id is not null").select("id", "raw"), keyed.where("id is null").select(F.col(col).alias("line"))
+    kind = F.when(F.col("id").isNull(), "reject").otherwise("good")
+    return keyed.select("id", "raw", F.when(F.col("id").isNull(), F.col(col)).alias("line"), kind.alias("kind"))
+
+
+def land(lines: DataFrame, id_path: str = "$.id", col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Landing rows ``(id, raw)`` and, apart, the lines that hold no parsable record with an id."""
+    rows = land_all(lines, id_path, col)
+    return rows.where("kind = 'good'").select("id", "raw"), rows.where("kind = 'reject'").select("line")
 
 
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -58,7 +66,7 @@ def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def load_new(spark: SparkSession, root: str, ledger_path: str, out: str, id_path: str = "$.id", pattern: str = "*.gz") -> int:
     """Load the files that the ledger does not name, then add them to it; returns their number. The
-    rows go to one folder per load, so a load that died is simply written again."""
+    rows go to one folder per load, good and rejected apart, so a load that died is simply written again."""
     if _exists(spark, ledger_path):
         done = spark.read.schema(LEDGER).parquet(ledger_path)
     else:
@@ -68,9 +76,7 @@ def load_new(spark: SparkSession, root: str, ledger_path: str, out: str, id_path
     if not fresh:
         return 0
     load = done.select("loaded_at").distinct().count()
-    good, bad = land(read_lines(spark, fresh), id_path)
-    good.write.mode("overwrite").parquet(f"{out}/good/load={load}")
-    bad.write.mode("overwrite").parquet(f"{out}/rejects/load={load}")
+    land_all(read_lines(spark, fresh), id_path).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/load={load}")
     rows = spark.createDataFrame([(p,) for p in fresh], "path string").select("path", F.current_timestamp().alias("loaded_at"))
     rows.coalesce(1).write.mode("append").parquet(ledger_path)
     return len(fresh)

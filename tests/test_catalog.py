@@ -46,6 +46,8 @@ CASES = [
     (("is_oa", "=", True), ["W100", "W400"]),
     (("is_xpac", "=", True), ["W300"]),
     (("doi_starts_with", "is", "10.2"), ["W400"]),
+    (("display_name", "search", "CATS deep"), ["W100"]),
+    (("display_name", "phrase", "deep cats"), ["W100"]),
     (("has_old_authors", "is", True), ["W100", "W200"]),
 ]
 
