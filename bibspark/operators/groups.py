@@ -213,10 +213,11 @@ def measures(work: str, citations: str | None = None, impact: str | None = None,
     return out
 
 
-def metrics(pairs: DataFrame, entity, work: str, aggs: list[Column]) -> DataFrame:
-    """Metrics per entity over its distinct works: a work counts once however many rows tie them."""
+def metrics(pairs: DataFrame, entity, work: str, cols: list[str], aggs: list[Column]) -> DataFrame:
+    """Metrics per entity over its distinct works: a work counts once however many rows tie them. ``cols``
+    are the columns of the work that the metrics read."""
     keys = [entity] if isinstance(entity, str) else list(entity)
-    return pairs.dropDuplicates([*keys, work]).groupBy(*keys).agg(*aggs)
+    return pairs.select(*keys, work, *cols).distinct().groupBy(*keys).agg(*aggs)
 
 
 def having(rows: DataFrame, node: dict) -> DataFrame:

@@ -86,7 +86,7 @@ def group_flag(t):
 with places as (select n_nationkey as code, r_name as continent from nation join region on n_regionkey = r_regionkey),
  cells as (select l_orderkey, nullif(s_nationkey, 5) as code from lineitem join supplier on l_suppkey = s_suppkey)
 select continent as key, cast(count(code) as bigint) as count from (select r_name as continent from region) left join (select l_orderkey, code, continent as c from cells join places using (code)) on c = continent group by 1
-union all select 'unknown', cast(count(*) as bigint) from cells where code is null""")
+union all select 'unknown', cast(count(*) as bigint) from cells where code is null having count(*) > 0""")
 def group_continent(t):
     cells = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(F.nullif(F.col("s_nationkey"), F.lit(5)).alias("code"))
     return G.group_continent(cells, "code", continent_table(t))
@@ -96,13 +96,11 @@ def group_continent(t):
 with places as (select n_nationkey as code, r_name as continent from nation join region on n_regionkey = r_regionkey),
  cells as (select distinct c_custkey, continent from (select c_custkey, unnest(case when c_acctbal < 0 then [] when c_acctbal < 1000 then [c_nationkey] else [c_nationkey, c_nationkey // 2, c_nationkey // 3] end) as code from customer) join places using (code))
 select r_name as key, cast(count(c_custkey) as bigint) as count from region left join cells on continent = r_name group by 1
-union all select 'unknown', cast(count(*) as bigint) from customer where c_acctbal < 0""")
+union all select 'unknown', cast(count(*) as bigint) from customer where c_acctbal < 0 having count(*) > 0""")
 def group_continent_arrays(t):
     k = F.col("c_nationkey")
     codes = F.when(F.col("c_acctbal") < 0, F.array().cast("array<int>")).when(F.col("c_acctbal") < 1000, F.array(k)).otherwise(F.array(k, (k / 2).cast("int"), (k / 3).cast("int")))
-    out = G.group_continent(t.customer.select(codes.alias("codes")), "codes", continent_table(t))
-    # the unknown row also where it is 0, as the SQL shows it
-    return G.zero_fill(out, t.region.agg(F.lit(G.UNKNOWN).alias("key")))
+    return G.group_continent(t.customer.select(codes.alias("codes")), "codes", continent_table(t))
 
 
 @query("group_by_classes", with_works("""
@@ -236,6 +234,9 @@ def brand_orders(t):
     return line_orders(t).join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", "o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
 
 
+_WORK_COLS = ["o_totalprice", "o_custkey", "o_orderstatus"]
+
+
 def _measures():
     return G.measures("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", ("F", "O"))
 
@@ -246,7 +247,7 @@ def _rounded(df):
 
 @query("entity_metrics", f"select p_brand, {_MEASURES} from {_PAIRS} group by 1")
 def entity_metrics(t):
-    return _rounded(G.metrics(brand_orders(t), "p_brand", "o_orderkey", _measures()))
+    return _rounded(G.metrics(brand_orders(t), "p_brand", "o_orderkey", _WORK_COLS, _measures()))
 
 
 @query("entity_metrics_having", f"select p_brand, {_MEASURES} from {_PAIRS} group by 1 having count(*) > 2300 or (avg(o_totalprice) > 252000 and sum(o_custkey) > 1000)")
@@ -254,7 +255,7 @@ def entity_metrics_having(t):
     node = {"join": "or", "filters": [
         {"field": "works_count", "op": ">", "value": 2300},
         {"join": "and", "filters": [{"field": "impact_mean", "op": ">", "value": 252000}, {"field": "citations_sum", "op": ">", "value": 1000}]}]}
-    return _rounded(G.having(G.metrics(brand_orders(t), "p_brand", "o_orderkey", _measures()), node))
+    return _rounded(G.having(G.metrics(brand_orders(t), "p_brand", "o_orderkey", _WORK_COLS, _measures()), node))
 
 
 @query("works_summary", f"select {_MEASURES} from orders")

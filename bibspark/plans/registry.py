@@ -67,7 +67,8 @@ class Tables:
             "lang",
             F.struct(F.col("source").alias("id"), F.nullif(F.col("source"), F.lit("src3")).alias("name")).alias("source"),
             F.col("n_chars").alias("cited_by_count"),
-            F.transform(lines, sentence).alias("sentences"),
+            # a generator keeps the optimizer from repeating the array in every use of it
+            F.explode(F.array(F.transform(lines, sentence))).alias("sentences"),
         )
 
 

@@ -54,7 +54,7 @@ def test_zero_fill_stops_at_a_page(spark):
 def test_metrics_count_a_work_once(spark):
     rows = [("e", 1, 10, "gold"), ("e", 1, 10, "gold"), ("e", 2, 30, "closed"), ("f", 1, 10, "gold")]
     df = spark.createDataFrame(rows, "entity string, work int, cites int, status string")
-    got = G.metrics(df, "entity", "work", G.measures("work", "cites", None, "status")).orderBy("entity").collect()
+    got = G.metrics(df, "entity", "work", ["cites", "status"], G.measures("work", "cites", None, "status")).orderBy("entity").collect()
     assert [tuple(r) for r in got] == [("e", 2, 40, 0.5), ("f", 1, 10, 1.0)]
 
 
