@@ -9,6 +9,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from bibspark.functions import ids
 from bibspark.functions.paths import leaf
 from bibspark.operators import groups, paging, project, search
 from bibspark.operators import predicates as P
+from bibspark.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -273,7 +275,7 @@ def searched(df: DataFrame, entity: EntityDef, text: str) -> DataFrame:
     """Rows that match, with their score raised by citations."""
     fields = [f for f in entity.search_fields if f in df.columns]
     boosts = list(entity.search_boosts or search.BOOSTS[len(entity.search_fields)])[: len(fields)]
-    asked = df.sparkSession.createDataFrame([(0, text)], "query_id int, text string")
+    asked = local_frame(df.sparkSession, query_id=pa.array([0], pa.int32()), text=pa.array([text]))
     found = search.scores(df, entity.key, asked, fields, boosts=boosts).select(F.col("id").alias(entity.key), "score")
     out = df.join(found, entity.key)
     if entity.citations and entity.citations in df.columns:

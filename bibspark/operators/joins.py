@@ -6,10 +6,11 @@ broadcast: the optimizer does that below its own size limit, and adaptive execut
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.session import checkpointed
+from bibspark.session import checkpointed, local_frame
 
 
 def entity_works(entity: DataFrame, bridge: DataFrame, works: DataFrame, entity_on: tuple[str, str], work_on: tuple[str, str]) -> DataFrame:
@@ -71,8 +72,10 @@ def multi_get(df: DataFrame, key: str, ids: list, max_ids: int = 100) -> DataFra
     """Records for a short list of ids in the order asked, with NULLs for ids that are absent."""
     if not 1 <= len(ids) <= max_ids:
         raise ValueError(f"ask for 1 to {max_ids} ids")
-    asked = df.sparkSession.createDataFrame(list(enumerate(ids)), "position int, asked string")
-    hit = df.where(F.col(key).cast("string").isin([str(i) for i in ids]))
+    names = [str(i) for i in ids]
+    asked = local_frame(df.sparkSession, position=pa.array(range(len(names)), pa.int32()), asked=pa.array(names))
+    # ids of the column's own type reach the scan
+    hit = df.where(F.col(key).isin([F.lit(n).try_cast(df.schema[key].dataType) for n in names]))
     return asked.join(hit, F.col("asked") == F.col(key).cast("string"), "left").orderBy("position")
 
 

@@ -6,33 +6,33 @@ from pyspark.sql import functions as F
 from bibspark.session import checkpointed
 
 
-def closure(edges: DataFrame, max_depth: int = 50) -> DataFrame:
-    """(ancestor, node, depth) over ``child, parent`` edges, each pair once at its least depth. Pairs seen
-    before are not followed again, so a cycle ends; each round is cut through the checkpoint folder."""
-    edges = edges.select("child", "parent").distinct()
-    seen = front = checkpointed(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node"), F.lit(1).alias("depth")))
-    for depth in range(2, max_depth + 1):
-        step = front.join(edges, F.col("node") == F.col("parent")).select("ancestor", F.col("child").alias("node")).distinct()
-        fresh = step.join(seen, ["ancestor", "node"], "left_anti").withColumn("depth", F.lit(depth))
-        front = checkpointed(fresh)
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front)
-    return seen
-
-
-def descendants(edges: DataFrame, max_depth: int = 50) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
+    """(ancestor, node) over ``child, parent`` edges, each pair once. Every round joins the pairs to
+    themselves, which doubles the distance covered; the pairs are a finite set, so cycles end too. Each
+    round is cut through the checkpoint folder."""
+    pairs = checkpointed(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node")).distinct())
+    size = pairs.count()
+    while True:
+        above, below = pairs.toDF("ancestor", "via"), pairs.toDF("via", "node")
+        grown = checkpointed(pairs.unionByName(above.join(below, "via").select("ancestor", "node")).distinct())
+        grown_size = grown.count()
+        if grown_size == size:
+            return grown
+        pairs, size = grown, grown_size
+
+
+def descendants(edges: DataFrame) -> DataFrame:
     """Number of distinct descendants of each node that has any."""
-    pairs = closure(edges, max_depth).where("ancestor <> node")
+    pairs = closure(edges).where("ancestor <> node")
     return pairs.groupBy(F.col("ancestor").alias("node")).agg(F.count("*").alias("descendants"))
 
 
-def lineage(edges: DataFrame, exclude: DataFrame | None = None, max_depth: int = 50) -> DataFrame:
+def lineage(edges: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
     """(node, ancestor) with each node in its own lineage; excluded ancestors are left out, but paths
     through them are followed."""
-    up = closure(edges, max_depth).select("node", "ancestor")
+    up = closure(edges).where("ancestor <> node").select("node", "ancestor")
     nodes = edges.select(F.col("child").alias("node")).unionByName(edges.select(F.col("parent").alias("node"))).distinct()
-    out = up.unionByName(nodes.select("node", F.col("node").alias("ancestor"))).distinct()
+    out = up.unionByName(nodes.select("node", F.col("node").alias("ancestor")))
     if exclude is not None:
         gone = exclude.select(F.col(exclude.columns[0]).alias("ancestor"))
         out = out.join(gone, "ancestor", "left_anti").select("node", "ancestor")

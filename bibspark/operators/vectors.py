@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from bibspark.functions.text import fold, tokens
 from bibspark.operators.paging import best_per_key, inject
-from bibspark.session import checkpointed
+from bibspark.session import checkpointed, local_frame
 
 BLOCK = 1024
 ROWS = 4096
@@ -111,7 +111,8 @@ def knn_join(
 
 def knn(corpus: DataFrame, key: str, vector: str, query: list[float], k: int = 10, min_sim: float | None = 0.5, unit: bool = False) -> DataFrame:
     """Nearest records of one vector: (id, similarity), best first."""
-    one = corpus.sparkSession.createDataFrame([(0, [float(x) for x in query])], "query_id int, vector array<double>")
+    vector_type = pa.list_(pa.float64())
+    one = local_frame(corpus.sparkSession, query_id=pa.array([0], pa.int32()), vector=pa.array([[float(x) for x in query]], vector_type))
     return knn_join(corpus, key, vector, one, k, min_sim, unit).select("id", "similarity").orderBy(F.desc("similarity"), "id")
 
 

@@ -1,5 +1,6 @@
 """Text search over whole documents."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bibspark.functions import text as X
@@ -7,7 +8,7 @@ from bibspark.functions.paths import leaf
 from bibspark.operators import predicates as P
 from bibspark.operators import search as S
 from bibspark.plans.registry import query
-from bibspark.session import scratch
+from bibspark.session import local_frame, scratch
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
 _FOLD = r"regexp_replace(strip_accents(lower({})), '\p{{M}}+', '', 'g')"
@@ -21,7 +22,7 @@ def _items(t):
 
 
 def _asked(t, *texts):
-    return t.spark.createDataFrame(list(enumerate(texts)), "query_id int, text string")
+    return local_frame(t.spark, query_id=pa.array(range(len(texts)), pa.int32()), text=pa.array(texts))
 
 
 @query("postings", f"with {DOCS}, {TOKENS} select id, term, cast(count(*) as bigint) as tf, array_to_string(list(position order by position), ',') as positions from toks group by 1, 2")

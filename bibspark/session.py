@@ -3,10 +3,8 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -67,7 +65,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast when a count, stopped at ``rows``, proves the frame small; else leave the
-    choice of join to the optimizer."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def local_frame(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A short list from the caller as a frame. It goes in through Arrow as a local relation, whose size
+    the optimizer knows, so it can decide on a broadcast before anything is shuffled."""
+    return spark.createDataFrame(pa.table(columns))
