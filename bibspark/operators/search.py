@@ -5,7 +5,7 @@ answered in one job.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibspark.functions.text import analyze, fold, ngram_list, normal_phrase, tokens
@@ -85,8 +85,12 @@ def term_stats(df: DataFrame, fields: list[str], vocab, exact: bool = True) -> D
         wanted = vocab.select("term").distinct().unionByName(vocab.sparkSession.range(1).select(F.lit(None).cast("string").alias("term")))
         rows = rows.join(wanted.withColumnRenamed("term", "__t"), F.col("term").eqNullSafe(F.col("__t")), "left_semi")
     counts = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("doc_len").alias("words"))
-    totals = counts.where("term is null").select("field", F.col("df").alias("n_docs"), (F.col("words") / F.col("df")).alias("avg_len"))
-    return counts.where("term is not null").drop("words").join(totals, "field")
+    # as many rows as the queries have words, and one more per field
+    in_field = Window.partitionBy("field")
+    total = F.col("term").isNull()
+    n_docs = F.max(F.when(total, F.col("df"))).over(in_field)
+    avg_len = F.max(F.when(total, F.col("words") / F.col("df"))).over(in_field)
+    return counts.select("field", "term", "df", n_docs.alias("n_docs"), avg_len.alias("avg_len")).where("term is not null")
 
 
 def query_terms(queries: DataFrame, exact: bool = True) -> DataFrame:
@@ -159,7 +163,8 @@ def scores(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact
     )
     cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
     texts = df.select(F.col(key).alias("id"), F.explode(F.array(*cells)).alias("c")).select("id", "c.field", "c.words")
-    rows = texts.join(matched, ["id", "field"]).join(asked, ["query_id", "field"])
+    # the few columns of a match meet the query first; the text moves once, by record
+    rows = texts.join(matched.join(asked, ["query_id", "field"]), ["id", "field"])
 
     def bm25(weight, tf):
         return weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("words") / F.col("avg_len")))
@@ -170,9 +175,14 @@ def scores(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact
     def begins(w, i):
         return (w == F.get("phrase", F.lit(0))) & (F.slice("words", i + 1, F.size("phrase")) == F.col("phrase"))
 
-    score = F.aggregate("terms", F.lit(0.0), lambda total, t: total + bm25(t["idf"], times(t["term"])))
-    whole = bm25(F.aggregate("terms", F.lit(0.0), lambda total, t: total + t["idf"]), F.size(F.filter("words", begins)))
-    total = score * F.try_element_at(weights, F.col("field")) + whole * F.try_element_at(phrase_weights, F.col("field"))
+    # weight and frequency of each word, and last those of the phrase
+    found = F.transform("terms", lambda t: F.struct(t["idf"].alias("idf"), times(t["term"]).alias("tf"), F.try_element_at(weights, F.col("field")).alias("boost")))
+    whole = F.struct(
+        F.aggregate("terms", F.lit(0.0), lambda total, t: total + t["idf"]).alias("idf"),
+        F.size(F.filter("words", begins)).alias("tf"),
+        F.try_element_at(phrase_weights, F.col("field")).alias("boost"),
+    )
+    total = F.aggregate(F.concat(found, F.array(whole)), F.lit(0.0), lambda total, s: total + s["boost"] * bm25(s["idf"], s["tf"]))
     return rows.select("query_id", "id", total.alias("part")).groupBy("query_id", "id").agg(F.sum("part").alias("score"))
 
 
