@@ -130,7 +130,7 @@ select id, len(list_distinct(list_transform(sentences, lambda s: s.opener))) as
  len(list_distinct(list_filter(list_transform(sentences, lambda s: s.mark), lambda m: m is not null))) as marks from works"""))
 def distinct_counts(t):
     df = t.works
-    return df.select("id", *[F.size(leaf(df, p).distinct).alias(n) for n, p in (("openers", "sentences.opener"), ("terms", "sentences.terms"), ("marks", "sentences.mark"))])
+    return df.select("id", *[F.size(leaf(df, p).distinct).cast("bigint").alias(n) for n, p in (("openers", "sentences.opener"), ("terms", "sentences.terms"), ("marks", "sentences.mark"))])
 
 
 @query("topic_share", """

@@ -138,7 +138,7 @@ def flatten_nested(t):
     flat = upkeep.flatten(t.works, {
         "id": "id", "lang": "lang", "source_name": F.coalesce("source.name", F.lit("none")), "cited_by_count": "cited_by_count",
         "n_sentences": F.size("sentences"), "marks": "sentences.mark", "terms": "sentences.terms"})
-    return flat.select("id", "lang", "source_name", "cited_by_count", "n_sentences", F.array_join(F.array_sort("marks"), " ").alias("marks"), F.size("terms").alias("n_terms"))
+    return flat.select("id", "lang", "source_name", "cited_by_count", F.col("n_sentences").cast("bigint"), F.array_join(F.array_sort("marks"), " ").alias("marks"), F.size("terms").cast("bigint").alias("n_terms"))
 
 
 @query("flatten_json_records", "select event_id, cast(props->>'$.k' as bigint) as k from events")
@@ -159,7 +159,7 @@ def stale(t):
 select id, s.no - 1 as position, s.words as words, s.opener as opener, coalesce(s.mark, '') as mark from (select id, unnest(sentences) as s from works)"""))
 def normalise(t):
     child = upkeep.normalise(t.works, "id", {"sentences": "sentences"})["sentences"]
-    return child.select("id", "position", "words", "opener", F.coalesce("mark", F.lit("")).alias("mark"))
+    return child.select("id", F.col("position").cast("bigint"), F.col("words").cast("bigint"), "opener", F.coalesce("mark", F.lit("")).alias("mark"))
 
 
 @query("first_related_element", with_works("""

@@ -200,7 +200,7 @@ select doc_id, pos, replace(replace(marked, chr(1), '>>'), chr(2), '<<') as frag
  select doc_id, generate_subscripts(f, 1) - 1 as pos, unnest(list_transform(f, lambda p: regexp_replace(regexp_replace(p, '{_ONE}', '\\1\x01\\2\x02\\3', 'g'), '{_ONE}', '\\1\x01\\2\x02\\3', 'g'))) as marked
  from (select doc_id, list_filter({_PIECES}, lambda p: regexp_matches(p, '{_ONE}'))[1:5] as f from documents))""")
 def highlight(t):
-    return t.documents.select("doc_id", F.posexplode(S.highlight(F.col("text"), ["the", "und"])).alias("pos", "fragment"))
+    return t.documents.select("doc_id", F.posexplode(S.highlight(F.col("text"), ["the", "und"])).alias("pos", "fragment")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("affiliation_search", f"""
