@@ -385,10 +385,14 @@ def suggest(phrases: DataFrame, q: str, n: int = 10, min_len: int = 3) -> DataFr
     return hits.orderBy(F.desc("count"), "phrase").limit(n)
 
 
-def autocomplete(df: DataFrame, q: str, cols: list[str], key: str, name: str, tie: str, n: int = 10) -> DataFrame:
+def autocomplete(df: DataFrame, q: str, cols: list[str], key: str, name: str, tie: str, n: int = 10, norm=None) -> DataFrame:
     """The first ``n`` records one of whose texts has the query as a phrase prefix: exact names first,
-    then names that start with it, then by the tie column."""
+    then names that start with it, then by the tie column. With ``norm``, an id normaliser, a query that
+    is an id in any spelling gives the record with that id instead."""
     hit = reduce(lambda a, b: a | b, [F.coalesce(phrase_prefix(F.col(c), q), F.lit(False)) for c in cols])
+    if norm is not None:
+        asked = norm(F.lit(q))
+        hit = F.when(asked.isNotNull(), F.col(key) == asked).otherwise(hit)
     weight = F.when(F.lower(F.col(name)) == q.lower(), 1000).when(F.lower(F.col(name)).startswith(q.lower()), 500).otherwise(1)
     out = df.where(hit).withColumn("weight", weight)
     return out.orderBy(F.desc("weight"), F.desc_nulls_last(tie), key).limit(n)

@@ -4,6 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bibspark.functions import text as X
+from bibspark.functions.ids import norm_catalog
 from bibspark.functions.paths import leaf
 from bibspark.operators import predicates as P
 from bibspark.operators import search as S
@@ -242,6 +243,12 @@ def autocomplete_inner(t):
     return S.autocomplete(t.part, "bol", ["p_name"], "p_partkey", "p_name", "p_size").select("p_partkey", "p_name", "p_size")
 
 
+@query("autocomplete_by_id", "select 'W100' || p_partkey as id, p_name from part where p_partkey = 42")
+def autocomplete_by_id(t):
+    parts = t.part.select(F.concat(F.lit("W100"), "p_partkey").alias("id"), "p_name", "p_size")
+    return S.autocomplete(parts, "https://example.org/works/w10042", ["p_name"], "id", "p_name", "p_size", norm=norm_catalog).select("id", "p_name")
+
+
 def _name_frames(t):
     return {
         "part": t.part.select(F.concat(F.lit("P"), "p_partkey").alias("id"), F.col("p_name").alias("display_name"), F.col("p_size").alias("cited_by_count")),

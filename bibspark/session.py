@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key's partition even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # top-k per key is limited on the map side up to this k
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.session.timeZone": "UTC",
 }
 
