@@ -36,8 +36,8 @@ def vocabulary(terms: DataFrame, limit: int = MAX_VOCABULARY):
 
 
 def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, only=None) -> DataFrame:
-    """Build postings. ``only`` keeps the words of some queries, a list or a frame with a column ``term``,
-    before anything moves; without it the text itself moves. Either way rows move once, by record, and
+    """Build postings. ``only`` keeps the words of some queries (a list, a frame with a column ``term`` or a
+    test on ``term``) before anything moves; without it the text itself moves. Either way rows move once, by record, and
     every later grouping by record and anything else reuses that partitioning."""
     cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
     texts = df.select(F.col(key).alias("id"), *fields)
@@ -48,7 +48,8 @@ def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, onl
     if isinstance(only, DataFrame):
         rows = rows.join(only.select("term").distinct(), "term", "left_semi").repartition("id")
     elif only is not None:
-        rows = rows.where(F.col("term").isin(list(only))).repartition("id")
+        test = only if isinstance(only, Column) else F.col("term").isin(list(only))
+        rows = rows.where(test).repartition("id")
     grouped = rows.groupBy("id", "field", "term").agg(
         F.array_sort(F.collect_list("position")).alias("positions"), F.count("*").cast("int").alias("tf"), F.first("doc_len").alias("doc_len")
     )
@@ -287,26 +288,38 @@ def wildcard_pattern(text: str, min_prefix: int = 3) -> tuple[str, str]:
     return text[:cut], f"^{body}$"
 
 
-def match_wildcard(post: DataFrame, text: str, vocabulary: bool = False) -> DataFrame:
-    """Records with a word for each pattern of the query; ``vocabulary=True`` gives the words instead."""
+def wildcard_tests(text: str) -> list[Column]:
+    """A test on ``term`` for each pattern of the query."""
     tests = []
     for word in text.split():
         prefix, pattern = wildcard_pattern(word)
         tests.append(F.col("term").startswith(prefix) & F.col("term").rlike(pattern))
-    hits = post.where(reduce(lambda a, b: a | b, tests))
+    return tests
+
+
+def any_test(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
+def match_wildcard(post: DataFrame, text: str, vocabulary: bool = False) -> DataFrame:
+    """Records with a word for each pattern of the query; ``vocabulary=True`` gives the words instead."""
+    tests = wildcard_tests(text)
+    hits = post.where(any_test(tests))
     if vocabulary:
         return hits.select("term").distinct()
     found = hits.groupBy("id", "field").agg(*[F.bool_or(t).alias(f"t{i}") for i, t in enumerate(tests)])
     return found.where(reduce(lambda a, b: a & b, [F.col(f"t{i}") for i in range(len(tests))])).select("id").distinct()
 
 
+def fuzzy_test(word: str, distance: int = 2) -> Column:
+    """A test on ``term`` for an edit distance; most words fail by their length alone."""
+    near = F.length("term").between(len(word) - distance, len(word) + distance)
+    return near & F.levenshtein(F.col("term"), F.lit(word.lower()), distance).between(0, distance)
+
+
 def match_fuzzy(post: DataFrame, word: str, distance: int = 2) -> DataFrame:
-    """Records with a word within an edit distance. Each word is measured once, on the vocabulary."""
-    close = post.select("term").distinct().where(
-        F.length("term").between(len(word) - distance, len(word) + distance)
-        & F.levenshtein(F.col("term"), F.lit(word.lower()), distance).between(0, distance)
-    )
-    return post.join(close, "term", "left_semi").select("id").distinct()
+    """Records with a word within an edit distance."""
+    return post.where(fuzzy_test(word, distance)).select("id").distinct()
 
 
 def citation_boost(score: Column, cited: Column, how: str = "sqrt") -> Column:

@@ -131,11 +131,12 @@ def knn_lsh(corpus: DataFrame, key: str, vector: str, query: list[float], k: int
 
 def short_query_inject(found: DataFrame, titles: DataFrame, q: str, key: str, title: str, cited: str, n: int = INJECTED) -> DataFrame:
     """For queries of up to three words, add the most cited records with all words in the title, at the
-    median similarity of the vector results. ``found`` is a short ranked list (id, similarity)."""
+    median similarity of the vector results. ``found`` is a ranked list (id, similarity)."""
     if len(q.split()) > SHORT_WORDS:
         return found
-    scores = sorted((r[0] for r in found.select("similarity").collect()), reverse=True)
-    median = scores[len(scores) // 2] if scores else NO_RESULT_SCORE
+    # the middle of the list, best first
+    middle = found.orderBy(F.desc("similarity")).offset(found.count() // 2).limit(1).first()
+    median = middle["similarity"] if middle else NO_RESULT_SCORE
     words = tokens(fold(F.lit(q)))
     hits = titles.where(F.size(F.array_except(words, tokens(fold(F.col(title))))) == 0)
     top = hits.orderBy(F.desc_nulls_last(cited), key).limit(n).select(F.col(key).alias("id"), F.lit(float(median)).alias("similarity"))

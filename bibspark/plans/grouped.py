@@ -269,9 +269,9 @@ def works_behind(t):
     return G.underlying(rows, "l_partkey", "o_orderkey")
 
 
-@query("distinct_entities", "select distinct p_brand, p_type from lineitem join part on l_partkey = p_partkey where l_quantity > 49")
+@query("distinct_entities", "select distinct p_brand, p_type from lineitem join part on l_partkey = p_partkey")
 def distinct_entities(t):
-    rows = t.lineitem.where("l_quantity > 49").join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return G.distinct_entities(rows, ["p_brand", "p_type"])
 
 

@@ -131,17 +131,17 @@ def match_tree_negated(t):
 
 @query("match_wildcard", rf"with {DOCS}, {TOKENS} select id from toks group by 1 having bool_or(regexp_matches(term, '^the.*$')) and bool_or(regexp_matches(term, '^w.s$'))")
 def match_wildcard(t):
-    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"]), "the* w?s")
+    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"], only=S.any_test(S.wildcard_tests("the* w?s"))), "the* w?s")
 
 
 @query("match_wildcard_vocabulary", rf"with {DOCS}, {TOKENS} select distinct term from toks where regexp_matches(term, '^tio.*n$')")
 def match_wildcard_vocabulary(t):
-    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"]), "tio*n", vocabulary=True)
+    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"], only=S.any_test(S.wildcard_tests("tio*n"))), "tio*n", vocabulary=True)
 
 
 @query("match_fuzzy", f"with {DOCS}, {TOKENS} select distinct id from toks where levenshtein(term, 'there') <= 1")
 def match_fuzzy(t):
-    return S.match_fuzzy(S.postings(t.documents, "doc_id", ["text"]), "there", 1)
+    return S.match_fuzzy(S.postings(t.documents, "doc_id", ["text"], only=S.fuzzy_test("there", 1)), "there", 1)
 
 
 _SPANS = "a as (select x.id, y.position as e from toks x join toks y on y.id = x.id and x.term = 'of' and y.term = 'the' and y.position = x.position + 1)"
