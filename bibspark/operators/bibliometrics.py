@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibspark.operators.paging import best_per_key
-from bibspark.session import checkpointed
+from bibspark.session import checkpointed, ship
+
+ship(__name__)
 
 
 def _by(keys) -> list[str]:

@@ -20,7 +20,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from bibspark.functions.text import fold, tokens
 from bibspark.operators.paging import best_per_key, inject
-from bibspark.session import checkpointed, local_frame
+from bibspark.session import checkpointed, local_frame, ship
+
+ship(__name__)
 
 BLOCK = 1024
 ROWS = 4096

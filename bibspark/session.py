@@ -1,9 +1,11 @@
 """Session helpers: SQL settings that fit skewed data, scratch space and size-checked broadcast."""
 
+import sys
 import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -18,6 +20,11 @@ SETTINGS = {
 }
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to the tasks by value, so that executors need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators count on."""
     for key, value in SETTINGS.items():
