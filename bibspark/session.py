@@ -32,8 +32,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", shuffle: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the bench; on a cluster the caller brings its own."""
+def local_session(cpus: int | str = "*", shuffle: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session for tests and the bench; on a cluster the caller brings its own. ``shared`` becomes
+    ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bibspark")
@@ -43,6 +44,8 @@ def local_session(cpus: int | str = "*", shuffle: int = 8, memory: str = "8g") -
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -50,14 +53,18 @@ def local_session(cpus: int | str = "*", shuffle: int = 8, memory: str = "8g") -
     return spark
 
 
+_OWN: dict = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="bibspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # the setting cannot be changed in a running session
+        base = _OWN.get(spark.sparkContext.applicationId) or tempfile.mkdtemp(prefix="bibspark-")
+        _OWN[spark.sparkContext.applicationId] = base
     return base
 
 

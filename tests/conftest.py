@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,10 +10,8 @@ from bibspark.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle=4, memory="4g")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bibspark-tests-"))
+def spark(tmp_path_factory):
+    session = local_session(4, shuffle=4, memory="4g", shared=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
