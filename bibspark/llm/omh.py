@@ -1,7 +1,7 @@
 """Document fingerprints by Order MinHash, and each document's edited copy.
 
 A text's k-mers are runs of ``K`` words (fewer words: the whole sequence), each numbered by how often it
-has occurred before in the text. The hash of k-mer and number puts each into one of ``TUPLES * 2`` bins
+has occurred before in the text. A k-mer is told by the high 34 bits of its hash. The hash of k-mer and number puts each into one of ``TUPLES * 2`` bins
 and ranks it there. A bin keeps its minimal k-mer and where it stands; the two k-mers of a tuple are put in
 the order they have in the text and hashed together. Two texts agree in a tuple when they share both k-mers
 in the same order, so moved passages lower the likeness too, as they raise the edit distance.
@@ -31,7 +31,6 @@ PLACE_BITS = 30
 MASK = (1 << PLACE_BITS) - 1
 ROWS_PER_RANGE = 1_000
 MOST_RANGES = 10_000
-SPACE = r"[\x20\x09-\x0D]+"
 
 
 def ranges(docs: DataFrame, rows_per_range: int) -> list[int]:
@@ -86,34 +85,63 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(following, F.lit(1), half))
 
 
-def occurrences(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Per key and k-mer occurrence: code, the numbered k-mer's hash, and place. The mix of all keys leads
-    the window's order, so rows are sorted by one number that tells nearly all of them apart."""
-    trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
-    words = texts.where(trimmed != "").select(*keys, F.split(trimmed, SPACE).alias("words"))
-    each = words.select(*keys, "words", F.posexplode_outer("words").alias("pos", "word"))
-    each = each.where(F.col("pos") <= F.greatest(F.size("words") - k, F.lit(0)))
-    kmer = F.xxhash64("word", *[F.get("words", F.col("pos") + i) for i in range(1, k)])
-    each = each.select(*keys, kmer.alias("kmer"), "pos").withColumn("mix", F.xxhash64(*keys, "kmer"))
-    nth = F.row_number().over(W.partitionBy("mix", *keys, "kmer").orderBy("pos"))
-    return each.select(*keys, F.xxhash64("kmer", nth).alias("code"), F.col("pos").cast("bigint").alias("place"))
+def once(column: Column) -> Column:
+    """The column as a generator's one row: the optimizer then keeps its value instead of making it anew for
+    every use. The outer form is taken since a filter on the array would be inferred for the other."""
+    return F.explode_outer(F.array(column))
+
+
+def words_of(text: Column) -> Column:
+    """Words as an array; cut at one character, which takes no pattern matching."""
+    return F.array_remove(F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " "), "")
+
+
+def minima(each: DataFrame, keys: list[str], bins: int) -> DataFrame:
+    """Rows of keys, kmer, nth and place: per key an array with each bin's least code, its place below it."""
+    code = F.xxhash64("kmer", "nth")
+    least = code.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.col("place").cast("bigint"))
+    per_bin = each.select(*keys, F.pmod(code, F.lit(bins)).alias("bin"), least.alias("least")).groupBy(*keys, "bin").agg(F.min("least").alias("least"))
+    found = per_bin.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "least"))).alias("found"))
+    found = found.select(*keys, once(F.col("found")).alias("found"))
+    every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")), lambda b: F.col("found")[b])
+    return found.select(*keys, every.alias("least"))
 
 
 def signatures(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPLES) -> DataFrame:
     """Per key, an array of ``tuples`` hashes, null where a tuple has no k-mer; texts without words have no row.
-    With the input dealt by some of the keys, nothing is dealt again."""
-    bins, rank = 2 * tuples, F.col("code")
-    least = rank.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.col("place"))
-    each = occurrences(texts, keys, k).select(*keys, F.pmod(rank, F.lit(bins)).alias("bin"), least.alias("least"))
-    per_bin = each.groupBy(*keys, "bin").agg(F.min("least").alias("least"))
-    minima = per_bin.groupBy(*keys).agg(*[F.min(F.when(F.col("bin") == b, F.col("least"))).alias(f"b{b}") for b in range(bins)])
-
-    def joint(a: Column, b: Column) -> Column:
+    First occurrences need no numbering: the least place of a k-mer is the first. Only texts that repeat a k-mer
+    are numbered. With the input dealt by some of the keys, k-mers are not dealt again."""
+    rows = texts.select(*keys, once(words_of(F.col("text"))).alias("words")).where(F.size("words") > 0)
+    high, after = F.lit(~MASK), range(1, k)
+
+    def kmer(word: Column, i: Column) -> Column:
+        return F.xxhash64(word, *[F.get("words", i + j) for j in after]).bitwiseAND(high)
+
+    last = F.greatest(F.size("words") - k, F.lit(0))
+    first = rows.select(*keys, "words", F.posexplode_outer("words").alias("place", "word")).where(F.col("place") <= last)
+    first = first.select(*keys, kmer(F.col("word"), F.col("place")).alias("kmer"), F.lit(1).alias("nth"), "place")
+    again = rows.select(*keys, once(F.transform(F.slice("words", F.lit(1), last + 1), kmer)).alias("kmers"))
+    again = again.where(F.size(F.array_distinct("kmers")) < F.size("kmers"))
+    placed = F.sort_array(F.transform("kmers", lambda x, i: x.bitwiseOR(i.cast("bigint"))))
+    again = again.select(*keys, once(placed).alias("placed"))
+    same = lambda x, i: F.shiftright(F.get("placed", F.greatest(i - 1, F.lit(0))), PLACE_BITS) == F.shiftright(x, PLACE_BITS)
+    again = again.select(*keys, F.explode_outer(F.filter("placed", lambda x, i: (i > 0) & same(x, i))).alias("x"))
+    again = again.select(*keys, F.col("x").bitwiseAND(high).alias("kmer"), F.col("x").bitwiseAND(F.lit(MASK)).alias("place"))
+    # the mix leads the order: one number that tells nearly all groups apart
+    order = W.partitionBy("mix", *keys, "kmer").orderBy("place")
+    again = again.withColumn("mix", F.xxhash64(*keys, "kmer")).withColumn("nth", F.row_number().over(order) + 1)
+    bins = 2 * tuples
+    both = minima(first, keys, bins).union(minima(again, keys, bins)).groupBy(*keys).agg(F.collect_list("least").alias("l"))
+    merged = F.when(F.size("l") == 2, F.zip_with(F.get("l", F.lit(0)), F.get("l", F.lit(1)), lambda a, b: F.least(a, b))).otherwise(F.get("l", F.lit(0)))
+    least = both.select(*keys, once(merged).alias("least"))
+
+    def joint(t: Column) -> Column:
+        a, b = F.get("least", t * 2), F.get("least", t * 2 + 1)
         ha, hb, at = F.shiftright(a, PLACE_BITS), F.shiftright(b, PLACE_BITS), F.lit(MASK)
         pair = F.when(a.bitwiseAND(at) <= b.bitwiseAND(at), F.xxhash64(ha, hb)).otherwise(F.xxhash64(hb, ha))
         return F.when(a.isNotNull() | b.isNotNull(), pair.bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    return minima.select(*keys, F.array(*[joint(F.col(f"b{2 * t}"), F.col(f"b{2 * t + 1}")) for t in range(tuples)]).alias("signature"))
+    return least.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(tuples - 1)), joint).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -134,7 +162,7 @@ def fingerprints(docs: DataFrame, k: int = K, tuples: int = TUPLES, rows_per_ran
     next_signature and near_next for the next document."""
     near = neighbours(docs, rows_per_range).withColumn("edit", edited(F.col("text"), F.col("next_text")))
     heads = near.select("part", "row", "doc_id", F.length("text").alias("n_chars"), F.sha2("edit", 256).alias("edited_sha256"), "next_part", "next_row")
-    both = near.select("part", "row", F.posexplode(F.array("text", "edit")).alias("kind", "text"))
+    both = near.select("part", "row", F.posexplode_outer(F.array("text", "edit")).alias("kind", "text"))
     found = signatures(both, ["part", "row", "kind"], k, tuples)
     none = F.array_repeat(F.lit(None).cast("bigint"), tuples)
     sides = found.groupBy("part", "row").agg(

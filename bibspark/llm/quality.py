@@ -1,7 +1,7 @@
 """Quality by weak labels.
 
-Labellers are rules that vote good (1), bad (-1) or not at all (0), in SQL. Expectation-maximisation finds how often each
-votes what on good and on bad documents, and the share of good ones, without any label. It runs over counts of
+Labellers are rules that vote good (1), bad (-1) or not at all (0). Expectation-maximisation finds how often each
+one votes what on good and on bad documents, and the share of good ones, without any label. It runs over counts of
 vote patterns, of which there are at most 3 to the number of labellers, counted over all documents; so it is exact
 for the whole corpus. Posteriors label a bounded sample (``SAMPLE`` documents, by a hash of their ids), on which a
 linear scorer over hashed character n-grams and a few shape cells is trained; it scores every text.
@@ -16,57 +16,70 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibspark.llm import hashed
-from bibspark.llm.common import checkpointed, documents, lookup, n_words, whole
+from bibspark.llm.common import checkpointed, documents, lookup, whole
 from bibspark.session import ship
 
 BITS = 11
-SHAPE = 48
+STEPS = 16
+SHAPE = 8 * STEPS
 SAMPLE = 3000
 KEEP = 0.5
 # fixed values: frequent function words of four languages
 FUNCTION_WORDS = "the of and to in a is that for it on with as are der die das und ist von mit den ein zu le la les des et est un une que en de el los y se del las con por"
 
 
-def votes() -> dict[str, Column]:
-    """One vote per labeller, from the columns that ``measured`` adds."""
-    c = F.col
-
-    def vote(good: Column, bad: Column) -> Column:
-        return F.coalesce(F.when(bad, -1).when(good, 1), F.lit(0)).cast("tinyint")
-
-    words, chars = F.greatest(c("_words"), F.lit(1)), F.greatest(c("_chars"), F.lit(1))
-    return {
-        "length": vote(c("_words") >= 30, c("_words") < 5),
-        "word_size": vote((chars / words).between(3, 12), (chars / words < 2.5) | (chars / words > 20)),
-        "symbols": vote(c("_symbols") / words < 0.05, c("_symbols") / words > 0.3),
-        "capitals": vote(c("_capitals") / chars < 0.1, c("_capitals") / chars > 0.3),
-        "variety": vote((words >= 30) & (c("_different") / F.sqrt(words) > 4), (words >= 30) & (c("_different") / F.sqrt(words) < 1.5)),
-        "lines": vote((c("_lines") >= 3) & (c("_lines") == c("_different_lines")), (c("_lines") >= 4) & (c("_different_lines") / c("_lines") < 0.5)),
-        "sentences": vote((c("_ends") / words).between(0.005, 0.4), (words >= 30) & ((c("_ends") == 0) | (c("_ends") / words > 0.6))),
-        "function_words": vote(c("_function") / words > 0.08, (words >= 30) & (c("_function") / words < 0.01)),
-    }
-
-
-def measured(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id and the votes of every document, with its text if asked."""
-    text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("bigint"), whole(text).alias("text"))
-    tokens = F.split(F.lower(text), r"[\x20\x09-\x0D]+")
-    lines = F.split(text, "\n")
-    listed = "|".join(FUNCTION_WORDS.split())
-    rows = rows.withColumns(
-        {
-            "_chars": F.length(text), "_words": n_words(text), "_symbols": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,;:!?'\"()-]+")),
-            "_capitals": F.regexp_count(text, F.lit(r"\p{Lu}")), "_different": F.size(F.array_distinct(tokens)), "_lines": F.size(lines),
-            "_different_lines": F.size(F.array_distinct(lines)), "_ends": F.regexp_count(text, F.lit(r"[.!?](?=\s|\z)")),
-            "_function": F.regexp_count(F.lower(text), F.lit(rf"\b(?:{listed})\b")),
-        }
-    )
-    return rows.select("doc_id", *["text"] * with_text, *[v.alias(k) for k, v in votes().items()])
+FUNCTION = frozenset(w.encode() for w in FUNCTION_WORDS.split())
+SYMBOLS = b"#$%&*|<>{}[]\\^~_=+@`"
+CAPITALS = bytes(range(65, 91))
+LABELLERS = ["symbols", "symbol_ends", "capitals", "variety", "runs", "lines", "sentences", "function_words"]
+
+
+def vote(good: bool, bad: bool) -> int:
+    return -1 if bad else int(good)
+
+
+def measure(text: str | None) -> tuple[list[int], list[int]]:
+    """Votes of the labellers in their order, and cells of the text's shape for the scorer."""
+    raw = (text or "").encode()
+    words = raw.lower().split()
+    n, size = max(1, len(words)), max(1, len(raw))
+    long = len(words) >= 30
+    symbols = (len(raw) - len(raw.translate(None, SYMBOLS))) / n
+    capitals = (len(raw) - len(raw.translate(None, CAPITALS))) / size
+    variety = len(set(words)) / math.sqrt(n)
+    lines = raw.split(b"\n")
+    different = len(set(lines))
+    ends = sum(w.endswith((b".", b"!", b"?")) for w in words) / n
+    function = sum(map(FUNCTION.__contains__, words)) / n
+    runs = sum(map(bytes.__eq__, words, words[1:])) / n
+    odd = sum(w[-1] in SYMBOLS for w in words) / n
+    found = [
+        vote(symbols < 0.02, symbols > 0.15),
+        vote(odd < 0.02, odd > 0.15),
+        vote(capitals < 0.1, capitals > 0.3),
+        vote(variety > 2 or not long, long and variety < 1.5),
+        vote(runs < 0.05, runs > 0.3),
+        vote(different > 0.9 * len(lines), len(lines) >= 4 and different < 0.5 * len(lines)),
+        vote(0.01 <= ends <= 0.4, long and (ends == 0 or ends > 0.6)),
+        vote(function > 0.05, long and function < 0.02),
+    ]
+    steps = (len(words).bit_length(), 2 * variety, 10 * symbols, 30 * capitals, 10 * different / len(lines), 10 * ends, 30 * function, 20 * runs)
+    return found, [STEPS * k + min(STEPS - 1, int(x)) for k, x in enumerate(steps)]
+
+
+def patterns(docs: DataFrame) -> DataFrame:
+    """doc_id and the votes on it as one number in base 3."""
+
+    def run(batches):
+        for batch in batches:
+            found = [sum((v + 1) * 3**k for k, v in enumerate(measure(t.as_py())[0])) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int32())], ["doc_id", "pattern"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, pattern int")
 
 
 class Labellers:
@@ -75,15 +88,14 @@ class Labellers:
     def __init__(self, names: list[str], patterns: np.ndarray, counts: np.ndarray, rounds: int = 200):
         self.names, m = names, len(names)
         n = max(1.0, float(counts.sum()))
-        majority = patterns.sum(1)
-        p = 1 / (1 + np.exp(-majority.astype(float)))  # a first guess: the sum of votes
+        p = np.where((patterns < 0).any(1), 0.1, 0.9)  # a first guess: any vote against raises doubt
         one = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)  # pattern, labeller, vote
         for _ in range(rounds):
             self.prior = float(np.clip((p * counts).sum() / n, 1e-6, 1 - 1e-6))
             good = np.einsum("p,pjv->jv", p * counts, one) + 0.1
             bad = np.einsum("p,pjv->jv", (1 - p) * counts, one) + 0.1
             self.good, self.bad = good / good.sum(1, keepdims=True), bad / bad.sum(1, keepdims=True)
-            self.odds = np.log(self.good / self.bad) if len(counts) else np.zeros((m, 3))
+            self.odds = np.log(self.good / self.bad)
             logit = math.log(self.prior / (1 - self.prior)) + np.einsum("pjv,jv->p", one, self.odds)
             new = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
             if len(p) and np.abs(new - p).max() < 1e-9:
@@ -96,43 +108,43 @@ class Labellers:
         wrong = self.prior * self.good[:, 0] + (1 - self.prior) * self.bad[:, 2]
         return dict(zip(self.names, right / (right + wrong)))
 
-    def posterior(self) -> Column:
-        logit = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, odds in zip(self.names, self.odds):
-            logit = logit + F.when(F.col(name) < 0, float(odds[0])).when(F.col(name) > 0, float(odds[2])).otherwise(float(odds[1]))
-        return 1 / (1 + F.exp(-logit))
+    def log_odds(self, votes: list[int]) -> float:
+        return math.log(self.prior / (1 - self.prior)) + sum(odds[v + 1] for odds, v in zip(self.odds, votes))
+
+    def posterior(self, votes: list[int]) -> float:
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.log_odds(votes)))))
+
+
+def unpacked(pattern: int) -> list[int]:
+    return [pattern // 3**k % 3 - 1 for k in range(len(LABELLERS))]
 
 
 def label(voted: DataFrame) -> Labellers:
-    names = [c for c in voted.columns if c != "doc_id"]
-    rows = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).collect()  # at most 3 ** labellers
-    patterns = np.array([[r[c] for c in names] for r in rows], int).reshape(-1, len(names))
-    return Labellers(names, patterns, np.array([r["n"] for r in rows], float))
+    """EM over the counts of patterns, at most 3 ** labellers of them."""
+    rows = voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
+    return Labellers(LABELLERS, np.array([unpacked(r["pattern"]) for r in rows], int).reshape(-1, len(LABELLERS)), np.array([r["n"] for r in rows], float))
 
 
-def cells(text: str | None, bits: int) -> np.ndarray:
-    """Hashed n-grams of the text as written, and one cell each for its length, variety and word repeats."""
-    text = text or ""
-    words = text.lower().split()
-    shape = np.zeros(SHAPE, np.float32)
-    n = max(1, len(words))
-    shape[min(15, n.bit_length())] = 0.3
-    shape[16 + min(15, int(4 * len(set(words)) / n**0.5) // 2)] = 0.3
-    shape[32 + min(15, int(16 * sum(a == b for a, b in zip(words, words[1:])) / n))] = 0.3
-    return np.concatenate([hashed.unit(hashed.grams(text, bits, letters=False)), shape])
+def cells(text: str | None, shape: list[int], bits: int) -> np.ndarray:
+    """Hashed n-grams of the text as written, and a cell for each measure of its shape."""
+    extra = np.zeros(SHAPE, np.float32)
+    extra[shape] = 0.3
+    return np.concatenate([hashed.unit(hashed.grams(text or "", bits, letters=False)), extra])
 
 
-def scorer(docs: DataFrame, labelled: DataFrame, sample: int, bits: int) -> np.ndarray:
+def scorer(docs: DataFrame, voted: DataFrame, labels: Labellers, sample: int, bits: int) -> np.ndarray:
     """Weights of the scorer. Sampled by id first; features and training stay in tasks."""
-    ids = labelled.where("doc_id is not null").groupBy("doc_id").agg(F.min("posterior").alias("posterior"))
-    chosen = checkpointed(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("c_id"), "posterior"))
+    ids = voted.where("doc_id is not null").select("doc_id").distinct()
+    chosen = checkpointed(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("c_id")))
     rows = lookup(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("c_id"), "inner", limit=sample)
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct(whole(F.col("text")).alias("text"), "posterior")).alias("r")).select("r.*")
+    rows = rows.groupBy("doc_id").agg(F.min(whole(F.col("text"))).alias("text"))
 
     def features(batches):
         for batch in batches:
-            found = [cells(t.as_py(), bits).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("posterior"), pa.array(found, pa.binary())], ["posterior", "cells"])
+            texts = [t.as_py() for t in batch.column("text")]
+            seen = [measure(t) for t in texts]
+            made = [cells(t, shape, bits).tobytes() for t, (_, shape) in zip(texts, seen)]
+            yield pa.RecordBatch.from_arrays([pa.array([labels.posterior(v) for v, _ in seen]), pa.array(made, pa.binary())], ["posterior", "cells"])
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["posterior", "cells"])
@@ -149,17 +161,17 @@ def quality(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS, keep: float
     ship(hashed.__name__)
     ship(__name__)
     docs = documents(docs)
-    voted = checkpointed(measured(docs))
-    found = label(voted)
-    labelled = voted.withColumn("posterior", found.posterior())
-    w = scorer(docs, labelled, sample, bits)
-
+    voted = checkpointed(patterns(docs))
+    labels = label(voted)
+    w = scorer(docs, voted, labels, sample, bits)
 
     def run(batches):
         for batch in batches:
-            z = np.array([cells(t.as_py(), bits) @ w[:-1] + w[-1] for t in batch.column("text")], float)
+            texts = [t.as_py() for t in batch.column("text")]
+            seen = [measure(t) for t in texts]
+            z = np.array([cells(t, shape, bits) @ w[:-1] + w[-1] for t, (_, shape) in zip(texts, seen)], float)
             score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("posterior"), pa.array(score)], ["doc_id", "posterior", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([labels.posterior(v) for v, _ in seen]), pa.array(score)], ["doc_id", "posterior", "score"])
 
-    rows = measured(docs, with_text=True).withColumn("posterior", found.posterior()).select("doc_id", "posterior", "text")
-    return rows.mapInArrow(run, "doc_id bigint, posterior double, score double").withColumn("keep", F.col("score") >= keep)
+    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, posterior double, score double")
+    return rows.withColumn("keep", F.col("score") >= keep)

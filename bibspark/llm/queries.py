@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibspark.llm import ann, chat, lang, mixing, omh, packing, quality, secrets, simhash, tokens
+from bibspark.llm import ann, chat, lang, mixing, omh, packing, quality, secret_scan, simhash, tokens
 from bibspark.llm.common import checkpointed
 
 QUERIES: dict = {}
@@ -66,9 +66,9 @@ def op7(docs: DataFrame) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["base"])
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
-    return secrets.secrets(docs).select(
+    return secret_scan.secrets(docs).select(
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(spans).alias("spans"),
     )
 
 

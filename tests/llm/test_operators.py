@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bibspark.llm import ann, chat, lang, mixing, omh, packing, quality, queries, secrets, simhash, tokens
+from bibspark.llm import ann, chat, lang, mixing, omh, packing, quality, queries, secret_scan, simhash, tokens
 from bibspark.llm.common import DOCUMENT
 
 SCHEMA = ", ".join(f"{c} {t}" for c, t in DOCUMENT.items()) + ", size int, score string, spans string, part int, row int, mark string, length int"
@@ -259,14 +259,14 @@ def test_secrets(spark, some):
             for kind in ("assign", "access", "hex"):
                 assert r[f"n_{kind}"] == sum(b.startswith(kind) for b in base)
             assert set(base) <= set(r["spans"].split(",")) | {""}
-    weak = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s.split(":")[0] in secrets.WEAK] for r in queries.op7(made).collect()}
+    weak = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s.split(":")[0] in secret_scan.WEAK] for r in queries.op7(made).collect()}
     assert weak[6] == ["secret", "endpoint"] and weak[7] == weak[8] == weak[11] == [] and weak[9] == ["identifier"]
     assert weak[10] == ["identifier", "secret"] and weak[12] == ["secret"]
 
 
 def test_masked(spark):
     made = spark.createDataFrame([(i, t, None, "s", None) for i, t in enumerate(SECRETS)], ", ".join(f"{c} {t}" for c, t in DOCUMENT.items()))
-    out = {r["doc_id"]: r for r in secrets.masked(made).collect()}
+    out = {r["doc_id"]: r for r in secret_scan.masked(made).collect()}
     assert len(out) == len(SECRETS) and out[0]["text"] is None
     assert out[2]["text"] == 'é𝄞 [SECRET]" [SECRET] and [SECRET]' and out[2]["n_chars"] == len(out[2]["text"])
     assert out[6]["text"] == "[SECRET] near [SECRET] see [SECRET]" and out[8]["text"] == SECRETS[8]
