@@ -13,7 +13,7 @@ classifier, fingerprint components and a tokenizer are not SQL.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibspark.llm import lang, mixing, packing, secrets, simhash, tokens
+from bibspark.llm import lang, mixing, packing, secret_scan, simhash, tokens
 from bibspark.llm.queries import small_batches
 from bibspark.session import scratch
 
@@ -28,8 +28,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.deduplicated(docs)
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.masked(docs)
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.masked(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language_id", language_id),
     ("near_dedup", near_dedup),
-    ("secret_scan", secret_scan),
+    ("secret_scan", mask_secrets),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]
