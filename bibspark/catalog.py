@@ -256,12 +256,16 @@ class Spec:
     sample: int | None = None
     seed: object = 0
     page: int = 1
-    per_page: int = 25
+    per_page: int | None = None  # 25 records or 200 groups
     after: tuple | None = None
     cursor: bool = False
     select: tuple = ()
 
 
+# the public name of the score in a sort
+RELEVANCE = "relevance_score"
+
+
 def filtered(df: DataFrame, entity: EntityDef, spec: Spec) -> DataFrame:
     named = {f[0] for f in spec.filters}
     extra = [f for f in entity.defaults if f[0] not in named and f[0] in df.columns]
@@ -293,21 +297,31 @@ def run(df: DataFrame, entity: EntityDef, spec: Spec) -> DataFrame:
         if spec.group_by in entity.presence:
             return groups.group_presence(rows, entity.presence[spec.group_by])
         key = spec.sort[0] if spec.sort else "-count"
-        unknown = groups.UNKNOWN if spec.unknown else None
-        return groups.group_count(rows, path, n=groups.MAX_GROUPS, unknown=unknown, sort=key.lstrip("-"), desc=key.startswith("-"))
+        if key.lstrip("-") not in ("count", "key"):
+            raise ValueError(f"groups are sorted by count or key, not by {key}")
+        found = groups.all_groups(rows, path, groups.UNKNOWN if spec.unknown else None)
+        keys = [key] if key.lstrip("-") == "key" else [key, "key"]
+        size = spec.per_page or groups.MAX_GROUPS
+        if spec.cursor:
+            return paging.after(found, keys, list(spec.after) if spec.after else None, size)
+        return paging.page(found, keys, spec.page, size)
     default = list(entity.search_sort if spec.search else entity.default_sort)
-    keys = entity.sort_keys(spec.sort) or default
-    keys = [k for k in keys if k.lstrip("-").split(".")[0] in rows.columns]
+    asked = [k.replace(RELEVANCE, "score") if k.lstrip("-") == RELEVANCE else k for k in entity.sort_keys(spec.sort)]
+    unknown = [k for k in asked if k.lstrip("-").split(".")[0] not in rows.columns]
+    if unknown:
+        raise ValueError(f"cannot sort by {', '.join(unknown)}")
+    keys = asked or [k for k in default if k.lstrip("-").split(".")[0] in rows.columns]
+    # a unique last key: ties neither repeat nor vanish between pages
+    keys = keys if entity.key in [k.lstrip("-") for k in keys] else [*keys, entity.key]
+    size = spec.per_page or 25
     if spec.sample:
         # pages of a sample go by its own order
         rows = paging.sample(rows, entity.key, spec.sample, spec.seed)
         rows = rows.withColumn("__order", paging.order_hash(F.col(entity.key), spec.seed))
-        rows = paging.page(rows, ["__order", entity.key], spec.page, spec.per_page).drop("__order")
+        rows = paging.page(rows, ["__order", entity.key], spec.page, size).drop("__order")
     elif spec.cursor:
-        # a cursor needs a unique last key
-        keys = keys if entity.key in keys else [*keys, entity.key]
-        rows = paging.after(rows, keys, list(spec.after) if spec.after else None, spec.per_page)
+        rows = paging.after(rows, keys, list(spec.after) if spec.after else None, size)
     else:
-        rows = paging.page(rows, keys, spec.page, spec.per_page)
+        rows = paging.page(rows, keys, spec.page, size)
     rows = project.drop_heavy(rows)
     return project.select(rows, list(spec.select)) if spec.select else rows

@@ -116,7 +116,7 @@ def ext_id(col: Column, entity: str) -> Column:
 def short_id(col: Column, style: str = "short", base: str = "") -> Column:
     """A catalogue id as ``W1``, as ``works/W1`` or as a URL under ``base``; other text of the form
     ``URL/kind/key`` becomes ``kind/key`` in the entity style."""
-    bare = F.nullif(F.regexp_extract(F.upper(F.trim(col)), r"(?:^|/)([WAICFPST]\d+)$", 1), F.lit(""))
+    bare = F.nullif(F.regexp_extract(F.upper(F.trim(col)), r"(?:^|/)([WAICFPSTG]\d+)$", 1), F.lit(""))
     if style == "short":
         return bare
     if style == "url":

@@ -79,25 +79,28 @@ def citations_received(works: DataFrame, edges: DataFrame, span: int = 3, key: s
 
 
 def fwci(received: DataFrame, by: list[str]) -> DataFrame:
-    """Citations received over the mean of the record's group; NULL where that mean is 0."""
+    """Citations received over the mean of the record's group; NULL where that mean is 0 or a part of
+    the group's key is missing."""
     means = received.groupBy(*by).agg(F.avg("received").alias("expected"))
-    return received.join(means, by).withColumn("fwci", F.when(F.col("expected") > 0, F.col("received") / F.col("expected")))
+    return received.join(means, by, "left").withColumn("fwci", F.when(F.col("expected") > 0, F.col("received") / F.col("expected")))
 
 
 def norm_percentile(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Percent rank of the value within the group, and the flags for the top 1 % and 10 %."""
+    """Percent rank of the value within the group, and the flags for the top 1 % and 10 %; NULL where the
+    value or a part of the group's key is missing."""
     ranks = histogram_ranks(df, by, value)
     share = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
-    out = df.join(ranks.select(*by, value, share.alias("percentile")), [*by, value])
+    out = df.join(ranks.select(*by, value, share.alias("percentile")), [*by, value], "left")
     return out.withColumn("is_in_top_1_percent", F.col("percentile") >= 0.99).withColumn("is_in_top_10_percent", F.col("percentile") >= 0.9)
 
 
 def year_percentile(df: DataFrame, year: str, value: str) -> DataFrame:
-    """Whole percents below, and up to and with, the value among records of the year."""
+    """Whole percents below, and up to and with, the value among records of the year; NULL where the
+    year or the value is missing."""
     ranks = histogram_ranks(df, year, value)
     low = F.floor(F.when(F.col("total") > 1, 100 * F.col("below") / (F.col("total") - 1)).otherwise(0.0))
     high = F.floor(100 * (F.col("below") + F.col("n")) / F.col("total"))
-    return df.join(ranks.select(year, value, low.cast("int").alias("min"), high.cast("int").alias("max")), [year, value])
+    return df.join(ranks.select(year, value, low.cast("int").alias("min"), high.cast("int").alias("max")), [year, value], "left")
 
 
 def _incidence(sets: list[list]) -> dict:

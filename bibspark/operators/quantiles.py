@@ -15,22 +15,38 @@ def approx_quantiles(df: DataFrame, col: str, pcts: list[float], accuracy: int =
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], pcts: list[float]) -> dict[tuple[str, float], float]:
-    """Nearest-rank quantiles: the value at rank ceil(p * n), NULLs left out."""
-    ends = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    """Nearest-rank quantiles: the value at rank ceil(p * n), NULLs left out. Infinite values count at the
+    ends, NaN above them all."""
+    inf = float("inf")
+    asked = {}
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        finite = F.when((F.abs(v) < inf) & ~F.isnan(v), v)
+        for name, e in (("n", F.count(finite)), ("lo", F.min(finite)), ("hi", F.max(finite)), ("below", F.count_if(v == -inf)), ("above", F.count_if(v == inf)), ("nan", F.count_if(F.isnan(v)))):
+            asked[f"{name}_{i}"] = e
+    ends = df.agg(*[e.alias(name) for name, e in asked.items()]).first()
     found, open_ = {}, {}
     for i, c in enumerate(cols):
-        n, lo, hi = ends[f"n_{i}"], ends[f"lo_{i}"], ends[f"hi_{i}"]
+        n, lo, hi, below, above, nan = (ends[f"{name}_{i}"] for name in ("n", "lo", "hi", "below", "above", "nan"))
+        total = below + n + above + nan
         for p in pcts:
-            if n == 0 or lo == hi:
+            rank = max(1, ceil(p * total))
+            if total == 0:
+                found[c, p] = None
+            elif rank <= below:
+                found[c, p] = -inf
+            elif rank > below + n:
+                found[c, p] = inf if rank <= below + n + above else float("nan")
+            elif lo == hi:
                 found[c, p] = lo
             else:
-                open_[c, p] = (max(1, ceil(p * n)), lo, hi)
+                open_[c, p] = (rank - below, lo, hi)
     while open_:
         targets = list(open_.items())
         cells = []
         for i, ((c, _), (_, lo, hi)) in enumerate(targets):
             v = F.col(c).cast("double")
-            bin_ = F.least(F.lit(BINS - 1), F.floor((v - lo) / (hi - lo) * BINS)).cast("int")
+            bin_ = F.least(F.lit(BINS - 1), F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BINS)).cast("int")
             cells.append(F.when(v.between(lo, hi), F.struct(F.lit(i).alias("target"), bin_.alias("bin"), v.alias("v"))))
         rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
         bins = rows.groupBy("target", "bin").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))

@@ -3,6 +3,7 @@ word. A hot word is many rows, never one list. Queries come as a frame ``(query_
 answered in one job.
 """
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -360,7 +361,7 @@ def match_tokens(col: Column, q: str) -> Column:
 def highlight(col: Column, words: list[str], size: int = 300, n: int = 5, pre: str = ">>", post: str = "<<") -> Column:
     """The first ``n`` fragments, of about ``size`` characters, that hold a word, with the words marked.
     Fragments break at blanks and cover the whole text."""
-    either = "|".join(words)
+    either = "|".join(re.escape(w) for w in words)
     whole = rf"(?iu)(?<![\p{{L}}\p{{N}}])({either})(?![\p{{L}}\p{{N}}])"
     pieces = F.regexp_extract_all(col, F.lit(rf"(?s)(\S{{{size + 1},}}|.{{1,{size}}})(?:\s+|$)"), F.lit(1))
     hits = F.filter(pieces, lambda p: p.rlike(whole))

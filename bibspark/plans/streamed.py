@@ -61,5 +61,5 @@ def stream_version_guard(t):
     twice = t.events.unionByName(t.events)
     twice.withColumn("ts", F.col("ts").cast("timestamp")).repartition(6, "event_type").write.parquet(path)
     stream = streams.read_files(t.spark, path, t.spark.read.parquet(path).schema, "parquet", 2)
-    streams.version_guard(stream, "user_id", "ts", "ts", out, mark, "60 days", ["event_id"])
+    streams.version_guard(stream, "user_id", "ts", out, mark, ["event_id"])
     return streams.read_latest(t.spark, out, "user_id", "ts", ["event_id"]).select("user_id", "event_id", "event_type")

@@ -90,13 +90,7 @@ def read_cube(spark: SparkSession, cells: str, keys: list[str]) -> DataFrame:
     return out.where("doc_count <> 0")
 
 
-def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str = "1 day") -> DataFrame:
-    """Drop exact repeats that arrive within the delay; the state is bounded by the watermark."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-
-
-def version_guard(stream: DataFrame, key, version: str, ts: str, out: str, checkpoint: str, delay: str = "1 day", tie: list[str] = ()) -> StreamingQuery:
-    """Upsert for versions out of order: repeats of a version are dropped on arrival, and the highest
-    version wins."""
-    by = [key] if isinstance(key, str) else list(key)
-    return stream_upsert(drop_repeats(stream, [*by, version, *tie], ts, delay), key, version, out, checkpoint, tie)
+def version_guard(stream: DataFrame, key, version: str, out: str, checkpoint: str, tie: list[str] = ()) -> StreamingQuery:
+    """Upsert for versions out of order: the highest version wins, however late it or a lower one comes.
+    Repeats of a version are harmless to that, so nothing is dropped on arrival and no watermark is kept."""
+    return stream_upsert(stream, key, version, out, checkpoint, tie)

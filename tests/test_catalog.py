@@ -90,3 +90,30 @@ def test_cursor_walks_all(works):
         seen += [r.id for r in part]
         after = (part[-1].cited_by_count, part[-1].id)
     assert seen == ["W200", "W100", "W400"]
+
+
+def test_groups_are_paged_and_bad_sorts_fail(spark):
+    import pytest
+
+    from bibspark.catalog import EntityDef, Spec, run
+
+    entity = EntityDef("things", default_sort=("id",))
+    df = spark.createDataFrame([(i, f"g{i:03}") for i in range(500)], "id int, g string")
+    pages = [run(df, entity, Spec(group_by="g", page=p)).collect() for p in (1, 2, 3)]
+    assert [len(p) for p in pages] == [200, 200, 100] and len({r["key"] for p in pages for r in p}) == 500
+    assert run(df, entity, Spec(group_by="g", per_page=10)).count() == 10
+    last = run(df, entity, Spec(group_by="g", cursor=True, after=(1, "g498"))).collect()
+    assert [r["key"] for r in last] == ["g499"]
+    for bad in (("-nothing",), ("relevance_score",)):
+        with pytest.raises(ValueError):
+            run(df, entity, Spec(sort=bad))
+
+
+def test_highlight_takes_words_as_they_are(spark):
+    from pyspark.sql import functions as F
+
+    from bibspark.functions import ids
+    from bibspark.operators.search import highlight
+
+    row = spark.createDataFrame([("c and c++ and a.b axb", "https://x.org/G12")], "t string, i string").select(highlight(F.col("t"), ["c++", "a.b"])[0], ids.short_id(F.col("i"))).first()
+    assert row[0] == "c and >>c++<< and >>a.b<< axb" and row[1] == "G12"

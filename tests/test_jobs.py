@@ -154,3 +154,46 @@ def test_stream_reads_each_file_once(spark):
     spark.range(5, 8).write.mode("append").parquet(path)
     run()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(8))
+
+
+def test_missing_group_keys_keep_their_records(spark):
+    from bibspark.operators import bibliometrics as B
+
+    df = spark.createDataFrame([(1, "a", 4), (2, "a", 2), (3, None, 5), (4, "b", None)], "id int, type string, received int")
+    got = {r["id"]: r["fwci"] for r in B.fwci(df, ["type"]).collect()}
+    assert got[3] is None and abs(got[1] - 4 / 3) < 1e-12 and len(got) == 4
+    assert {r["id"]: r["percentile"] for r in B.norm_percentile(df, ["type"], "received").collect()} == {1: 1.0, 2: 0.0, 3: None, 4: None}
+    assert {r["id"] for r in B.year_percentile(df, "type", "received").collect()} == {1, 2, 3, 4}
+
+
+def test_quantiles_of_values_that_are_not_finite(spark):
+    from bibspark.operators.quantiles import exact_quantiles
+
+    inf = float("inf")
+    values = [-inf, 1.0, 2.0, 3.0, inf, float("nan"), None, 1e308, -1e308]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 0.75, 0.875, 1.0])
+    assert [got["v", p] for p in (0.0, 0.25, 0.5, 0.75, 0.875)] == [-inf, -1e308, 2.0, 1e308, inf] and got["v", 1.0] != got["v", 1.0]
+
+
+def test_late_versions_are_kept(spark, tmp_path):
+    import datetime as dt
+
+    from bibspark.streaming import streams
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    for i, row in enumerate([("a", day(20)), ("c", day(25)), ("b", day(1)), ("a", day(2))]):
+        spark.createDataFrame([row], "k string, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streams.read_files(spark, str(tmp_path / "in"), "k string, ts timestamp", "parquet", 1)
+    streams.version_guard(stream, "k", "ts", str(tmp_path / "out"), str(tmp_path / "mark"))
+    got = streams.read_latest(spark, str(tmp_path / "out"), "k", "ts").collect()
+    assert {(r["k"], r["ts"]) for r in got} == {("a", day(20)), ("c", day(25)), ("b", day(1))}
+
+
+def test_export_of_all_groups(spark):
+    from bibspark.sources import exports
+
+    df = spark.createDataFrame([(f"k{i:03}", 1 + i // 100) for i in range(350)], "key string, count long")
+    got = exports.export_groups({"a": df}).orderBy("row").collect()
+    assert [r["row"] for r in got] == list(range(1, 351))
+    assert [r["a_name"] for r in got][:2] == ["k300", "k301"] and got[-1]["a_name"] == "k099"
