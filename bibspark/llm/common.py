@@ -27,6 +27,17 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def likely(key: Column, n: Column, most: int) -> Column:
+    """True for about twice ``most`` of ``n`` different keys, those with the least hashes by ``drawn``; for all
+    where n is not more. A sample of the ``most`` least then sorts a bounded number of rows, however many there are."""
+    return drawn(key) * (n / F.lit(2.0**40)) < 2 * most
+
+
+def drawn(key: Column) -> Column:
+    """A number below 2**40 from the key's hash."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 40))
+
+
 def lookup(left: DataFrame, small: DataFrame, on: Column, how: str = "left", limit: int = SMALL_ROWS) -> DataFrame:
     """Join a per-group table whose size is only known at run time: counted first, broadcast up to
     ``limit`` rows, else left to a shuffle join. ``small`` should be cheap to count (checkpointed)."""

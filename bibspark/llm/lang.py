@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from bibspark.llm import hashed
-from bibspark.llm.common import DOCUMENT, checkpointed, documents, lookup
+from bibspark.llm.common import DOCUMENT, checkpointed, documents, drawn, likely, lookup
 from bibspark.session import ship
 
 BITS = 12
@@ -60,12 +60,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, per_language: int, most: int) -> DataFrame:
-    """lang and text of the documents to learn from. Chosen by id alone, so texts move only once chosen."""
+    """lang and text of the documents to learn from. Chosen by id alone, so texts move only once chosen; ids of frequent
+    languages are thinned where they are read."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
-    frequent = checkpointed(frequent.select(F.col("lang").alias("l_lang")))
-    ids = lookup(ids.select("doc_id", "lang"), frequent, F.col("lang") == F.col("l_lang"), "inner").select("doc_id", "lang").distinct()
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    frequent = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("doc_id").alias("ids"))
+    frequent = frequent.orderBy(F.desc("n"), "lang").limit(most)
+    frequent = checkpointed(frequent.select(F.col("lang").alias("l_lang"), "ids"))
+    ids = lookup(ids.select("doc_id", "lang"), frequent, F.col("lang") == F.col("l_lang"), "inner")
+    ids = ids.where(likely(F.col("doc_id"), F.col("ids"), per_language)).select("doc_id", "lang").distinct()
+    order = W.partitionBy("lang").orderBy(drawn(F.col("doc_id")), "doc_id")
     chosen = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
     chosen = checkpointed(chosen.select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")))
     rows = lookup(docs.select("doc_id", "lang", "text"), chosen, (F.col("doc_id") == F.col("c_id")) & (F.col("lang") == F.col("c_lang")), "inner", limit=most * per_language)

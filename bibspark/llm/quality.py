@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibspark.llm import hashed
-from bibspark.llm.common import checkpointed, documents, lookup, whole
+from bibspark.llm.common import checkpointed, documents, drawn, likely, lookup, whole
 from bibspark.session import ship
 
 BITS = 11
@@ -134,8 +134,10 @@ def cells(text: str | None, shape: list[int], bits: int) -> np.ndarray:
 
 def scorer(docs: DataFrame, voted: DataFrame, labels: Labellers, sample: int, bits: int) -> np.ndarray:
     """Weights of the scorer. Sampled by id first; features and training stay in tasks."""
-    ids = voted.where("doc_id is not null").select("doc_id").distinct()
-    chosen = checkpointed(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("c_id")))
+    ids = voted.where("doc_id is not null")
+    many = ids.agg(F.approx_count_distinct("doc_id")).first()[0]
+    ids = ids.where(likely(F.col("doc_id"), F.lit(many), sample)).select("doc_id").distinct()
+    chosen = checkpointed(ids.orderBy(drawn(F.col("doc_id")), "doc_id").limit(sample).select(F.col("doc_id").alias("c_id")))
     rows = lookup(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("c_id"), "inner", limit=sample)
     rows = rows.groupBy("doc_id").agg(F.min(whole(F.col("text"))).alias("text"))
 
