@@ -378,9 +378,10 @@ def saved_list_any(t):
 
 
 @query("filter_saved_list_every", """
-select s_suppkey from supplier where s_suppkey in (select l_suppkey from (select distinct l_suppkey, l_returnflag || l_linestatus as kind from lineitem where l_quantity >= 49)
-  where kind in (select distinct l_returnflag || l_linestatus from lineitem where l_quantity >= 49) group by 1
-  having count(*) = (select count(distinct l_returnflag || l_linestatus) from lineitem where l_quantity >= 49))""")
+with pairs as (select distinct l_suppkey, cast(floor(l_quantity) as int)::varchar || l_returnflag as kind from lineitem)
+select s_suppkey from supplier where s_suppkey in (
+  select l_suppkey from pairs group by 1 having count(kind) = (select count(distinct kind) from pairs))""")
 def saved_list_every(t):
-    pairs = t.lineitem.where("l_quantity >= 49").select(F.col("l_suppkey").alias("s_suppkey"), F.concat("l_returnflag", "l_linestatus").alias("kind"))
+    kind = F.concat(F.floor("l_quantity").cast("int").cast("string"), "l_returnflag")
+    pairs = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), kind.alias("kind"))
     return P.in_label(t.supplier.select("s_suppkey"), pairs, "s_suppkey", "kind", pairs.select("kind"), "every")
