@@ -65,7 +65,9 @@ def neighbours(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFra
     rows = rows.withColumn("home", in_range(key, ends or [0]))
     first = F.array_contains(F.array(*[F.lit(e).cast("bigint") for e in ends or [0]]), key)
     above = F.when(first, F.array("home", (F.col("home") + 1) % n)).otherwise(F.array("home"))
-    rows = rows.select("doc_id", "text", F.posexplode(above).alias("guest", "part")).repartition(n, "part")
+    # a part that cannot be null takes no filter for a join, so all uses of the shuffled texts share one shuffle
+    rows = rows.select("doc_id", "text", F.posexplode(above).alias("guest", "part")).withColumn("part", F.coalesce("part", F.lit(0)))
+    rows = rows.repartition(n, "part")
     order = W.partitionBy("part").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     at_end = F.lead("guest").over(order) == 1
     rows = rows.select(
