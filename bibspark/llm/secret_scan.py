@@ -28,8 +28,10 @@ from bibspark.llm.common import DOCUMENT, documents, whole
 # kinds in the order in which they are listed at one place; the value is group 2 of assign
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
-IDENTIFIER = r"""(?i)\b(?:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{4,}"""
-SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=_-])"
+# at the start of a name or of a part of one: after '_', or where a camel-case part begins
+IDENTIFIER = r"""(?i)(?:(?-i:(?<![A-Za-z0-9])|(?<=[a-z0-9])(?=[A-Z]))(?:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{4,}|(?-i:(?<![A-Za-z0-9])ASIA[A-Z0-9]{16,}))"""
+# may follow '=', as a value does its name; its own '=' is padding at the end
+SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/=_-])"
 ENDPOINT = r"""[a-z][a-z0-9+]{1,15}://[^\s"'<>]{3,}"""
 WEAK = {"identifier": IDENTIFIER, "secret": SECRET, "endpoint": ENDPOINT}
 BREAK = r"\n[\x20\t\r]*\n"

@@ -273,6 +273,25 @@ def test_masked(spark):
     assert not any(brute_base(r["text"]) for r in out.values())
 
 
+def test_named_pairs(spark):
+    plain, padded, url_safe, asia = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY", "aB3+" * 10 + "==", "aB3_x-" * 7, "ASIA" + "Z9" * 8
+    pairs = [
+        (f"aws_access_key_id={asia}\naws_secret_access_key={plain}", [asia, plain]), (f"AWS_ACCESS_KEY_ID={asia}\nAWS_SECRET_ACCESS_KEY={plain}", [asia, plain]),
+        (f"azure_client_id: app-12345\nazure_storage_key={padded}", ["app-12345", padded]), (f"clientId='app-12345' signing={url_safe}", ["app-12345", url_safe]),
+        (f'"awsAccessKeyId": "{asia}", "awsSecretAccessKey": "{plain}"', [asia, plain]), (f"{asia} {url_safe}", [asia, url_safe]),
+        (f"aws_access_key_id = {asia}\naws_secret_access_key = {plain}", [asia, plain]),
+    ]
+    lone = [f"export DATA={plain}", f"aws_access_key_id={asia}", f"mylogin={plain}", f"client_id=app-12345 {'long_name_' * 4}2B={'x' * 8}"]
+    made = spark.createDataFrame([(i, t, None, "s", None) for i, t in enumerate([t for t, _ in pairs] + lone)], ", ".join(f"{c} {t}" for c, t in DOCUMENT.items()))
+    spans = {r["doc_id"]: r["spans"] for r in queries.op7(made).collect()}
+    text = {r["doc_id"]: r["text"] for r in secret_scan.masked(made).collect()}
+    for i, (t, values) in enumerate(pairs):
+        found = [s.split(":") for s in spans[i].split(",")]
+        assert [k for k, *_ in found] == ["identifier", "secret"]
+        assert all(t[int(a) : int(b)].endswith(v) for (_, a, b), v in zip(found, values)) and not any(v in text[i] for v in values)
+    assert all(spans[len(pairs) + i] == "" and text[len(pairs) + i] == t for i, t in enumerate(lone))
+
+
 def test_mix(some):
     out = queries.op9(some).collect()
     assert len(out) == some.count() and rows(queries.op9(some)) == rows(queries.op9(some.repartition(5)))
