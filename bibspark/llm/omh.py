@@ -1,14 +1,18 @@
 """Document fingerprints by Order MinHash, and each document's edited copy.
 
 A text's k-mers are runs of ``K`` words (fewer words: the whole sequence), each numbered by how often it
-has occurred before in the text. A k-mer is told by the high 34 bits of its hash. The hash of k-mer and number puts each into one of ``TUPLES * 2`` bins
-and ranks it there. A bin keeps its minimal k-mer and where it stands; the two k-mers of a tuple are put in
-the order they have in the text and hashed together. Two texts agree in a tuple when they share both k-mers
-in the same order, so moved passages lower the likeness too, as they raise the edit distance.
+has occurred before in the text. A k-mer is told by the high 34 bits of its hash. Every tuple hashes all k-mers
+with their numbers anew, by its own seed, and takes the two at the ends, the least and the greatest: as random a
+pair as the two least, and two different k-mers in any text that has two. They are put in the order they have in
+the text and hashed together. Two texts agree in a tuple when they share both k-mers in the same order, so moved
+passages lower the likeness too, as they raise the edit distance. A text of one k-mer has it alone in each tuple.
 
 Likeness: the root of the share of equal tuples among those that at least one of two texts has; 1 if neither has
 any. The root, since both of a tuple's k-mers must agree.
 
+``signatures`` is the older form, one hash that deals the k-mers into bins; short texts leave bins empty and tuples
+without an order, so no query reads it.
+
 The next document is the next lower doc_id. Documents are dealt into ranges of doc_id by quantiles of the
 ids; the highest documents of a range are copied to the end of the range above it, so all neighbours meet
 in one range and the texts move once.
@@ -26,7 +30,7 @@ from bibspark.llm.common import checkpointed, whole
 
 K = 3
 TUPLES = 32
-# low bits of a bin's minimum hold the position: a text of 2 GB has fewer words
+# low bits of a minimum hold the position: a text of 2 GB has fewer words
 PLACE_BITS = 30
 MASK = (1 << PLACE_BITS) - 1
 ROWS_PER_RANGE = 1_000
@@ -109,8 +113,8 @@ def minima(each: DataFrame, keys: list[str], bins: int) -> DataFrame:
     return found.select(*keys, every.alias("least"))
 
 
-def signatures(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPLES) -> DataFrame:
-    """Per key, an array of ``tuples`` hashes, null where a tuple has no k-mer; texts without words have no row.
+def occurrences(texts: DataFrame, keys: list[str], k: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of keys, kmer, nth and place: all k-mers as first ones, and the repeated ones with their numbers.
     First occurrences need no numbering: the least place of a k-mer is the first. Only texts that repeat a k-mer
     are numbered. With the input dealt by some of the keys, k-mers are not dealt again."""
     rows = texts.select(*keys, once(words_of(F.col("text"))).alias("words")).where(F.size("words") > 0)
@@ -132,8 +136,26 @@ def signatures(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPL
     # the mix leads the order: one number that tells nearly all groups apart
     order = W.partitionBy("mix", *keys, "kmer").orderBy("place")
     again = again.withColumn("mix", F.xxhash64(*keys, "kmer")).withColumn("nth", F.row_number().over(order) + 1)
-    bins = 2 * tuples
-    both = minima(first, keys, bins).union(minima(again, keys, bins)).groupBy(*keys).agg(F.collect_list("least").alias("l"))
+    return first, again
+
+
+def extremes(each: DataFrame, keys: list[str], tuples: int) -> DataFrame:
+    """Rows of keys, kmer, nth and place: per key an array with each tuple's least code and, turned over, its greatest,
+    each with its place below it."""
+    place = F.col("place").cast("bigint")
+    coded = each.select(*keys, F.xxhash64("kmer", "nth").alias("code"), place.alias("place"))
+
+    def least(code: Column) -> Column:
+        return F.min(code.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.col("place")))
+
+    codes = [F.xxhash64("code", F.lit(t)) for t in range(tuples)]
+    ends = [end for t, c in enumerate(codes) for end in (least(c).alias(f"e{2 * t}"), least(F.bitwise_not(c)).alias(f"e{2 * t + 1}"))]
+    return coded.groupBy(*keys).agg(*ends).select(*keys, F.array(*[f"e{i}" for i in range(2 * tuples)]).alias("least"))
+
+
+def joined(first: DataFrame, again: DataFrame, keys: list[str], tuples: int) -> DataFrame:
+    """The lesser of both sides' minima, two to a tuple: per key an array of ``tuples`` hashes."""
+    both = first.union(again).groupBy(*keys).agg(F.collect_list("least").alias("l"))
     merged = F.when(F.size("l") == 2, F.zip_with(F.get("l", F.lit(0)), F.get("l", F.lit(1)), lambda a, b: F.least(a, b))).otherwise(F.get("l", F.lit(0)))
     least = both.select(*keys, once(merged).alias("least"))
 
@@ -146,6 +168,18 @@ def signatures(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPL
     return least.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(tuples - 1)), joint).alias("signature"))
 
 
+def ordered(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPLES) -> DataFrame:
+    """Per key, an array of ``tuples`` hashes of ordered pairs; texts without words have no row."""
+    first, again = occurrences(texts, keys, k)
+    return joined(extremes(first, keys, tuples), extremes(again, keys, tuples), keys, tuples)
+
+
+def signatures(texts: DataFrame, keys: list[str], k: int = K, tuples: int = TUPLES) -> DataFrame:
+    """Per key, an array of ``tuples`` hashes over bins, null where a tuple has no k-mer; texts without words have no row."""
+    first, again = occurrences(texts, keys, k)
+    return joined(minima(first, keys, 2 * tuples), minima(again, keys, 2 * tuples), keys, tuples)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Root of equal tuples by tuples that at least one side has."""
     pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
@@ -165,7 +199,7 @@ def fingerprints(docs: DataFrame, k: int = K, tuples: int = TUPLES, rows_per_ran
     near = neighbours(docs, rows_per_range).withColumn("edit", edited(F.col("text"), F.col("next_text")))
     heads = near.select("part", "row", "doc_id", F.length("text").alias("n_chars"), F.sha2("edit", 256).alias("edited_sha256"), "next_part", "next_row")
     both = near.select("part", "row", F.posexplode_outer(F.array("text", "edit")).alias("kind", "text"))
-    found = signatures(both, ["part", "row", "kind"], k, tuples)
+    found = ordered(both, ["part", "row", "kind"], k, tuples)
     none = F.array_repeat(F.lit(None).cast("bigint"), tuples)
     sides = found.groupBy("part", "row").agg(
         F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"), F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature")

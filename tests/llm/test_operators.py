@@ -383,6 +383,39 @@ def test_signature_by_brute_force(spark):
         assert got[i] == want
 
 
+def test_order_of_short_texts(spark):
+    words = [f"w{i}" for i in range(20)]
+    moved = words[10:] + words[:10]
+    texts = [" ".join(words), " ".join(moved), "a b c d", "b c d a", "a b c", "be " * 9, "be " * 12, "a b c a b c a b c d", ""]
+    made = spark.createDataFrame([(len(texts) - i, t, None, "s", None) for i, t in enumerate(texts)], ", ".join(f"{c} {t}" for c, t in DOCUMENT.items()))
+    out = {len(texts) - r["doc_id"]: r for r in omh.fingerprints(made).collect()}
+    seed = lambda values: xxhash_chain(*values)
+    for i, t in enumerate(texts):
+        found = out[i]["signature"]
+        if not t.split():
+            assert found == [None] * omh.TUPLES
+            continue
+        kmers = brute_occurrences(t)
+        want = []
+        for j in range(omh.TUPLES):
+            codes = [(int(seed((np.int64(seed((np.int64(int(seed(x)) & ~omh.MASK), n))), j))), place) for place, (x, n) in enumerate(kmers)]
+            low, high = (min((c & ~omh.MASK) | p for c, p in ((turn(c), p) for c, p in codes)) for turn in (lambda c: c, lambda c: ~c))
+            pair = sorted((e & omh.MASK, s, e >> omh.PLACE_BITS) for s, e in enumerate((low, high)))
+            assert len(kmers) == 1 or pair[0][0] != pair[1][0]
+            want.append(int(seed(tuple(np.int64(h) for *_, h in pair))) & 0xFFFFFFFF)
+        assert found == want
+    # of 18 numbered k-mers 16 stay, and half of their pairs turn round: a set likeness would be near 0.8
+    share = np.mean([p == q for p, q in zip(out[0]["signature"], out[1]["signature"])])
+    assert share < 0.6 and abs(out[0]["near_next"] - share**0.5) < 1e-9
+
+
+def xxhash_chain(*values):
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else int(v).to_bytes(8 if isinstance(v, np.int64) else 4, "little", signed=True), seed)
+    return np.int64(np.uint64(seed).astype(np.int64))
+
+
 def test_chat(spark):
     made = [
         (1, 0, "user", "How do I sort a list?\nIt is long."), (1, 1, "assistant", "Use sorted."), (1, 2, "user", "Unrelated."),
