@@ -3,8 +3,10 @@
 Features are hashed character n-grams of a text's letters. Linear support vector machines, one for each two
 families, choose the family; within it, one for each two languages chooses the language. The most duels won decide
 (ties: the larger sum of margins). Families come from a table of language codes; a code it does not know is a family of
-its own. Each machine is trained by one task on a bounded sample: ``PER_LANGUAGE`` documents of each of the
-``MOST_LANGUAGES`` most frequent languages, chosen by a hash of their ids among the documents to learn from.
+its own. Where a choice has more than ``WIDTH`` names, they are dealt in order of name into ``WIDTH`` groups, chosen
+between first, and so on within a group; duels then grow with the languages and not with their square. Every language is learned.
+Each machine is trained by one task on a bounded sample: ``PER_LANGUAGE`` documents of each language, chosen by a hash of
+their ids among the documents to learn from; a group takes as many in all, and at least one of each of its languages.
 
 The score is the least probability, by a logistic curve over the margins, of the duels that the chosen language and family
 had: 0.5 or more unless duels go round in a circle.
@@ -29,7 +31,7 @@ from bibspark.session import ship
 
 BITS = 12
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 64
+WIDTH = 64
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 # fixed values: language codes by family
@@ -59,19 +61,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, per_language: int, most: int) -> DataFrame:
+def sample(docs: DataFrame, per_language: int) -> DataFrame:
     """lang and text of the documents to learn from. Chosen by id alone, so texts move only once chosen; ids of frequent
     languages are thinned where they are read."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("doc_id").alias("ids"))
-    frequent = frequent.orderBy(F.desc("n"), "lang").limit(most)
-    frequent = checkpointed(frequent.select(F.col("lang").alias("l_lang"), "ids"))
-    ids = lookup(ids.select("doc_id", "lang"), frequent, F.col("lang") == F.col("l_lang"), "inner")
+    found = ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    found = checkpointed(found.select(F.col("lang").alias("l_lang"), "ids"))
+    ids = lookup(ids.select("doc_id", "lang"), found, F.col("lang") == F.col("l_lang"), "inner")
     ids = ids.where(likely(F.col("doc_id"), F.col("ids"), per_language)).select("doc_id", "lang").distinct()
     order = W.partitionBy("lang").orderBy(drawn(F.col("doc_id")), "doc_id")
     chosen = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
     chosen = checkpointed(chosen.select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")))
-    rows = lookup(docs.select("doc_id", "lang", "text"), chosen, (F.col("doc_id") == F.col("c_id")) & (F.col("lang") == F.col("c_lang")), "inner", limit=most * per_language)
+    rows = lookup(docs.select("doc_id", "lang", "text"), chosen, (F.col("doc_id") == F.col("c_id")) & (F.col("lang") == F.col("c_lang")), "inner", limit=WIDTH * per_language)
     return rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
@@ -79,26 +80,50 @@ def duels(names) -> list[tuple[str, str]]:
     return list(itertools.combinations(sorted(names), 2))
 
 
+def choices(langs: list[str], width: int) -> tuple[dict[str, dict[str, list[str]]], set[str]]:
+    """Per choice the names it has, each with its languages, and which names are groups. The first choice is ""; a
+    family and a group are choices of their own name."""
+    levels: dict[str, dict[str, list[str]]] = {}
+    groups: set[str] = set()
+
+    def split(level: str, names: dict[str, list[str]]) -> None:
+        if len(names) <= width:
+            levels[level] = names
+            return
+        order = sorted(names)
+        ends = [len(order) * i // width for i in range(width + 1)]
+        levels[level] = {}
+        for i, (a, b) in enumerate(itertools.pairwise(ends)):
+            group = f"\0{level}/{i:06d}"
+            groups.add(group)
+            levels[level][group] = [x for name in order[a:b] for x in names[name]]
+            split(group, {name: names[name] for name in order[a:b]})
+
+    members: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        members.setdefault(family(lang), []).append(lang)
+    split("", members)
+    for f, names in members.items():
+        split(f, {x: [x] for x in names})
+    return levels, groups
+
+
 class Model:
     """Duels and their weights."""
 
-    def __init__(self, langs: list[str], weights: dict, bits: int):
+    def __init__(self, langs: list[str], weights: dict, bits: int, width: int = WIDTH):
         self.bits, self.langs = bits, sorted(langs)
-        self.members: dict[str, list[str]] = {}
-        for lang in self.langs:
-            self.members.setdefault(family(lang), []).append(lang)
-        self.levels = {"": sorted(self.members), **self.members}
+        levels, self.groups = choices(langs, width)
+        self.levels = {level: sorted(names) for level, names in levels.items()}
         self.pairs = {level: [p for p in duels(names) if (level, *p) in weights] for level, names in self.levels.items()}
-        every = [(level, *p) for level, ps in self.pairs.items() for p in ps]
-        self.column = {key: i for i, key in enumerate(every)}
-        self.weights = np.array([weights[k] for k in every], np.float32).T if every else np.zeros(((1 << bits) + 1, 0), np.float32)
+        none = np.zeros(((1 << bits) + 1, 0), np.float32)
+        self.weights = {level: np.array([weights[level, *p] for p in ps], np.float32).T if ps else none for level, ps in self.pairs.items()}
 
-    def choose(self, level: str, margins: np.ndarray) -> tuple[str, float]:
-        names = self.levels[level]
+    def choose(self, level: str, x: np.ndarray) -> tuple[str, float]:
+        names, margins = self.levels[level], x @ self.weights[level][:-1] + self.weights[level][-1]
         won, total = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
         lost_by = dict.fromkeys(names, 1.0)
-        for a, b in self.pairs[level]:
-            m = float(margins[self.column[level, a, b]])
+        for (a, b), m in zip(self.pairs[level], margins.tolist()):
             for name, own in ((a, m), (b, -m)):
                 won[name] += own > 0
                 total[name] += own
@@ -110,13 +135,17 @@ class Model:
         if not self.langs or not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         x = hashed.unit(hashed.grams(text, self.bits))
-        margins = x @ self.weights[:-1] + self.weights[-1]
-        chosen, first = self.choose("", margins)
-        lang, second = self.choose(chosen, margins)
-        return lang, float(min(first, second))
+        chosen, score = "", 1.0
+        for _ in ("family", "language"):
+            chosen, own = self.choose(chosen, x)
+            score = min(score, own)
+            while chosen in self.groups:
+                chosen, own = self.choose(chosen, x)
+                score = min(score, own)
+        return chosen, float(score)
 
 
-def train(docs: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, most: int = MOST_LANGUAGES) -> Model:
+def train(docs: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, width: int = WIDTH) -> Model:
     """Only the weights of the machines come to the driver."""
     ship(hashed.__name__)
     ship(__name__)
@@ -126,21 +155,27 @@ def train(docs: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, m
             cells = [hashed.unit(hashed.grams(t.as_py(), bits)).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(cells, pa.binary())], ["lang", "cells"])
 
-    rows = checkpointed(sample(docs, per_language, most).where(F.col("text").rlike(r"\p{L}")).repartition(8, "text").mapInArrow(features, "lang string, cells binary"))
+    rows = checkpointed(sample(docs, per_language).where(F.col("text").rlike(r"\p{L}")).repartition(8, "text").mapInArrow(features, "lang string, cells binary"))
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    plan = []
-    by_family: dict[str, list[str]] = {}
-    for lang in langs:
-        by_family.setdefault(family(lang), []).append(lang)
-    for a, b in duels(by_family):
-        plan += [(lang, "", a, b, side) for side, f in ((1, a), (-1, b)) for lang in by_family[f]]
-    for f, names in by_family.items():
-        for a, b in duels(names):
-            plan += [(a, f, a, b, 1), (b, f, a, b, -1)]
+    levels, groups = choices(langs, width)
+
+    def most(name: str, of: list[str]) -> int:
+        """Rows of each language that a side takes."""
+        return max(1, per_language // len(of) if name in groups else min(per_language, per_language * width // len(of)))
+
+    plan = [
+        (lang, level, a, b, side, most(name, names[name]))
+        for level, names in levels.items() for a, b in duels(names) for side, name in ((1, a), (-1, b)) for lang in names[name]
+    ]
     if not plan:
-        return Model(langs, {}, bits)
+        return Model(langs, {}, bits, width)
     spark = docs.sparkSession
-    duel = spark.createDataFrame(plan, "lang string, level string, a string, b string, side int")
+    duel = spark.createDataFrame(plan, "lang string, level string, a string, b string, side int, most int")
+    if any(p[-1] < per_language for p in plan):
+        rows = checkpointed(rows.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("cells"), "cells"))))
+        met = rows.join(F.broadcast(duel), "lang").where("nth <= most").drop("nth")
+    else:
+        met = rows.join(F.broadcast(duel), "lang")
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["side", "cells"])
@@ -149,9 +184,9 @@ def train(docs: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, m
         head = part.iloc[0]
         return pd.DataFrame({"level": [head["level"]], "a": [head["a"]], "b": [head["b"]], "w": [w.astype(np.float32).tobytes()]})
 
-    trained = rows.join(F.broadcast(duel), "lang").groupBy("level", "a", "b").applyInPandas(fit, "level string, a string, b string, w binary")
+    trained = met.drop("most").groupBy("level", "a", "b").applyInPandas(fit, "level string, a string, b string, w binary")
     weights = {(r["level"], r["a"], r["b"]): np.frombuffer(r["w"], np.float32) for r in trained.collect()}
-    return Model(langs, weights, bits)
+    return Model(langs, weights, bits, width)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -66,6 +66,19 @@ def test_language(docs, real):
     assert {r["lang_pred"] for r in unlearned} == {"und"}
 
 
+
+def test_every_language_is_learned(spark):
+    names = [f"x{i:02d}" for i in range(70)]
+    word = lambda i: "".join(chr(0x4E00 + 40 * i + j) for j in range(12))
+    made = [(100 * i + j, " ".join([word(i)] * (j + 2)), name, "s", 1) for i, name in enumerate(names) for j in range(8 if i else 3)]
+    docs = spark.createDataFrame(made, ", ".join(f"{c} {t}" for c, t in DOCUMENT.items())).repartition(4).cache()
+    assert {r["lang"] for r in lang.sample(docs, 4).select("lang").collect()} == {n for i, n, *_ in [(r[0], r[2]) for r in made]}
+    model = lang.train(docs, bits=10, per_language=4, width=8)
+    assert model.langs == names and model.groups and sum(map(len, model.pairs.values())) < 70 * 69 / 4
+    assert np.mean([model.predict(t)[0] == name for _, t, name, *_ in made]) > 0.9
+    assert {model.predict(t)[0] for _, t, *_ in made} > set(names[64:])
+
+
 def test_language_families():
     w = {("", "germanic", "romance"): np.r_[np.zeros(1 << 12), 1.0], ("germanic", "de", "en"): np.r_[np.zeros(1 << 12), -1.0]}
     model = lang.Model(["en", "de", "fr"], {k: v.astype(np.float32) for k, v in w.items()}, 12)
