@@ -42,3 +42,11 @@ def lookup(left: DataFrame, small: DataFrame, on: Column, how: str = "left", lim
     """Join a per-group table whose size is only known at run time: counted first, broadcast up to
     ``limit`` rows, else left to a shuffle join. ``small`` should be cheap to count (checkpointed)."""
     return left.join(F.broadcast(small) if small.count() <= limit else small, on, how)
+
+
+def sliced(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows sorted over the whole table by ``order`` and stored, with a column ``slice``: the number of the partition, in
+    the same order. Slices end anywhere, inside a hot key too, so tasks of mapInArrow read even shares. The last of
+    ``order`` should tell equal rows apart, and all should be short: a sample of them marks the slices."""
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return checkpointed(sorted_rows.withColumn("slice", F.spark_partition_id()))
