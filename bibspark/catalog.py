@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from bibspark.functions import ids
 from bibspark.functions.paths import leaf
-from bibspark.operators import groups, paging, project, search
+from bibspark.operators import groups, paging, project, search, searchtable
 from bibspark.operators import predicates as P
-from bibspark.session import local_frame
+from bibspark.session import local_frame, scratch
 
 
 @dataclass(frozen=True)
@@ -275,23 +275,30 @@ def filtered(df: DataFrame, entity: EntityDef, spec: Spec) -> DataFrame:
     return df.where(P.all_of(*preds)) if preds else df
 
 
-def searched(df: DataFrame, entity: EntityDef, text: str) -> DataFrame:
-    """Rows that match, with their score raised by citations."""
-    fields = [f for f in entity.search_fields if f in df.columns]
+def search_table(df: DataFrame, entity: EntityDef, path: str | None = None) -> searchtable.SearchTable:
+    """Store the search table of an entity's search fields, for many list queries."""
+    fields = [f for f in entity.search_fields if f.split(".")[0] in df.columns]
+    return searchtable.build(df, entity.key, fields, path or scratch(df.sparkSession, f"search-{entity.name}"))
+
+
+def searched(rows: DataFrame, df: DataFrame, entity: EntityDef, text: str, table: searchtable.SearchTable | None = None) -> DataFrame:
+    """Those of ``rows``, some rows of ``df``, that match, with their score raised by citations. Scores come from the statistics of all of ``df``,
+    whatever the filter left."""
+    fields = [f for f in entity.search_fields if f.split(".")[0] in df.columns]
     boosts = list(entity.search_boosts or search.BOOSTS[len(entity.search_fields)])[: len(fields)]
     asked = local_frame(df.sparkSession, query_id=pa.array([0], pa.int32()), text=pa.array([text]))
-    found = search.scores(df, entity.key, asked, fields, boosts=boosts).select(F.col("id").alias(entity.key), "score")
-    out = df.join(found, entity.key)
+    found = searchtable.scores(table or search_table(df, entity), asked, fields, boosts).select(F.col("id").alias(entity.key), "score")
+    out = rows.join(found, entity.key)
     if entity.citations and entity.citations in df.columns:
         out = out.withColumn("score", search.citation_boost(F.col("score"), F.col(entity.citations)))
     return out
 
 
-def run(df: DataFrame, entity: EntityDef, spec: Spec) -> DataFrame:
-    """Filter, search, then group or order, and cut a page."""
+def run(df: DataFrame, entity: EntityDef, spec: Spec, table: searchtable.SearchTable | None = None) -> DataFrame:
+    """Filter, search, then group or order, and cut a page. A search reads ``table``; without one it is stored first."""
     rows = filtered(df, entity, spec)
     if spec.search:
-        rows = searched(rows, entity, spec.search)
+        rows = searched(rows, df, entity, spec.search, table)
     if spec.group_by:
         path = entity.aliases.get(spec.group_by, spec.group_by)
         if spec.group_by in entity.presence:

@@ -1,8 +1,10 @@
 """Text columns: folding, tokens, stop words, stems, n-grams."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bibspark.functions.paths import leaf
+
 BETWEEN_TOKENS = r"[^\p{L}\p{N}]+"
 
 # fixed values: accented small letters and what they fold to
@@ -58,3 +60,17 @@ def ngram_list(words: Column, n: int) -> Column:
 def normal_phrase(col: Column) -> Column:
     """Folded words joined by single blanks, with one blank in front: a phrase prefix is then a substring."""
     return F.concat(F.lit(" "), F.array_join(tokens(fold(col)), " "))
+
+
+# words between two texts of one record, so that no phrase goes from one to the next
+GAP = 1 << 32
+
+
+def texts(df: DataFrame, path: str) -> Column:
+    """The texts under a path as one array: a text alone, or all of an array, at any depth."""
+    return leaf(df, path).values
+
+
+def placed(lists: Column) -> Column:
+    """(term, position) of every word of an array of word lists; each list begins a gap behind the one before."""
+    return F.flatten(F.transform(lists, lambda ws, e: F.transform(ws, lambda w, i: F.struct(w.alias("term"), (e.cast("bigint") * GAP + i).alias("position")))))

@@ -5,17 +5,12 @@ frequencies, aggregated before any shuffle. A group's window then sees its disti
 there are few however many records it has.
 """
 
-from math import ceil
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bibspark.operators.overlap import HOT, top_overlaps
 from bibspark.operators.paging import best_per_key
-from bibspark.session import checkpointed, ship
-
-ship(__name__)
+from bibspark.session import checkpointed, stored
 
 
 def _by(keys) -> list[str]:
@@ -103,106 +98,19 @@ def year_percentile(df: DataFrame, year: str, value: str) -> DataFrame:
     return df.join(ranks.select(year, value, low.cast("int").alias("min"), high.cast("int").alias("max")), [year, value], "left")
 
 
-def _incidence(sets: list[list]) -> dict:
-    """For each term the places of the sets that have it."""
-    places = {}
-    for i, terms in enumerate(sets):
-        for t in terms:
-            places.setdefault(t, []).append(i)
-    return {t: np.array(at) for t, at in places.items()}
-
-
-def _overlaps(sets, places: dict, width: int) -> np.ndarray:
-    """Shared terms of each set with each set of a block."""
-    out = np.zeros((len(sets), width), dtype=np.int32)
-    for i, terms in enumerate(sets):
-        for t in terms:
-            if t in places:
-                out[i, places[t]] += 1
-    return out
-
-
-def _best_in_block(block: list, k: int):
-    """For each set that comes in, the best ``k`` records of a block, which lies recent first."""
-    places = _incidence([r["set"] for r in block])
-
-    def scan(batches):
-        for pdf in batches:
-            shared = _overlaps(pdf["set"], places, len(block))
-            order = np.argsort(-shared, axis=1, kind="stable")[:, :k]
-            rows = [(s, block[j]["related_id"], int(shared[i, j]), block[j]["at"]) for i, s in enumerate(pdf["set"]) for j in order[i] if shared[i, j]]
-            yield pd.DataFrame(rows, columns=["set", "related_id", "shared", "at"])
-
-    return scan
-
-
-def _best_for_block(asked: list, k: int):
-    """For each set of a block, the best ``k`` records that come in; each task keeps its own best."""
-    places = _incidence(asked)
-
-    def scan(batches):
-        best = None
-        for whole in batches:
-            for start in range(0, len(whole), 1000):
-                pdf = whole.iloc[start : start + 1000].sort_values(["at", "related_id"], ascending=[False, True]).reset_index(drop=True)
-                shared = _overlaps(pdf["set"], places, len(asked))
-                order = np.argsort(-shared, axis=0, kind="stable")[:k]
-                hits = [(q, i, shared[i, q]) for q in range(len(asked)) for i in order[:, q] if shared[i, q]]
-                found = pd.DataFrame(hits, columns=["q", "i", "shared"]).merge(pdf[["related_id", "at"]], left_on="i", right_index=True).drop(columns="i")
-                best = found if best is None else pd.concat([best, found])
-                best = best.sort_values(["q", "shared", "at", "related_id"], ascending=[True, False, False, True]).groupby("q").head(k)
-        if best is not None and len(best):
-            yield pd.DataFrame({"set": [asked[q] for q in best["q"]], "related_id": best["related_id"], "shared": best["shared"].astype("int32"), "at": best["at"]})
-
-    return scan
-
-
-def _wide_pairs(sets: DataFrame, wide: DataFrame, narrow: DataFrame, k: int, number: int, block: int) -> list[DataFrame]:
-    """The best partners where a wide record is asked for or offered. Wide records go to the tasks in
-    blocks of bounded size, and each task keeps only the best of what it sees."""
-    schema = f"set {sets.schema['set'].dataType.simpleString()}, related_id {sets.schema['related_id'].dataType.simpleString()}, shared int, at {sets.schema['at'].dataType.simpleString()}"
-    blocks = ceil(number / block)
-    out = []
-    for b in range(blocks):
-        part = wide if blocks == 1 else wide.where(F.pmod(F.xxhash64("related_id"), F.lit(blocks)) == b)
-        got = sorted(part.collect(), key=lambda r: r["related_id"])
-        got.sort(key=lambda r: r["at"], reverse=True)
-        if not got:
-            continue
-        asked = [list(s) for s in dict.fromkeys(tuple(r["set"]) for r in got)]
-        offered = sets.select("set").distinct().mapInPandas(_best_in_block(got, k), schema)
-        found = offered.unionByName(narrow.mapInPandas(_best_for_block(asked, k), schema))
-        out.append(checkpointed(found) if blocks > 1 else found)
-    return out
-
-
-def related_works(works: DataFrame, terms: str, recency: str, k: int = 10, key: str = "id", max_terms: int = 12, block: int = 1024) -> DataFrame:
-    """(id, related_id, shared, rank): the records that share the most terms, the recent first.
-
-    No pairs are formed. Records with the same set of terms count as one; each set lists its subsets, and
-    each subset keeps the ``k + 1`` most recent records that have all of it. If a record is among the best
-    ``k`` for another, fewer than ``k`` newer ones share the same subset, so it is in that subset's list:
-    the result is exact. A set of m terms has 2^m - 1 subsets, so the few records with more than
-    ``max_terms`` take another way, just as exact: one scan per block of them."""
-    sets = works.select(F.col(key).alias("related_id"), F.col(recency).alias("at"), F.array_sort(F.array_distinct(terms)).alias("set")).where(F.size("set") > 0)
-    some = sets.where(F.size("set") <= max_terms)
-    newest = best_per_key(some, "set", ["-at", "related_id"], k + 1)
-    # the subset of each bit mask: terms whose bit is set
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("set")) - 1).cast("int"))
-    subset = F.transform(masks, lambda m: F.filter("set", lambda _, i: F.getbit(m, i) == 1))
-    offers = newest.select("related_id", "at", F.explode(subset).alias("subset"))
-    lists = best_per_key(offers, "subset", ["-at", "related_id"], k + 1)
-    asked = some.select("set").distinct().select("set", F.explode(subset).alias("subset"))
-    found = asked.join(lists, "subset").select("set", "related_id", F.size("subset").alias("shared"), "at")
-    wide = sets.where(F.size("set") > max_terms)
-    number = wide.count()
-    if number:
-        for more in _wide_pairs(sets, wide, newest.select("related_id", "at", "set"), k + 1, number, block):
-            found = found.unionByName(more)
-    found = found.groupBy("set", "related_id").agg(F.max("shared").alias("shared"), F.max("at").alias("at"))
+def related_works(works: DataFrame, terms: str, recency: str, k: int = 10, key: str = "id", hot: int = HOT) -> DataFrame:
+    """(id, related_id, shared, rank): the records that share the most terms, the recent first. Null terms are
+    left out. Records with the same set of terms count as one set, of which the ``k + 1`` newest can be answers; the sets meet in
+    ``overlap.top_overlaps``. ``hot`` only decides which lists are read out; the result is exact with any."""
+    members = F.array_sort(F.array_distinct(F.array_compact(terms)))
+    sets = works.select(F.col(key).alias("related_id"), F.col(recency).alias("at"), members.alias("set")).where(F.size("set") > 0)
+    sets = sets.withColumn("sid", F.md5(F.to_json("set")))
+    newest = stored(best_per_key(sets, "sid", ["-at", "related_id"], k + 1, "nth"))
+    best = top_overlaps(newest.where("nth = 1").drop("nth"), k + 1, hot).select("sid", F.col("other"), "shared")
     # one more than k, for the record itself may be among them
-    best = best_per_key(found, "set", ["-shared", "-at", "related_id"], k + 1)
-    pairs = sets.select(F.col("related_id").alias(key), "set").join(best, "set").where(F.col(key) != F.col("related_id"))
+    offers = newest.select(F.col("sid").alias("other"), "at", "related_id")
+    best = best_per_key(best.join(offers, "other"), "sid", ["-shared", "-at", "related_id"], k + 1)
+    pairs = sets.select(F.col("related_id").alias(key), "sid").join(best, "sid").where(F.col(key) != F.col("related_id"))
     return best_per_key(pairs, key, ["-shared", "-at", "related_id"], k, "rank").select(key, "related_id", "shared", "rank")
 
 

@@ -1,22 +1,19 @@
-"""Text search over postings ``(id, field, term, tf, positions, doc_len)``, one row per record, field and
-word. A hot word is many rows, never one list. Queries come as a frame ``(query_id, text)`` and are
-answered in one job.
+"""Text search: postings ``(id, field, term, tf, positions, doc_len)``, one row per record, field and
+word, so that a hot word is many rows, never one list; phrases, trees and names; completion. ``searchtable`` stores
+postings and answers many queries at once from them.
 """
 
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.functions.text import analyze, fold, ngram_list, normal_phrase, tokens
+from bibspark.functions.text import analyze, fold, ngram_list, normal_phrase, placed, texts, tokens
 
 # fixed values: BM25 parameters
 K1, B = 1.2, 0.75
 
-# words of the queries that may travel as a list
-MAX_VOCABULARY = 2_000
-
 # fixed values: boost of (all words, phrase) per field, by the number of fields searched
 BOOSTS = {
     1: [(1.0, 2.0)],
@@ -30,71 +27,23 @@ def _words(col: Column, exact: bool) -> Column:
     return tokens(col) if exact else analyze(col)
 
 
-def vocabulary(terms: DataFrame, limit: int = MAX_VOCABULARY):
-    """The distinct words of the queries as a list, if they are few; else the frame itself."""
-    got = [r[0] for r in terms.select("term").distinct().limit(limit + 1).collect()]
-    return got if len(got) <= limit else terms
-
-
-def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, only=None) -> DataFrame:
-    """Build postings. ``only`` keeps the words of some queries (a list, a frame with a column ``term`` or a
-    test on ``term``) before anything moves; without it the text itself moves. Either way rows move once, by record, and
-    every later grouping by record and anything else reuses that partitioning."""
-    cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
-    texts = df.select(F.col(key).alias("id"), *fields)
-    if only is None:
-        texts = texts.repartition("id")
-    rows = texts.select("id", F.explode(F.array(*cells)).alias("c")).select("id", "c.field", "c.words")
-    rows = rows.select("id", "field", F.size("words").alias("doc_len"), F.posexplode("words").alias("position", "term"))
-    if isinstance(only, DataFrame):
-        rows = rows.join(only.select("term").distinct(), "term", "left_semi").repartition("id")
-    elif only is not None:
-        test = only if isinstance(only, Column) else F.col("term").isin(list(only))
-        rows = rows.where(test).repartition("id")
-    grouped = rows.groupBy("id", "field", "term").agg(
-        F.array_sort(F.collect_list("position")).alias("positions"), F.count("*").cast("int").alias("tf"), F.first("doc_len").alias("doc_len")
-    )
+def postings(df: DataFrame, key: str, fields: list[str], exact: bool = True, lengths: bool = False) -> DataFrame:
+    """Build postings. A field is a path to one text or an array of texts a record; the texts of an array stand a gap apart. The text
+    moves once, by record, and the words are grouped where they lie. ``lengths`` adds the empty word, once for every record
+    and field with words, with their number as ``tf``."""
+    cells = [F.struct(F.lit(f).alias("field"), F.transform(texts(df, f), lambda x: _words(x, exact)).alias("lists")) for f in fields]
+    roots = [F.col(f"`{c}`") for c in dict.fromkeys(f.split(".")[0] for f in fields)]
+    rows = df.select(F.col(key).alias("__id"), *roots).repartition("__id").select(F.col("__id").alias("id"), F.explode(F.array(*cells)).alias("c"))
+    rows = rows.select("id", "c.field", "c.lists", F.aggregate("c.lists", F.lit(0), lambda n, x: n + F.size(x)).alias("doc_len")).where("doc_len > 0")
+    words = placed(F.col("lists"))
+    if lengths:
+        words = F.concat(words, F.array(F.struct(F.lit("").alias("term"), F.lit(None).cast("bigint").alias("position"))))
+    rows = rows.select("id", "field", "doc_len", F.explode(words).alias("w")).select("id", "field", "doc_len", "w.term", "w.position")
+    tf = F.when(F.col("term") == "", F.first("doc_len")).otherwise(F.count("*").cast("int")) if lengths else F.count("*").cast("int")
+    grouped = rows.groupBy("id", "field", "term").agg(F.array_sort(F.collect_list("position")).alias("positions"), tf.alias("tf"), F.first("doc_len").alias("doc_len"))
     return grouped.select("id", "field", "term", "tf", "positions", "doc_len")
 
 
-def write_postings(post: DataFrame, path: str, buckets: int = 64) -> str:
-    """Store postings in folders by word hash, sorted by word, so that a query reads only its words. Rows are
-    dealt out by ranges of (bucket, word, id): few files per folder, and a hot word over many tasks."""
-    out = post.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-    out.repartitionByRange("bucket", "term", "id").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
-    return path
-
-
-def read_postings(spark, path: str, terms: list[str], buckets: int = 64) -> DataFrame:
-    """The postings of some words: other folders are pruned, other words skipped by file statistics."""
-    wanted = spark.range(1).select(F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets)) for w in terms])))
-    found = [int(r[0]) for r in wanted.collect()]
-    df = spark.read.parquet(path)
-    return df.where(F.col("bucket").isin(found) & F.col("term").isin(terms)).drop("bucket")
-
-
-def term_stats(df: DataFrame, fields: list[str], vocab, exact: bool = True) -> DataFrame:
-    """(field, term, n_docs, avg_len, df) for some words, in one pass: each record gives its distinct
-    words, and one row of its own for the totals of the field."""
-    cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
-    rows = df.select(F.explode(F.array(*cells)).alias("c")).select("c.field", "c.words").where(F.size("words") > 0)
-    terms = F.array_distinct("words")
-    if not isinstance(vocab, DataFrame):
-        terms = F.filter(terms, lambda w: w.isin(list(vocab)))
-    total = F.array(F.lit(None).cast("string"))
-    rows = rows.select("field", F.size("words").alias("doc_len"), F.explode(F.concat(total, terms)).alias("term"))
-    if isinstance(vocab, DataFrame):
-        wanted = vocab.select("term").distinct().unionByName(vocab.sparkSession.range(1).select(F.lit(None).cast("string").alias("term")))
-        rows = rows.join(wanted.withColumnRenamed("term", "__t"), F.col("term").eqNullSafe(F.col("__t")), "left_semi")
-    counts = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("doc_len").alias("words"))
-    # as many rows as the queries have words, and one more per field
-    in_field = Window.partitionBy("field")
-    total = F.col("term").isNull()
-    n_docs = F.max(F.when(total, F.col("df"))).over(in_field)
-    avg_len = F.max(F.when(total, F.col("words") / F.col("df"))).over(in_field)
-    return counts.select("field", "term", "df", n_docs.alias("n_docs"), avg_len.alias("avg_len")).where("term is not null")
-
-
 def query_terms(queries: DataFrame, exact: bool = True) -> DataFrame:
     """(query_id, slot, term, lead, n_terms, n_slots): one row per word of the query; ``lead`` marks the
     first place of a word."""
@@ -105,99 +54,6 @@ def query_terms(queries: DataFrame, exact: bool = True) -> DataFrame:
     return rows.select("query_id", "slot", "term", lead.alias("lead"), "n_terms", "n_slots")
 
 
-def match_all(post: DataFrame, terms: DataFrame) -> DataFrame:
-    """(query_id, id, field) of records with all words of the query in one field."""
-    want = terms.where("lead").select("query_id", "term", "n_terms")
-    found = post.select("id", "field", "term").join(want, "term").groupBy("query_id", "id", "field").agg(
-        F.count("*").alias("n"), F.max("n_terms").alias("n_terms")
-    )
-    return found.where("n = n_terms").select("query_id", "id", "field")
-
-
-def _cover(slop: int) -> Column:
-    """Window starts that a word's positions fill, for its place in the phrase."""
-    starts = F.transform("positions", lambda p: F.sequence(p - F.col("slot") - slop, p - F.col("slot")))
-    return F.array_distinct(F.flatten(starts)) if slop else F.transform("positions", lambda p: p - F.col("slot"))
-
-
-def _common(covers: Column) -> Column:
-    """Values in every one of some arrays."""
-    return F.aggregate(F.slice(covers, 2, F.greatest(F.size(covers), F.lit(1))), F.get(covers, F.lit(0)), lambda a, b: F.array_intersect(a, b))
-
-
-def _in_matched(rows: DataFrame, post: DataFrame, terms: DataFrame) -> DataFrame:
-    """Rows of the records that match some query; both sides lie by record already."""
-    return rows.join(match_all(post, terms).select("id").distinct(), "id", "left_semi")
-
-
-def match_near(post: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
-    """Words of the query within ``slop`` moves of their places in the phrase: (query_id, id, field,
-    starts). Each word covers the window starts that would hold it; a match is a start covered by all.
-    Positions are looked at only where all words occur."""
-    rows = _in_matched(post.select("id", "field", "term", "positions"), post, terms).join(terms, "term")
-    # one short list per word of the query
-    found = rows.groupBy("query_id", "id", "field").agg(F.collect_list(_cover(slop)).alias("covers"), F.max("n_slots").alias("n_slots"))
-    found = found.where(F.size("covers") == F.col("n_slots"))
-    return found.select("query_id", "id", "field", _common(F.col("covers")).alias("starts")).where(F.size("starts") > 0)
-
-
-def match_phrase(post: DataFrame, terms: DataFrame) -> DataFrame:
-    return match_near(post, terms, 0)
-
-
-def scores(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact: bool = True, boosts=None) -> DataFrame:
-    """Match set and score of multi-field search: records with all words in some field, scored by the
-    boosted sum over fields of BM25 for the words, and again, at a higher boost, for the phrase. Matches
-    are found first, on words alone; only they meet the text again, where a row is scored by itself."""
-    boosts = boosts or BOOSTS[len(fields)]
-    terms = query_terms(queries, exact)
-    vocab = vocabulary(terms)
-    matched = match_all(postings(df, key, fields, exact, only=vocab), terms)
-    weights = F.create_map(*[F.lit(x) for f, (m, _) in zip(fields, boosts, strict=True) for x in (f, float(m))])
-    phrase_weights = F.create_map(*[F.lit(x) for f, (_, p) in zip(fields, boosts, strict=True) for x in (f, float(p))])
-    rarity = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    idf = term_stats(df, fields, vocab, exact).select("field", "term", "avg_len", rarity.alias("idf"))
-    # one row per query and field, as long as the query
-    asked = terms.join(idf, "term").groupBy("query_id", "field").agg(
-        F.max("avg_len").alias("avg_len"),
-        F.transform(F.array_sort(F.collect_list(F.struct("slot", "term"))), lambda s: s["term"]).alias("phrase"),
-        F.collect_list(F.when(F.col("lead"), F.struct("term", "idf"))).alias("terms"),
-    )
-    cells = [F.struct(F.lit(f).alias("field"), _words(F.col(f), exact).alias("words")) for f in fields]
-    texts = df.select(F.col(key).alias("id"), F.explode(F.array(*cells)).alias("c")).select("id", "c.field", "c.words")
-    # the few columns of a match meet the query first; the text moves once, by record
-    rows = texts.join(matched.join(asked, ["query_id", "field"]), ["id", "field"])
-
-    def bm25(weight, tf):
-        return weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("words") / F.col("avg_len")))
-
-    def times(term):
-        return F.size(F.filter("words", lambda w: w == term))
-
-    def begins(w, i):
-        return (w == F.get("phrase", F.lit(0))) & (F.slice("words", i + 1, F.size("phrase")) == F.col("phrase"))
-
-    # weight and frequency of each word, and last those of the phrase
-    found = F.transform("terms", lambda t: F.struct(t["idf"].alias("idf"), times(t["term"]).alias("tf"), F.try_element_at(weights, F.col("field")).alias("boost")))
-    whole = F.struct(
-        F.aggregate("terms", F.lit(0.0), lambda total, t: total + t["idf"]).alias("idf"),
-        F.size(F.filter("words", begins)).alias("tf"),
-        F.try_element_at(phrase_weights, F.col("field")).alias("boost"),
-    )
-    total = F.aggregate(F.concat(found, F.array(whole)), F.lit(0.0), lambda total, s: total + s["boost"] * bm25(s["idf"], s["tf"]))
-    return rows.select("query_id", "id", total.alias("part")).groupBy("query_id", "id").agg(F.sum("part").alias("score"))
-
-
-def search_scope(df: DataFrame, key: str, queries: DataFrame, fields: list[str], exact: bool = False) -> DataFrame:
-    """(query_id, id) with all words in one of the fields, stemmed or exact."""
-    terms = query_terms(queries, exact)
-    return match_all(postings(df, key, fields, exact, only=vocabulary(terms)), terms).select("query_id", "id").distinct()
-
-
-def search_field(df: DataFrame, key: str, queries: DataFrame, field: str) -> DataFrame:
-    return search_scope(df, key, queries, [field], exact=True)
-
-
 # one query with words known to the caller: a column of positions per word, then plain predicates
 
 
@@ -277,52 +133,19 @@ def match_tree(ids: DataFrame, post: DataFrame, node) -> DataFrame:
 
 
 def wildcard_pattern(text: str, min_prefix: int = 3) -> tuple[str, str]:
-    """Plain prefix and full pattern of a word with ``*`` and ``?``; ``*`` needs a prefix."""
+    """Plain prefix and full pattern of a word with ``*`` and ``?``; ``*`` needs a prefix, unless ``min_prefix`` is 0: then a
+    wildcard may also come first."""
     text = text.lower()
     cut = min((text.index(c) for c in "*?" if c in text), default=len(text))
     star = text.find("*")
     if star >= 0 and len(text[:star].replace("?", "")) < min_prefix:
         raise ValueError(f"a wildcard needs {min_prefix} characters before it")
-    if text[:1] in "*?":
+    if min_prefix and text[:1] in "*?":
         raise ValueError("a wildcard cannot come first")
     body = "".join({"*": ".*", "?": "."}.get(c, c if c.isalnum() else "\\" + c) for c in text)
     return text[:cut], f"^{body}$"
 
 
-def wildcard_tests(text: str) -> list[Column]:
-    """A test on ``term`` for each pattern of the query."""
-    tests = []
-    for word in text.split():
-        prefix, pattern = wildcard_pattern(word)
-        tests.append(F.col("term").startswith(prefix) & F.col("term").rlike(pattern))
-    return tests
-
-
-def any_test(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
-def match_wildcard(post: DataFrame, text: str, vocabulary: bool = False) -> DataFrame:
-    """Records with a word for each pattern of the query; ``vocabulary=True`` gives the words instead."""
-    tests = wildcard_tests(text)
-    hits = post.where(any_test(tests))
-    if vocabulary:
-        return hits.select("term").distinct()
-    found = hits.groupBy("id", "field").agg(*[F.bool_or(t).alias(f"t{i}") for i, t in enumerate(tests)])
-    return found.where(reduce(lambda a, b: a & b, [F.col(f"t{i}") for i in range(len(tests))])).select("id").distinct()
-
-
-def fuzzy_test(word: str, distance: int = 2) -> Column:
-    """A test on ``term`` for an edit distance; most words fail by their length alone."""
-    near = F.length("term").between(len(word) - distance, len(word) + distance)
-    return near & F.levenshtein(F.col("term"), F.lit(word.lower()), distance).between(0, distance)
-
-
-def match_fuzzy(post: DataFrame, word: str, distance: int = 2) -> DataFrame:
-    """Records with a word within an edit distance."""
-    return post.where(fuzzy_test(word, distance)).select("id").distinct()
-
-
 def citation_boost(score: Column, cited: Column, how: str = "sqrt") -> Column:
     """Score times 1 + sqrt(c) or 1 + ln(c); 0.5 where c is missing or too low to count."""
     if how == "sqrt":
@@ -334,18 +157,17 @@ def citation_boost(score: Column, cited: Column, how: str = "sqrt") -> Column:
 
 def match_name(df: DataFrame, cols: list[str], q: str) -> DataFrame:
     """Records one of whose names has all words of the query, accents aside, with a score: one point per
-    name, two more where the words stand as a phrase."""
+    field, two more where the words stand as a phrase. Of an array of names the best one counts; no match goes over two of them."""
     want = fold(F.lit(q))
     words = F.array_distinct(tokens(want))
     phrase = normal_phrase(F.lit(q))
 
-    def points(col):
-        have = tokens(fold(F.col(col)))
-        whole = F.concat(normal_phrase(F.col(col)), F.lit(" "))
-        hit = F.size(F.array_except(words, have)) == 0
+    def points(name):
+        whole = F.concat(normal_phrase(name), F.lit(" "))
+        hit = F.size(F.array_except(words, tokens(fold(name)))) == 0
         return F.when(hit, 1 + F.when(whole.contains(F.concat(phrase, F.lit(" "))), 2).otherwise(0)).otherwise(0)
 
-    score = reduce(lambda a, b: a + b, [F.coalesce(points(c), F.lit(0)) for c in cols])
+    score = reduce(lambda a, b: a + b, [F.coalesce(F.array_max(F.transform(texts(df, c), points)), F.lit(0)) for c in cols])
     return df.withColumn("score", score).where("score > 0")
 
 
@@ -369,9 +191,9 @@ def highlight(col: Column, words: list[str], size: int = 300, n: int = 5, pre: s
 
 
 def affiliation_search(df: DataFrame, text: str, q: str, have: Column, lack: Column, count: Column) -> DataFrame:
-    """Strings with all words of the query, with and without some linked ids, in a range of counts."""
+    """Records with a string that has all words of the query, with and without some linked ids, in a range of counts."""
     words = tokens(F.lit(q))
-    return df.where(have & lack & count & (F.size(F.array_except(words, tokens(F.col(text)))) == 0))
+    return df.where(have & lack & count & F.exists(texts(df, text), lambda x: F.size(F.array_except(words, tokens(x))) == 0))
 
 
 # suggestions and completion
@@ -400,10 +222,10 @@ def suggest(phrases: DataFrame, q: str, n: int = 10, min_len: int = 3) -> DataFr
 
 
 def autocomplete(df: DataFrame, q: str, cols: list[str], key: str, name: str, tie: str, n: int = 10, norm=None) -> DataFrame:
-    """The first ``n`` records one of whose texts has the query as a phrase prefix: exact names first,
-    then names that start with it, then by the tie column. With ``norm``, an id normaliser, a query that
+    """The first ``n`` records one of whose texts (arrays of alternatives or acronyms too) has the query as a phrase prefix: exact
+    names first, then names that start with it, then by the tie column. With ``norm``, an id normaliser, a query that
     is an id in any spelling gives the record with that id instead."""
-    hit = reduce(lambda a, b: a | b, [F.coalesce(phrase_prefix(F.col(c), q), F.lit(False)) for c in cols])
+    hit = reduce(lambda a, b: a | b, [F.exists(texts(df, c), lambda x: phrase_prefix(x, q)) for c in cols])
     if norm is not None:
         asked = norm(F.lit(q))
         hit = F.when(asked.isNotNull(), F.col(key) == asked).otherwise(hit)

@@ -95,6 +95,19 @@ def related_works(t):
     return B.related_works(docs, "terms", "recent", 5)
 
 
+_PARTS = "t as (select o_custkey as id, list_distinct(list(l_partkey)) as terms, max(o_orderkey) as at from lineitem join orders on l_orderkey = o_orderkey group by 1)"
+
+
+@query("related_by_many_terms", f"""
+with {_PARTS} select id, related_id, shared::integer as shared, rank::integer as rank from (select a.id, b.id as related_id, len(list_intersect(a.terms, b.terms)) as shared,
+ row_number() over (partition by a.id order by len(list_intersect(a.terms, b.terms)) desc, b.at desc, b.id) as rank from t a join t b on a.id <> b.id and list_has_any(a.terms, b.terms)) where rank <= 3""")
+def related_by_many_terms(t):
+    """Customers by the parts they bought: some dozens each."""
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    df = rows.groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set("l_partkey").alias("terms"), F.max("o_orderkey").alias("at"))
+    return B.related_works(df, "terms", "at", 3)
+
+
 def authorships(t):
     """(author, work, date, institution): the suppliers on a customer's orders."""
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))

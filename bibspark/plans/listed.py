@@ -44,10 +44,10 @@ def list_cursor(t):
 
 
 @query("list_search", r"""
-with d as (select doc_id as id, n_chars, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from documents where lang = 'en'),
+with d as (select doc_id as id, lang, n_chars, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from documents),
  st as (select count(*) as n_docs, avg(len(words)) as avg_len from d where len(words) > 0),
  idf as (select w, ln(1 + (n_docs - df + 0.5) / (df + 0.5)) as idf, avg_len from (select w, count(*) as df from (select unnest(list_distinct(words)) as w from d) where w in ('with', 'from') group by 1), st),
- m as (select *, len(list_filter(range(1, len(words)), lambda i: words[i] = 'with' and words[i + 1] = 'from')) as hits from d where list_has_all(words, ['with', 'from'])),
+ m as (select *, len(list_filter(range(1, len(words)), lambda i: words[i] = 'with' and words[i + 1] = 'from')) as hits from d where lang = 'en' and list_has_all(words, ['with', 'from'])),
  s as (select id, n_chars, words, hits, idf, avg_len, len(list_filter(words, lambda x: x = idf.w)) as tf from m, idf),
  r as (select id, n_chars, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / avg_len))) + 2 * sum(idf) * any_value(hits) * 2.2 / (any_value(hits) + 1.2 * (0.25 + 0.75 * any_value(len(words)) / any_value(avg_len))) as score from s group by 1, 2)
 select id, round(score * (1 + sqrt(n_chars)), 3) as score from r order by r.score * (1 + sqrt(n_chars)) desc, id limit 100""")

@@ -3,6 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bibspark.operators.searchtable import SearchTable, add_lookups, build
+from bibspark.session import scratch
+
 QUERIES: dict = {}
 
 TABLE_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -30,6 +33,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
+# search tables by session, folder and kind: stored by the first query that reads them, as a catalogue stores its own once
+_STORED: dict = {}
+
+
 class Tables:
     """Lazy readers of the tables under one folder; ``tables.orders`` is a DataFrame."""
 
@@ -46,6 +53,16 @@ class Tables:
         df = self.spark.read.parquet(self.path(name))
         return spread(df) if name in TEXT_TABLES else df
 
+    def search_table(self, exact: bool = True, lookups: bool = False) -> SearchTable:
+        """The search table of documents: text, source and lang; with lookups for words by likeness and pattern."""
+        key = (self.spark.sparkContext.applicationId, self.folder, exact)
+        if key not in _STORED:
+            docs = self.spark.read.parquet(self.path("documents"))
+            _STORED[key] = build(docs, "doc_id", ["text", "source", "lang"], scratch(self.spark, "search"), exact)
+        if lookups and (*key, "lookups") not in _STORED:
+            _STORED[*key, "lookups"] = add_lookups(_STORED[key])
+        return _STORED[key]
+
     @property
     def works(self) -> DataFrame:
         """Nested records: each document with its sentences as an array of structs. Built inside the

@@ -8,8 +8,9 @@ from bibspark.functions.ids import norm_catalog
 from bibspark.functions.paths import leaf
 from bibspark.operators import predicates as P
 from bibspark.operators import search as S
+from bibspark.operators import searchtable as ST
 from bibspark.plans.registry import query
-from bibspark.session import local_frame, scratch
+from bibspark.session import local_frame
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
 _FOLD = r"regexp_replace(strip_accents(lower({})), '\p{{M}}+', '', 'g')"
@@ -34,8 +35,8 @@ def postings(t):
 
 @query("postings_stored_by_word", f"with {DOCS}, {TOKENS} select id, term, cast(count(*) as bigint) as tf from toks where term in ('und', 'the', 'que') group by 1, 2")
 def postings_stored(t):
-    path = S.write_postings(S.postings(t.documents, "doc_id", ["text"]), scratch(t.spark, "postings"))
-    return S.read_postings(t.spark, path, ["und", "the", "que"]).select("id", "term", F.col("tf").cast("bigint"))
+    found = ST.word_rows(t.search_table(), ["und", "the", "que"]).where("field = 'text'")
+    return found.select("id", "term", F.col("tf").cast("bigint"))
 
 
 _STEM = r"""case when regexp_matches(w, '[^ea]ies$') then regexp_replace(w, 'ies$', 'y') when regexp_matches(w, '[^aeo]es$') then regexp_replace(w, 's$', '')
@@ -50,23 +51,27 @@ def analysed_words(t):
 
 @query("match_all_words", f"with {DOCS}, {ITEMS} select query_id, id from docs join items on list_has_all(docs.words, items.words)")
 def match_all(t):
-    terms = S.query_terms(_items(t))
-    return S.match_all(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms).select("query_id", "id")
+    return ST.match_all(t.search_table(), _items(t), ["text"])
 
 
 @query("match_phrase", f"""
 with {DOCS}, {ITEMS} select query_id, id from docs join items on contains(' ' || array_to_string(docs.words, ' ') || ' ', ' ' || array_to_string(items.words, ' ') || ' ')""")
 def match_phrase(t):
-    terms = S.query_terms(_items(t))
-    return S.match_phrase(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms).select("query_id", "id")
+    return ST.match_near(t.search_table(), _items(t), 0, ["text"]).select("query_id", "id")
 
 
 @query("match_near", f"""
 with {DOCS}, {TOKENS}, q as (select * from (values (0, 'the', 'of', 2), (1, 'die', 'und', 2), (2, 'que', 'de', 2)) v(query_id, a, b, n))
 select distinct query_id, x.id from q join toks x on x.term = a join toks y on y.term = b and y.id = x.id and abs(y.position - 1 - x.position) <= n""")
 def match_near(t):
-    terms = S.query_terms(_asked(t, "the of", "die und", "que de"))
-    return S.match_near(S.postings(t.documents, "doc_id", ["text"], only=S.vocabulary(terms)), terms, 2).select("query_id", "id")
+    return ST.match_near(t.search_table(), _asked(t, "the of", "die und", "que de"), 2, ["text"]).select("query_id", "id")
+
+
+@query("match_near_repeated_word", f"""
+with {DOCS}, {TOKENS} select distinct 0 as query_id, x.id from toks x join toks y on x.term = 'the' and y.term = 'the' and y.id = x.id and y.position > x.position and y.position - 1 - x.position <= 2""")
+def match_near_repeated(t):
+    """Two equal words of a query take two places of the text."""
+    return ST.match_near(t.search_table(), _asked(t, "the the"), 2, ["text"]).select(F.lit(0).alias("query_id"), "id")
 
 
 _BM25 = "ln(1 + (n_docs - df + 0.5) / (df + 0.5))"
@@ -90,27 +95,27 @@ select query_id, id, round(sum(score * wm + wp * idf * hits * 2.2 / (hits + 1.2
 
 @query("score_two_fields", _scores_sql(["text", "source"], S.BOOSTS[2], f"select * from (values (0, ['the', 'of']), (1, ['src3']), (2, ['und', 'der', 'die']), (3, ['de', 'la'])) v(query_id, words)"))
 def score_two_fields(t):
-    found = S.scores(t.documents, "doc_id", _asked(t, "the of", "src3", "und der die", "de la"), ["text", "source"])
+    found = ST.scores(t.search_table(), _asked(t, "the of", "src3", "und der die", "de la"), ["text", "source"])
     return found.select("query_id", "id", F.round("score", 4).alias("score"))
 
 
 @query("score_three_fields", _scores_sql(["text", "source", "lang"], S.BOOSTS[3], f"select item_id as query_id, {_WORDS.format('text')} as words from benchmark union all select -1, ['en']"))
 def score_three_fields(t):
     asked = _items(t).unionByName(_asked(t, "en").select((F.col("query_id") - 1).alias("query_id"), "text"))
-    found = S.scores(t.documents, "doc_id", asked, ["text", "source", "lang"])
+    found = ST.scores(t.search_table(), asked, ["text", "source", "lang"])
     return found.select("query_id", "id", F.round("score", 4).alias("score"))
 
 
 @query("search_one_field_exact", f"with {DOCS} select 0 as query_id, id from docs where list_has_all(words, ['this', 'was'])")
 def search_exact(t):
-    return S.search_scope(t.documents, "doc_id", _asked(t, "this was"), ["text"], exact=True)
+    return ST.match_all(t.search_table(), _asked(t, "this was"), ["text"])
 
 
 @query("search_stemmed", f"""
 with {DOCS} select distinct 0 as query_id, id from (select id, list_transform(list_filter(words, lambda x: x not in ({_STOP})), lambda w: {_STEM}) as stems from docs)
 where list_contains(stems, 'from') and list_contains(stems, 'th')""")
 def search_stemmed(t):
-    return S.search_scope(t.documents, "doc_id", _asked(t, "The froms th"), ["text"])
+    return ST.match_all(t.search_table(exact=False), _asked(t, "The froms th"), ["text"])
 
 
 @query("match_boolean_tree", f"""
@@ -119,29 +124,51 @@ select id from p where (list_contains(words, 'und') or contains(s, ' of the ') o
 def match_tree(t):
     node = {"and": [{"or": ["und", "of the", "que la"]}, {"not": "with"}]}
     ids = t.documents.select(F.col("doc_id").alias("id"))
-    return S.match_tree(ids, S.postings(t.documents, "doc_id", ["text"], only=S.tree_words(node)), node)
+    return S.match_tree(ids, ST.word_rows(t.search_table(), S.tree_words(node)).where("field = 'text'"), node)
 
 
 @query("match_boolean_tree_negated", f"with {DOCS} select id from docs where not (list_contains(words, 'the') and list_contains(words, 'of'))")
 def match_tree_negated(t):
     node = {"not": {"and": ["the", "of"]}}
     ids = t.documents.select(F.col("doc_id").alias("id"))
-    return S.match_tree(ids, S.postings(t.documents, "doc_id", ["text"], only=S.tree_words(node)), node)
+    return S.match_tree(ids, ST.word_rows(t.search_table(), S.tree_words(node)).where("field = 'text'"), node)
 
 
 @query("match_wildcard", rf"with {DOCS}, {TOKENS} select id from toks group by 1 having bool_or(regexp_matches(term, '^the.*$')) and bool_or(regexp_matches(term, '^w.s$'))")
 def match_wildcard(t):
-    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"], only=S.any_test(S.wildcard_tests("the* w?s"))), "the* w?s")
+    return ST.with_patterns(t.search_table(lookups=True), ["the*", "w?s"], field="text")
 
 
 @query("match_wildcard_vocabulary", rf"with {DOCS}, {TOKENS} select distinct term from toks where regexp_matches(term, '^tio.*n$')")
 def match_wildcard_vocabulary(t):
-    return S.match_wildcard(S.postings(t.documents, "doc_id", ["text"], only=S.any_test(S.wildcard_tests("tio*n"))), "tio*n", vocabulary=True)
+    return ST.wildcard_words(t.search_table(lookups=True), ["tio*n"]).select("term")
+
+
+@query("match_wildcard_inner", rf"with {DOCS}, {TOKENS} select distinct term from toks where regexp_matches(term, '^.*ation.*$') or regexp_matches(term, '^.he$')")
+def match_wildcard_inner(t):
+    """Wildcards at any place, by the runs of characters a pattern fixes."""
+    return ST.wildcard_words(t.search_table(lookups=True), ["*ation*", "?he"], min_prefix=0).select("term").distinct()
+
 
+# the checking engine counts bytes: each accented letter becomes one other byte
+_ONE_BYTE = f"translate(term, '{X.ACCENTED}ß', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ01')"
 
-@query("match_fuzzy", f"with {DOCS}, {TOKENS} select distinct id from toks where levenshtein(term, 'there') <= 1")
+
+def _word(t, *words):
+    return local_frame(t.spark, word=pa.array(words))
+
+
+@query("match_fuzzy", f"with {DOCS}, {TOKENS} select distinct id from toks where damerau_levenshtein(term, 'there') <= 1")
 def match_fuzzy(t):
-    return S.match_fuzzy(S.postings(t.documents, "doc_id", ["text"], only=S.fuzzy_test("there", 1)), "there", 1)
+    """One edit, a swap of neighbours included."""
+    return ST.with_words(t.search_table(), ST.fuzzy_words(t.search_table(lookups=True), _word(t, "there"), 1), "text")
+
+
+@query("fuzzy_words", f"""
+with {DOCS}, {TOKENS}, q as (select * from (values ('hte'), ('udn'), ('thwhich'), ('reeua')) v(word))
+select distinct word, term from (select distinct term from toks), q where damerau_levenshtein({_ONE_BYTE}, word) <= 2""")
+def fuzzy_words(t):
+    return ST.fuzzy_words(t.search_table(lookups=True), _word(t, "hte", "udn", "thwhich", "reeua"), 2)
 
 
 _SPANS = "a as (select x.id, y.position as e from toks x join toks y on y.id = x.id and x.term = 'of' and y.term = 'the' and y.position = x.position + 1)"
@@ -149,7 +176,7 @@ _SPANS = "a as (select x.id, y.position as e from toks x join toks y on y.id = x
 
 @query("match_span", f"with {DOCS}, {TOKENS}, {_SPANS} select distinct a.id from a join toks y on y.id = a.id and y.term = 'and' and y.position - a.e - 1 between 0 and 10")
 def match_span(t):
-    post = S.postings(t.documents, "doc_id", ["text"], only=["of", "the", "and"])
+    post = ST.word_rows(t.search_table(), ["of", "the", "and"]).where("field = 'text'")
     return S.match_span(post, "of the", "and", 10).select("id")
 
 
@@ -159,7 +186,7 @@ with {DOCS}, {TOKENS}, a as (select x.id, y.position as e from toks x join toks
    where y.position - x.position between 1 and 2)
 select distinct a.id from a join b on a.id = b.id and s - e - 1 between 0 and 12""")
 def match_span_loose(t):
-    post = S.postings(t.documents, "doc_id", ["text"], only=["in", "the", "to", "and"])
+    post = ST.word_rows(t.search_table(), ["in", "the", "to", "and"]).where("field = 'text'")
     return S.match_span(post, "in the", "to and", 12, loose=True).select("id")
 
 
@@ -214,7 +241,7 @@ def affiliation_search(t):
 
 @query("search_single_field", "select 0 as query_id, doc_id as id from documents where source = 'src7'")
 def search_single_field(t):
-    return S.search_field(t.documents, "doc_id", _asked(t, "SRC7"), "source")
+    return ST.match_all(t.search_table(), _asked(t, "SRC7"), ["source"])
 
 
 _GRAMS = f"""{DOCS}, grams as (select id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) as ngram from docs)"""

@@ -81,6 +81,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Written to the shared folder and read again: cuts the lineage like a checkpoint, computes the rows once, and
+    tells the optimizer their size. Partitioning and order are not kept."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_frame(spark: SparkSession, **columns: pa.Array) -> DataFrame:
     """A short list from the caller as a frame. It goes in through Arrow as a local relation, whose size
     the optimizer knows, so it can decide on a broadcast before anything is shuffled."""

@@ -84,19 +84,41 @@ def test_h_index(spark):
     assert {r.a: r.h_index for r in B.h_index(df, "a", "c").collect()} == {"p": 4, "q": 0, "r": 1, "s": 2}
 
 
-@pytest.mark.parametrize("max_terms, block", [(12, 1024), (3, 1024), (2, 7), (0, 1024)])
-def test_related_is_brute_force(spark, max_terms, block):
+def related_brute(works, k):
+    out = {}
+    for i, terms, _ in works:
+        others = [(len(set(terms) & set(o)), a, j) for j, o, a in works if j != i and set(terms) & set(o)]
+        out[i] = [(j, n) for n, a, j in sorted(others, key=lambda x: (-x[0], -x[1], x[2]))[:k]]
+    return out
+
+
+def related_found(df, k, hot):
+    got = {}
+    for r in B.related_works(df, "terms", "at", k, hot=hot).collect():
+        got.setdefault(r.id, {})[r["rank"]] = (r.related_id, r.shared)
+    return {i: [found[n] for n in sorted(found)] for i, found in got.items()}
+
+
+@pytest.mark.parametrize("hot", [128, 5, 1])
+def test_related_is_brute_force(spark, hot):
     rng = random.Random(11)
     # a third of the records share one set
     works = [(i, ["hub"] if i % 3 == 0 else rng.sample("abcdefg", rng.randint(0, 4)) + ["hub"] * (i % 2), rng.randint(1, 20)) for i in range(120)]
     df = spark.createDataFrame(works, "id int, terms array<string>, at int")
-    got = {}
-    for r in B.related_works(df, "terms", "at", 4, max_terms=max_terms, block=block).collect():
-        got.setdefault(r.id, {})[r["rank"]] = (r.related_id, r.shared)
-    for i, terms, _ in works:
-        others = [(len(set(terms) & set(o)), a, j) for j, o, a in works if j != i and set(terms) & set(o)]
-        want = [(j, n) for n, a, j in sorted(others, key=lambda x: (-x[0], -x[1], x[2]))[:4]]
-        assert [got.get(i, {})[k] for k in sorted(got.get(i, {}))] == want
+    got = related_found(df, 4, hot)
+    assert {i: got.get(i, []) for i, *_ in works} == related_brute(works, 4)
+
+
+def test_related_with_many_terms(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    near = rng.sample(words, 30)
+    works = [(i, rng.sample(words, rng.randint(5, 40)), rng.randint(1, 20)) for i in range(60)]
+    # near copies: each lacks one term of thirty and has one of its own
+    works += [(100 + i, near[:i] + near[i + 1 :] + [f"own{i}"], rng.randint(1, 20)) for i in range(30)]
+    df = spark.createDataFrame(works, "id int, terms array<string>, at int")
+    got = related_found(df, 3, 16)
+    assert {i: got.get(i, []) for i, *_ in works} == related_brute(works, 3)
 
 
 def test_percentiles_match_windows(spark):

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from bibspark.functions import text as X
 from bibspark.operators import project
 from bibspark.operators import search as S
+from bibspark.operators import searchtable as ST
 
 DOCS = [
     (1, "The cat sat on the mat", "zoo"),
@@ -35,41 +37,74 @@ def pairs(df):
     return sorted((r.query_id, r.id) for r in df.collect())
 
 
-@pytest.mark.parametrize("as_list", [True, False])
-def test_match_all_and_phrase(spark, docs, as_list):
-    terms = S.query_terms(asked(spark, "cat mat", "the cat", "the the"))
-    only = S.vocabulary(terms) if as_list else terms
-    post = S.postings(docs, "id", ["text", "place"], only=only)
-    assert pairs(S.match_all(post, terms)) == [(0, 1), (0, 2), (0, 5), (0, 6), (1, 1), (1, 2), (2, 1), (2, 2)]
-    assert pairs(S.match_phrase(post, terms)) == [(0, 5), (1, 1), (1, 2)]
+@pytest.fixture(scope="module")
+def table(docs, tmp_path_factory):
+    return ST.add_lookups(ST.build(docs, "id", ["text", "place"], str(tmp_path_factory.mktemp("search")), buckets=4))
+
+
+def test_match_all_and_phrase(spark, table):
+    queries = asked(spark, "cat mat", "the cat", "the the", "cat nowhere", "")
+    assert pairs(ST.match_all(table, queries)) == [(0, 1), (0, 2), (0, 5), (0, 6), (1, 1), (1, 2), (2, 1), (2, 2)]
+    assert pairs(ST.match_near(table, queries)) == [(0, 5), (1, 1), (1, 2)]
+    assert pairs(ST.match_all(table, queries, ["place"])) == [(0, 5)]
 
 
 def near(doc, query, slop):
-    """Brute force: some choice of one place per word, shifted by its slot, within the slop."""
+    """Brute force: some choice of different places, one per word, shifted by its slot, within the slop."""
     from itertools import product
 
     have, want = words(doc), words(query)
-    places = [[i - slot for i, w in enumerate(have) if w == q] for slot, q in enumerate(want)]
-    return any(max(c) - min(c) <= slop for c in product(*places)) if want else False
+    places = [[(i - slot, i) for i, w in enumerate(have) if w == q] for slot, q in enumerate(want)]
+    return any(max(x for x, _ in c) - min(x for x, _ in c) <= slop and len({i for _, i in c}) == len(c) for c in product(*places)) if want else False
 
 
 @pytest.mark.parametrize("slop", [0, 1, 2, 4])
-def test_match_near_is_brute_force(spark, docs, slop):
-    queries = ["cat mat", "mat cat", "the mat cat", "dogs and cats", "on sat"]
-    terms = S.query_terms(asked(spark, *queries))
-    got = pairs(S.match_near(S.postings(docs, "id", ["text"], only=S.vocabulary(terms)), terms, slop))
-    assert got == sorted((q, d[0]) for q, text in enumerate(queries) for d in DOCS if near(d[1], text, slop))
-
-
-def test_only_is_the_same_as_all_postings(docs):
-    whole = S.postings(docs, "id", ["text"]).where(F.col("term").isin("cat", "the"))
-    some = S.postings(docs, "id", ["text"], only=["cat", "the"])
-    key = lambda df: sorted(map(str, df.select("id", "term", "tf", "positions", "doc_len").collect()))
-    assert key(whole) == key(some)
+def test_match_near_is_brute_force(spark, tmp_path, slop):
+    rng = random.Random(slop)
+    more = [(100 + i, " ".join(rng.choice(["the", "cat", "mat", "on", "sat"]) for _ in range(rng.randint(1, 9))), None) for i in range(60)]
+    queries = ["cat mat", "mat cat", "the mat cat", "dogs and cats", "on sat", "the the", "the cat the", "cat cat the cat"]
+    table = ST.build(spark.createDataFrame(DOCS + more, "id int, text string, place string"), "id", ["text"], str(tmp_path), buckets=2)
+    got = pairs(ST.match_near(table, asked(spark, *queries), slop))
+    assert got == sorted((q, d[0]) for q, text in enumerate(queries) for d in DOCS + more if near(d[1], text, slop))
+
+
+def test_queries_read_postings_once_and_no_text(spark, table):
+    for df in (ST.scores(table, asked(spark, "the cat"), ["text"]), ST.match_near(table, asked(spark, "the cat"), 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        read = re.findall(r"Relation \[([^\]]*)", plan)
+        assert sum("positions#" in columns for columns in read) == 1 and all("bucket#" in columns for columns in read)
+
+
+ARRAYS = [
+    (1, ["Deep sea", "blue whale song"], [{"name": "Ocean lab"}, {"name": "Sea life"}]),
+    (2, ["whale song deep"], [{"name": "lab sea"}]),
+    (3, ["sea", "blue"], None),
+    (4, [None, "", "Deep blue sea"], [{"name": None}]),
+    (5, None, []),
+]
 
 
-def test_scores_follow_the_formula(spark, docs):
-    got = {(r.query_id, r.id): r.score for r in S.scores(docs, "id", asked(spark, "the cat"), ["text"]).collect()}
+def test_arrays_of_texts(spark, tmp_path):
+    df = spark.createDataFrame(ARRAYS, "id int, names array<string>, at array<struct<name:string>>")
+    table = ST.build(df, "id", ["names", "at.name"], str(tmp_path), buckets=2)
+    queries = asked(spark, "deep sea", "sea blue", "whale song", "lab sea")
+    # all words of a field, over its elements; phrases inside one element
+    assert pairs(ST.match_all(table, queries, ["names"])) == [(0, 1), (0, 4), (1, 1), (1, 3), (1, 4), (2, 1), (2, 2)]
+    assert pairs(ST.match_near(table, queries, 3, ["names"])) == [(0, 1), (0, 4), (1, 4), (2, 1), (2, 2)]
+    assert pairs(ST.match_near(table, queries, 0, ["names"])) == [(0, 1), (2, 1), (2, 2)]
+    assert pairs(ST.match_near(table, queries, 0, ["at.name"])) == [(3, 2)]
+    got = {(r.query_id, r.id) for r in ST.scores(table, queries, ["names", "at.name"]).collect()}
+    assert got == {(0, 1), (0, 4), (1, 1), (1, 3), (1, 4), (2, 1), (2, 2), (3, 1), (3, 2)}
+    assert {r.id: r.score for r in S.match_name(df, ["names", "at.name"], "sea").collect()} == {1: 6, 2: 3, 3: 3, 4: 3}
+    assert {r.id: r.score for r in S.match_name(df, ["names"], "sea blue").collect()} == {4: 1}
+    complete = S.autocomplete(df.withColumn("n", F.col("id")).withColumn("name", F.get("names", F.lit(0))), "blue", ["names"], "id", "name", "n")
+    assert [r.id for r in complete.collect()] == [4, 3, 1]
+    near = S.affiliation_search(df, "at.name", "lab sea", F.lit(True), F.lit(True), F.lit(True))
+    assert [r.id for r in near.collect()] == [2]
+
+
+def test_scores_follow_the_formula(spark, table):
+    got = {(r.query_id, r.id): r.score for r in ST.scores(table, asked(spark, "the cat"), ["text"]).collect()}
     lists = {d[0]: words(d[1]) for d in DOCS if words(d[1])}
     avg = sum(map(len, lists.values())) / len(lists)
 
@@ -89,8 +124,8 @@ def test_scores_follow_the_formula(spark, docs):
     assert got == pytest.approx(want)
 
 
-def test_span(docs):
-    post = S.postings(docs, "id", ["text"], only=["the", "cat", "mat", "sat"])
+def test_span(table):
+    post = ST.word_rows(table, ["the", "cat", "mat", "sat"]).where("field = 'text'")
     span = lambda *a, **k: sorted(r.id for r in S.match_span(post, *a, **k).collect())
     assert span("the cat", "mat", 3) == [1]
     assert span("the cat", "mat", 2) == []
@@ -108,20 +143,49 @@ def test_tree(docs):
     assert got({"and": [{"or": ["cat", "cats"]}, {"not": {"or": ["the cat", "x"]}}]}) == [3]
 
 
-def test_wildcards(docs):
-    post = S.postings(docs, "id", ["text"])
-    assert sorted(r.id for r in S.match_wildcard(post, "cat*").collect()) == [1, 2, 3, 6]
-    assert sorted(r.id for r in S.match_wildcard(post, "cat? d?gs").collect()) == [3]
+def test_wildcards(table):
+    assert sorted(r.id for r in ST.with_patterns(table, ["cat*"], field="text").collect()) == [1, 2, 3, 6]
+    assert sorted(r.id for r in ST.with_patterns(table, ["cat?", "d?gs"]).collect()) == [3]
+    words = lambda *p: sorted((r.pattern, r.term) for r in ST.wildcard_words(table, list(p), 0).collect())
+    assert words("*a*") == [("*a*", w) for w in ("and", "cat", "cats", "farm", "mat", "sat")]
+    assert words("?at") == [("?at", "cat"), ("?at", "mat"), ("?at", "sat")] and words("*at*", "z?o") == [("*at*", w) for w in ("cat", "cats", "mat", "sat")] + [("z?o", "zoo")]
+    assert words("*") == [("*", r.term) for r in sorted(table.part("vocabulary").where("term != ''").select("term").distinct().collect())]
     for bad in ("ca*", "*cat", "?at"):
         with pytest.raises(ValueError):
             S.wildcard_pattern(bad)
     assert S.wildcard_pattern("a.b?c")[1] == r"^a\.b.c$"
 
 
-def test_fuzzy(docs):
-    post = S.postings(docs, "id", ["text"])
-    assert sorted(r.id for r in S.match_fuzzy(post, "bat", 1).collect()) == [1, 2, 6]
-    assert S.match_fuzzy(post, "elephant", 2).count() == 0
+def edits(a, b):
+    """Distance with swaps of neighbours, unrestricted."""
+    last, big = {}, len(a) + len(b)
+    d = {(-1, -1): big}
+    for i in range(len(a) + 1):
+        d[i, -1], d[i, 0] = big, i
+    for j in range(len(b) + 1):
+        d[-1, j], d[0, j] = big, j
+    for i in range(1, len(a) + 1):
+        at = 0
+        for j in range(1, len(b) + 1):
+            k, m = last.get(b[j - 1], 0), at
+            same = a[i - 1] == b[j - 1]
+            at = j if same else at
+            d[i, j] = min(d[i - 1, j - 1] + (not same), d[i, j - 1] + 1, d[i - 1, j] + 1, d[k - 1, m - 1] + (i - k - 1) + 1 + (j - m - 1))
+        last[a[i - 1]] = i
+    return d[len(a), len(b)]
+
+
+@pytest.mark.parametrize("distance", [1, 2])
+def test_fuzzy_is_brute_force(spark, tmp_path, distance):
+    rng = random.Random(7)
+    made = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(80)} | {"a" * n + "bc" for n in (30, 31, 32, 33, 40)} | {"ca", "abc", "their"})
+    table = ST.add_lookups(ST.build(spark.createDataFrame([(i, w) for i, w in enumerate(made)], "id int, text string"), "id", ["text"], str(tmp_path), buckets=2))
+    wanted = ["ca", "abcab", "b", "thier", "thie", "a" * 31 + "cb", "a" * 39 + "bc", "nothing", "ABC"]
+    words = spark.createDataFrame([(w,) for w in wanted], "word string")
+    got = sorted((r.word, r.term) for r in ST.fuzzy_words(table, words, distance).collect())
+    assert got == sorted((w, t) for w in {x.lower() for x in wanted} for t in made if edits(w, t) <= distance)
+    assert ("thier", "their") in got
+    assert ST.with_words(table, ST.fuzzy_words(table, words, distance)).count() == len({t for _, t in got})
 
 
 def test_fold_and_tokens(spark):

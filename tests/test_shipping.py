@@ -9,12 +9,10 @@ SCRIPT = """
 import sys
 sys.path.insert(0, {root!r})
 from bibspark.session import local_session
-from bibspark.operators import bibliometrics as B, vectors as V
+from bibspark.operators import vectors as V
 spark = local_session(2, shuffle=2, memory="1g")
 df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "id int, v array<double>")
 print(V.knn(df, "id", "v", [1.0, 1.0], 3, None).count())
-docs = spark.createDataFrame([(i, ["a", "b", "c"][: i % 4], i) for i in range(12)], "id int, terms array<string>, at int")
-print(B.related_works(docs, "terms", "at", 2, max_terms=1).count())
 """
 
 
@@ -23,4 +21,4 @@ def test_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", SCRIPT.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
     assert run.returncode == 0, run.stderr[-2000:]
-    assert run.stdout.split() == ["3", "18"]
+    assert run.stdout.split() == ["3"]
