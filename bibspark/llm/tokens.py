@@ -1,8 +1,9 @@
 """Token ids of whole texts, and the exact length histogram.
 
-The tokenizer drops white space and never joins what it separates. The runs between repeat, so each
-task keeps the ids of the runs it has met (at most ``KNOWN``) and a text's ids are those of its runs put together. That holds for texts of Latin letters, whose normal form is the lower-cased text. All other
-texts, and those that may hold a special token, go to the tokenizer whole.
+The tokenizer cuts a text into parts (runs of letters, single digits, runs of marks) and encodes each alone. Parts
+repeat, so a worker keeps the ids of the parts it has met, at most ``KNOWN``, the newer half when full, from one task to the next; a text's ids
+are those of its parts put together, and a new part goes to the tokenizer's model directly. That holds for texts of Latin letters, whose
+normal form is the lower-cased text. All other texts, and those that may hold a special token, go to the tokenizer whole.
 
 ``histogram`` counts documents by encoded length. Totals, quantiles and totals cut at a context limit for
 every limit follow from sums over the lengths above: ``sum(min(length, L)) = tokens at or below L + L * documents above``.
@@ -13,6 +14,9 @@ Extra columns are ignored.
 """
 
 import re
+import sys
+import types
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,21 @@ OTHER = re.compile("[^\x00-\x1b\x20-\u024f]")
 SPECIAL = "<|"
 
 
+# the tokenizer's own parts, for lower-cased Latin letters; fixed values: its pattern's endings and classes
+LETTERS = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02af\u2c65\u2c66"
+DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
+
+
+def visible() -> dict[int, str]:
+    """A printable character for each byte, as byte-level models write it: its own where it has one, else the next after U+00FF."""
+    own = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) if b in own else chr(256 + others.index(b)) for b in range(256)}
+
+
 class Runs(dict):
-    """Ids of a run as little-endian unsigned 32-bit numbers, encoded when first met."""
+    """Ids of a part as little-endian unsigned 32-bit numbers, encoded when first met."""
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
@@ -42,16 +59,19 @@ class Runs(dict):
 
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.visible = self.tokenizer.model, visible()
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, run: str) -> bytes:
-        ids = self.direct(run)
-        if len(run) <= LONG:
+    def __missing__(self, part: str) -> bytes:
+        shown = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.visible)
+        ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        if len(part) <= LONG:
             if len(self) >= KNOWN:
-                self.clear()
-            self[run] = ids
+                for old in list(islice(self, KNOWN // 2)):
+                    del self[old]
+            self[part] = ids
         return ids
 
     def text(self, text: str | None) -> bytes:
@@ -59,7 +79,15 @@ class Runs(dict):
             return b""
         if SPECIAL in text or OTHER.search(text):
             return self.direct(text)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        return b"".join(map(self.__getitem__, PART.findall(text.lower())))
+
+
+def kept(path: str | None) -> Runs:
+    """The worker's own ``Runs``, which outlive a task."""
+    worker = sys.modules.setdefault("_kept_token_ids", types.ModuleType("_kept_token_ids")).__dict__
+    if path not in worker:
+        worker[path] = Runs(path)
+    return worker[path]
 
 
 def mapped(docs: DataFrame, keep: list[str], make, schema: str, path: str | None) -> DataFrame:
@@ -68,12 +96,12 @@ def mapped(docs: DataFrame, keep: list[str], make, schema: str, path: str | None
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches):
-        runs = Runs(path)
+        runs = kept(path)
         for batch in batches:
             rows, size = [], 0
-            kept = [batch.column(c).to_pylist() for c in keep]
+            columns = [batch.column(c).to_pylist() for c in keep]
             for i, text in enumerate(batch.column("text")):
-                for row in make(runs, tuple(k[i] for k in kept), text.as_py()):
+                for row in make(runs, tuple(c[i] for c in columns), text.as_py()):
                     rows.append(row)
                     size += sum(len(x) for x in row if isinstance(x, bytes))
                     if len(rows) >= 4096 or size > 1 << 22:
