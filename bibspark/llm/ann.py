@@ -11,8 +11,8 @@ go on to cover the whole block. Each block gives its k best, and the best k of a
 Queries are dealt into blocks too; a task meets one block of vectors and one of queries, both of bounded size.
 
 Cases. Empty table or no valid vector: no rows. Vectors that are null, zero, or hold null or non-finite components
-take no part; nor do null ids or vectors of another length than most have (ties: the longer). Repeated ids: one vector each, the least by
-components. Ties: smaller id first. Fewer than k candidates: all. Extra columns are ignored.
+take no part; nor do null ids. Vectors of each length meet their own kind only. An id may have several vectors: exact repeats count
+once, each of the others is asked and found, a pair of ids has its best score, and an id is no neighbour of itself. Ties: smaller id first. Fewer than k candidates: all. Extra columns are ignored.
 """
 
 import math
@@ -27,23 +27,21 @@ from bibspark.session import ship
 
 PROJECTIONS = 64
 THRESHOLD = 0.85
-WIDEN = 1.15
-FIRST = 0.05
-SURE = 0.97
+WIDEN = 1.3
+FIRST = 0.3
+SURE = 0.95
 SEED = 17
 VECTORS_PER_BLOCK = 32_768
 QUERIES_PER_BLOCK = 512
 
 
 def valid(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id and v (doubles): one valid vector per id, all of the most frequent length."""
+    """id and v (doubles): the valid vectors, exact repeats once."""
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     big = F.lit(float("inf"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(good, F.lit(False)))
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("v") == (size[0] if size else -1))
+    return rows.groupBy("id", "v").agg(F.lit(0).alias("_")).drop("_")
 
 
 class Index:
@@ -59,42 +57,55 @@ class Index:
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(values.T, self.order, axis=1)
 
-    def search(self, query_id: int, query: np.ndarray, k: int, threshold: float, widen: float, first: float, sure: float):
-        """Positions and cosines of the k best found."""
+    def search(self, asked: np.ndarray, queries: np.ndarray, k: int, threshold: float, widen: float, first: float, sure: float):
+        """Per query the positions and cosines of the k best found, and how many vectors were verified. A round looks up the
+        window ends of all queries that are not done, one projection at a time, then counts what the windows gained."""
         n, m = len(self.ids), len(self.order)
-        need = math.ceil(threshold * m)
-        norm = math.sqrt((query * query).sum())
-        centre = (query / norm) @ self.directions
-        hits = np.zeros(n, np.int32)
-        done = self.ids == query_id
-        left = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre)])
+        need, flat, base = math.ceil(threshold * m), self.order.ravel(), np.arange(m) * n
+        norms = np.sqrt((queries * queries).sum(1))
+        centres = (queries / norms[:, None]) @ self.directions
+        left = np.stack([np.searchsorted(s, c) for s, c in zip(self.sorted, centres.T)], 1)
         right = left.copy()
-        best, score, width = np.empty(0, np.int64), np.empty(0), first
-        while True:
-            # what the wider windows add on either side
-            lo = np.array([np.searchsorted(s, c - width) for s, c in zip(self.sorted, centre)])
-            hi = np.array([np.searchsorted(s, c + width, "right") for s, c in zip(self.sorted, centre)])
-            added = [o[a:b] for o, a, b in zip(self.order, lo, left) if a < b] + [o[a:b] for o, a, b in zip(self.order, right, hi) if a < b]
-            left, right = np.minimum(lo, left), np.maximum(hi, right)
-            if added:
-                hits += np.bincount(np.concatenate(added), minlength=n)
-                new = np.flatnonzero((hits >= need) & ~done)
+        hits = np.zeros((len(asked), n), np.uint16)
+        done = self.ids[None, :] == asked[:, None]
+        found = [(np.empty(0, np.int64), np.empty(0)) for _ in asked]
+        verified = np.zeros(len(asked), np.int64)
+        active, width = np.arange(len(asked)), first
+        while len(active):
+            lo = np.stack([np.searchsorted(s, c - width) for s, c in zip(self.sorted, centres[active].T)], 1)
+            hi = np.stack([np.searchsorted(s, c + width, "right") for s, c in zip(self.sorted, centres[active].T)], 1)
+            more = []
+            for at, q in enumerate(active):
+                low, high = np.minimum(lo[at], left[q]), np.maximum(hi[at], right[q])
+                # what the wider windows add on either side
+                hits[q] += np.bincount(flat[ranges(np.concatenate([base + low, base + right[q]]), np.concatenate([left[q] - low, high - right[q]]))], minlength=n).astype(np.uint16)
+                left[q], right[q] = low, high
+                new = np.flatnonzero((hits[q] >= need) & ~done[q])
+                best, score = found[q]
                 if len(new):
-                    done[new] = True
-                    cosine = (self.vectors[new] * query).sum(1) / (self.norms[new] * norm)
+                    done[q, new] = True
+                    verified[q] += len(new)
+                    cosine = (self.vectors[new] * queries[q]).sum(1) / (self.norms[new] * norms[q])
                     best, score = np.concatenate([best, new]), np.concatenate([score, cosine])
                     top = np.lexsort((self.ids[best], -score))[:k]
-                    best, score = best[top], score[top]
-            if done.all():
-                return best, score
-            if len(best) == k:
-                distance = math.sqrt(max(0.0, 2.0 - 2.0 * score[-1]))
-                p = math.erf(width / distance / math.sqrt(2)) if distance else 1.0
-                # normal approximation of the number of windows such a vector lies in
-                spread = math.sqrt(m * p * (1 - p))
-                if m * p - need + 0.5 >= spread * quantile(sure):
-                    return best, score
-            width *= widen
+                    best, score = found[q] = best[top], score[top]
+                if not (done[q].all() or len(best) == k and self.safe(width, float(score[-1]), m, need, sure)):
+                    more.append(q)
+            active, width = np.array(more, np.int64), width * widen
+        return found, verified
+
+    @staticmethod
+    def safe(width: float, cosine: float, m: int, need: int, sure: float) -> bool:
+        """Would a vector as near as this have been verified? By a normal approximation of the number of windows it lies in."""
+        distance = math.sqrt(max(0.0, 2.0 - 2.0 * cosine))
+        p = math.erf(width / distance / math.sqrt(2)) if distance else 1.0
+        return m * p - need + 0.5 >= math.sqrt(m * p * (1 - p)) * quantile(sure)
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers from each start on, as many as its length."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])
 
 
 def quantile(p: float) -> float:
@@ -110,19 +121,20 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, projections: int = PRO
     blocks = max(1, -(-df.count() // vectors_per_block))
     sides = max(1, -(-queries.count() // queries_per_block))
     every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    left = df.select(own(blocks).alias("block"), F.explode(every(sides)).alias("side"), "id", "v")
-    right = queries.select(F.explode(every(blocks)).alias("block"), own(sides).alias("side"), "id", "v")
+    own = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
+    left = df.select(F.size("v").alias("width"), own(blocks).alias("block"), F.explode(every(sides)).alias("side"), "id", "v")
+    right = queries.select(F.size("v").alias("width"), F.explode(every(blocks)).alias("block"), own(sides).alias("side"), "id", "v")
 
     def run(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(asked):
             index = Index(vectors["id"].to_numpy(), np.stack(vectors["v"].to_numpy()).astype(float), projections, seed)
-            for query_id, v in zip(asked["id"], asked["v"]):
-                at, score = index.search(query_id, np.asarray(v, float), k, threshold, widen, first, sure)
+            ids, wanted = asked["id"].to_numpy(), np.stack(asked["v"].to_numpy()).astype(float)
+            for query_id, (at, score) in zip(ids, index.search(ids, wanted, k, threshold, widen, first, sure)[0]):
                 out.extend((query_id, int(index.ids[a]), float(s)) for a, s in zip(at, score))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("block", "side").cogroup(right.groupBy("block", "side")).applyInPandas(run, "query_id bigint, vec_id bigint, score double")
+    found = left.groupBy("width", "block", "side").cogroup(right.groupBy("width", "block", "side")).applyInPandas(run, "query_id bigint, vec_id bigint, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
