@@ -9,7 +9,7 @@ first linked passage of the lowest level. Quoted lines, and a line "On ... wrote
 
 Threads: a message without a reply target starts one. Conversations are ordered by thread (turn of its first
 message), then turn, so a reply always follows its original. Hashes of originals are reduced to their first
-turn before the join, so frequent passages make no pairs; positions are counted within blocks of turns first.
+turn before the join, so frequent passages make no pairs; positions are counted within slices of the sorted table first, which cut a long thread anywhere.
 
 Cases. Empty table: no rows. Null text: empty content, no quotes. Null conv_id or turn: kept; a message without
 turn neither replies nor is replied to and stands last. Repeated rows: each a message of its own with the same
@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bibspark.llm.common import checkpointed, whole
+from bibspark.llm.common import checkpointed, sliced, whole
 
 QUOTED = r"^[\x20\t]*>"
-MARKS = r"^((?:[\x20\t]*>)+)"
+# one character class, no repeated group: a line may hold any number of marks
+MARKS = r"^([\x20\t>]*>)"
 INTRO = r"(?md)^On [^\n]* wrote:[\x20\t]*\n(?=[\x20\t]*>)"
 QUOTED_LINES = r"(?md)^[\x20\t]*>[^\n]*(\n|\z)"
-TURNS_PER_BLOCK = 1024
 
 
 def normal(text: Column) -> Column:
@@ -47,7 +47,7 @@ def passages(messages: DataFrame) -> DataFrame:
     rows = messages.where(F.col("text").rlike("(?md)" + QUOTED)).select("conv_id", "turn", "mark", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     rows = rows.repartition("conv_id", "turn", "mark").dropDuplicates(["conv_id", "turn", "mark", "no"])
     marks = F.regexp_extract("line", MARKS, 1)
-    rows = rows.withColumn("level", F.length(F.regexp_replace(marks, "[^>]", ""))).withColumn("body", F.trim(F.substring("line", F.length(marks) + 1, F.length("line"))))
+    rows = rows.withColumn("level", F.length(marks) - F.length(F.translate(marks, ">", ""))).withColumn("body", F.trim(F.substring("line", F.length(marks) + 1, F.length("line"))))
     order = W.partitionBy("conv_id", "turn", "mark").orderBy("no")
     fresh = (F.coalesce(F.lag("level").over(order), F.lit(0)) != F.col("level")).cast("int")
     rows = rows.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).where("level > 0")
@@ -104,12 +104,14 @@ def conversations(messages: DataFrame) -> DataFrame:
     per = per.select(*[F.col(c).alias(f"p_{c}") for c in ("conv_id", "turn", "mark")], "passages", "linked", "levels", "parent_turn")
     same = F.col("conv_id").eqNullSafe(F.col("p_conv_id")) & F.col("turn").eqNullSafe(F.col("p_turn")) & (F.col("mark") == F.col("p_mark"))
     rows = rows.join(per, same, "left").join(top, ["conv_id", "turn"], "left")
-    rows = rows.withColumn("thread_turn", F.coalesce("root", "turn")).withColumn("block", F.floor(F.col("thread_turn") / TURNS_PER_BLOCK))
-    sizes = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("many"))
-    ahead = W.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("conv_id").alias("s_conv"), F.col("block").alias("s_block"), F.coalesce(F.sum("many").over(ahead), F.lit(0)).alias("before"))
-    rows = rows.join(sizes, F.col("conv_id").eqNullSafe(F.col("s_conv")) & F.col("block").eqNullSafe(F.col("s_block")))
-    inside = W.partitionBy("conv_id", "block").orderBy("thread_turn", F.col("turn").asc_nulls_last(), "role", "mark")
+    rows = rows.withColumn("thread_turn", F.coalesce("root", "turn")).withColumn("no_thread", F.isnull("thread_turn")).withColumn("no_turn", F.isnull("turn"))
+    order = ["conv_id", "no_thread", "thread_turn", "no_turn", "turn", "role", "mark"]
+    rows = sliced(rows, *order)
+    sizes = rows.groupBy("conv_id", "slice").agg(F.count(F.lit(1)).alias("many"))
+    ahead = F.sum("many").over(W.partitionBy("conv_id").orderBy("slice")) - F.col("many")
+    sizes = sizes.select(F.col("conv_id").alias("s_conv"), F.col("slice").alias("s_slice"), ahead.alias("before"))
+    rows = rows.join(sizes, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("slice") == F.col("s_slice")))
+    inside = W.partitionBy("conv_id", "slice").orderBy(*order[1:])
     return rows.select(
         "conv_id", "turn", "role", (F.col("before") + F.row_number().over(inside)).alias("position"), "parent_turn", "thread_turn", "content",
         F.coalesce("passages", F.lit(0)).alias("passages"), F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("levels", F.lit(0)).alias("levels"),

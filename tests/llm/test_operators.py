@@ -156,6 +156,27 @@ def test_odd_vectors(spark):
     assert out == [(0, 1, 1, 1.0), (0, 2, 50, 1.0), (0, 3, 8, -1.0), (50, 1, 0, 1.0), (50, 2, 1, 1.0), (50, 3, 8, -1.0)]
 
 
+def test_vectors_of_several_lengths_and_rows(spark):
+    made = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [1.0, 0.0, 0.0]), (51, [1.0, 1.0, 0.0]), (52, [0.0, 1.0, 0.0]), (100, [0.0, 1.0]), (100, [1.0, 0.0]), (1, [0.0, 1.0])]
+    out = {(r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 6)) for r in queries.op4(spark.createDataFrame(made, "vec_id long, embedding array<double>")).collect()}
+    assert out == {(0, 1): (100, 1.0), (0, 2): (1, 0.707107), (50, 1): (51, 0.707107), (50, 2): (52, 0.0), (100, 1): (0, 1.0), (100, 2): (1, 1.0)}
+
+
+def test_recall_on_ten_thousand():
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((10_000, 32)) + 2 * rng.standard_normal((50, 32))[rng.integers(0, 50, 10_000)]
+    index = ann.Index(np.arange(10_000), vectors, ann.PROJECTIONS, ann.SEED)
+    asked = np.arange(0, 10_000, 250)
+    found, verified = index.search(asked, vectors[asked], 5, ann.THRESHOLD, ann.WIDEN, ann.FIRST, ann.SURE)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    hits = 0
+    for q, (at, _) in zip(asked, found):
+        cosine = unit @ unit[q]
+        cosine[q] = -2
+        hits += len(set(at) & set(np.argsort(-cosine)[:5]))
+    assert hits / (5 * len(asked)) >= 0.9 and verified.mean() < 5_000
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
@@ -447,6 +468,53 @@ def test_chat(spark):
     assert order == [0, 3, 4, 1, 2, 2, 5]
 
 
+def brute_threads(rows):
+    """parent turn and thread turn of every message of one conversation whose quotes are single lines of level one."""
+    parent = {}
+    for turn, text in rows:
+        quoted = [" ".join(line[1:].split()) for line in text.split("\n") if line.startswith(">")]
+        for line in quoted:
+            origins = [t for t, x in rows if t < turn and line in [" ".join(y.split()) for y in x.split("\n") if not y.startswith(">")]]
+            if origins:
+                parent[turn] = min(origins)
+                break
+
+    def top(turn):
+        return top(parent[turn]) if turn in parent else turn
+
+    return {turn: (parent.get(turn), top(turn)) for turn, _ in rows}
+
+
+def test_threads_are_brute_force(spark):
+    rng = np.random.default_rng(3)
+    made = {}
+    for conv in range(12):
+        rows_ = []
+        for turn in range(int(rng.integers(1, 9))):
+            own = f"w{rng.integers(0, 4)} said {rng.integers(0, 3)}"
+            quote = f"> w{rng.integers(0, 4)} said {rng.integers(0, 3)}\n" if rng.random() < 0.6 else ""
+            rows_.append((turn, quote + own))
+        made[conv] = rows_
+    # a third of all messages answer one
+    made[99] = [(0, "the first")] + [(t, f"> the first\nno {t}") for t in range(1, 60)]
+    table = spark.createDataFrame([(c, t, "user", x) for c, all_ in made.items() for t, x in all_], "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = chat.conversations(table).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for conv, all_ in made.items():
+        mine = [r for r in out if r["conv_id"] == conv]
+        assert {r["turn"]: (r["parent_turn"], r["thread_turn"]) for r in mine} == brute_threads(all_)
+        order = [r["turn"] for r in sorted(mine, key=lambda r: r["position"])]
+        assert order == sorted(order, key=lambda t: (brute_threads(all_)[t][1], t)) and sorted(r["position"] for r in mine) == list(range(1, len(mine) + 1))
+
+
+def test_any_number_of_quote_marks(spark):
+    made = [(1, 0, "user", "hello"), (1, 1, "user", ">" * 200_000 + " hello\nyes"), (1, 2, "user", "> " * 100_000 + "hello\nno"), (1, 3, "user", " \t" * 100_000 + "> hello\nmaybe")]
+    out = {r["turn"]: r for r in chat.conversations(spark.createDataFrame(made, "conv_id long, turn long, role string, text string")).collect()}
+    assert [out[t]["levels"] for t in range(4)] == [0, 200_000, 100_000, 1]
+    assert [out[t]["parent_turn"] for t in range(4)] == [None, 0, 0, 0] and [out[t]["content"] for t in (1, 2, 3)] == ["yes", "no", "maybe"]
+
+
 def test_stages(spark, real, sf_dir):
     docs = real
     for _, stage in corpus_pipeline.STAGES[:-1]:
