@@ -6,7 +6,7 @@ filters with a rule of their own, the default sort and the fields that search lo
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pyarrow as pa
@@ -243,13 +243,33 @@ ENTITIES = {
 }
 
 
+def with_places(entity: EntityDef, paths: dict[str, str], south: DataFrame, continents: DataFrame) -> EntityDef:
+    """The entity with filters by region. ``paths`` names the path of country codes behind each prefix, arrays or not; ``<prefix>.is_global_south``
+    is true or false, ``<prefix>.continent`` a name or Wikidata id. ``south`` is a table of codes, ``continents`` of (continent, code)."""
+
+    def flag(path):
+        def test(df, wanted):
+            pred = P.in_codes(leaf(df, path), south)
+            return pred if wanted else P.not_(pred)
+
+        return test
+
+    def continent(path):
+        return lambda df, name: P.in_codes(leaf(df, path), P.continent_codes(continents, name))
+
+    more = {f"{p}.is_global_south": flag(path) for p, path in paths.items()} | {f"{p}.continent": continent(path) for p, path in paths.items()}
+    return replace(entity, special=entity.special | more)
+
+
 @dataclass(frozen=True)
 class Spec:
-    """A list query: filters are ``(name, op, value)`` and all hold; ``tree`` is a nested filter tree."""
+    """A list query: filters are ``(name, op, value)`` and all hold; ``tree`` is a nested filter tree. ``search`` is a text, all of whose words a
+    field must have, or one of ``{"phrase": text}``, ``{"near": text, "slop": n}``, ``{"tree": node}`` (see ``search.match_tree``), ``{"wildcards":
+    patterns}``, ``{"fuzzy": word, "distance": n}``, ``{"span": (first, second, distance)}``."""
 
     filters: tuple = ()
     tree: dict | None = None
-    search: str | None = None
+    search: str | dict | None = None
     group_by: str | None = None
     unknown: bool = False
     sort: tuple = ()
@@ -281,13 +301,41 @@ def search_table(df: DataFrame, entity: EntityDef, path: str | None = None) -> s
     return searchtable.build(df, entity.key, fields, path or scratch(df.sparkSession, f"search-{entity.name}"))
 
 
-def searched(rows: DataFrame, df: DataFrame, entity: EntityDef, text: str, table: searchtable.SearchTable | None = None) -> DataFrame:
+def found_ids(df: DataFrame, entity: EntityDef, form: dict, table: searchtable.SearchTable) -> DataFrame:
+    """(id): records with a field that matches a search form."""
+
+    def asked(text):
+        return local_frame(df.sparkSession, query_id=pa.array([0], pa.int32()), text=pa.array([text]))
+
+    if "phrase" in form or "near" in form:
+        found = searchtable.match_near(table, asked(form.get("phrase", form.get("near"))), form.get("slop", 0))
+    elif "tree" in form:
+        post = searchtable.word_rows(table, search.tree_words(form["tree"]))
+        found = search.match_tree(df.select(F.col(entity.key).alias("id")), post, form["tree"])
+    elif "wildcards" in form:
+        found = searchtable.with_patterns(searchtable.add_lookups(table), list(form["wildcards"]))
+    elif "fuzzy" in form:
+        word = local_frame(df.sparkSession, word=pa.array([form["fuzzy"]]))
+        found = searchtable.with_words(table, searchtable.fuzzy_words(searchtable.add_lookups(table), word, form.get("distance", 2)))
+    elif "span" in form:
+        first, second, distance = form["span"]
+        found = search.match_span(searchtable.word_rows(table, [*first.lower().split(), *second.lower().split()]), first, second, distance)
+    else:
+        raise ValueError(f"unknown search form {', '.join(form)}")
+    return found.select("id").distinct()
+
+
+def searched(rows: DataFrame, df: DataFrame, entity: EntityDef, text: str | dict, table: searchtable.SearchTable | None = None) -> DataFrame:
     """Those of ``rows``, some rows of ``df``, that match, with their score raised by citations. Scores come from the statistics of all of ``df``,
-    whatever the filter left."""
+    whatever the filter left; a match of a search form counts 1."""
     fields = [f for f in entity.search_fields if f.split(".")[0] in df.columns]
     boosts = list(entity.search_boosts or search.BOOSTS[len(entity.search_fields)])[: len(fields)]
-    asked = local_frame(df.sparkSession, query_id=pa.array([0], pa.int32()), text=pa.array([text]))
-    found = searchtable.scores(table or search_table(df, entity), asked, fields, boosts).select(F.col("id").alias(entity.key), "score")
+    table = table or search_table(df, entity)
+    if isinstance(text, dict):
+        found = found_ids(df, entity, text, table).select(F.col("id").alias(entity.key), F.lit(1.0).alias("score"))
+    else:
+        asked = local_frame(df.sparkSession, query_id=pa.array([0], pa.int32()), text=pa.array([text]))
+        found = searchtable.scores(table, asked, fields, boosts).select(F.col("id").alias(entity.key), "score")
     out = rows.join(found, entity.key)
     if entity.citations and entity.citations in df.columns:
         out = out.withColumn("score", search.citation_boost(F.col("score"), F.col(entity.citations)))

@@ -39,6 +39,7 @@ ENTITY_OF_LETTER = {
     "p": "publishers",
     "s": "sources",
     "t": "topics",
+    "g": "awards",
 }
 
 # fixed values: id scheme by provenance of a location

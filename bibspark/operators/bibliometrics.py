@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bibspark.operators.overlap import HOT, top_overlaps
 from bibspark.operators.paging import best_per_key
-from bibspark.session import checkpointed, stored
+from bibspark.session import stored
 
 
 def _by(keys) -> list[str]:
@@ -75,14 +75,16 @@ def citations_received(works: DataFrame, edges: DataFrame, span: int = 3, key: s
 
 def fwci(received: DataFrame, by: list[str]) -> DataFrame:
     """Citations received over the mean of the record's group; NULL where that mean is 0 or a part of
-    the group's key is missing."""
+    the group's key is missing. The input is computed once."""
+    received = stored(received)
     means = received.groupBy(*by).agg(F.avg("received").alias("expected"))
     return received.join(means, by, "left").withColumn("fwci", F.when(F.col("expected") > 0, F.col("received") / F.col("expected")))
 
 
 def norm_percentile(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Percent rank of the value within the group, and the flags for the top 1 % and 10 %; NULL where the
-    value or a part of the group's key is missing."""
+    value or a part of the group's key is missing. The input is computed once."""
+    df = stored(df)
     ranks = histogram_ranks(df, by, value)
     share = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
     out = df.join(ranks.select(*by, value, share.alias("percentile")), [*by, value], "left")
@@ -91,7 +93,8 @@ def norm_percentile(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 def year_percentile(df: DataFrame, year: str, value: str) -> DataFrame:
     """Whole percents below, and up to and with, the value among records of the year; NULL where the
-    year or the value is missing."""
+    year or the value is missing. The input is computed once."""
+    df = stored(df)
     ranks = histogram_ranks(df, year, value)
     low = F.floor(F.when(F.col("total") > 1, 100 * F.col("below") / (F.col("total") - 1)).otherwise(0.0))
     high = F.floor(100 * (F.col("below") + F.col("n")) / F.col("total"))
@@ -138,8 +141,8 @@ def oa_status(is_oa_journal: Column, has_apc: Column, is_free_at_publisher: Colu
 
 
 def topic_share(pairs: DataFrame, entity: str, work: str, topic: str, k: int = 25) -> DataFrame:
-    """Per entity its top topics: works, share of its own works, and share of all works on the topic."""
-    rows = pairs.select(entity, work, topic).distinct()
+    """Per entity its top topics: works, share of its own works, and share of all works on the topic. The input is computed once."""
+    rows = stored(pairs.select(entity, work, topic).distinct())
     cells = rows.groupBy(entity, topic).agg(F.count("*").alias("count"))
     own = rows.groupBy(entity).agg(F.count_distinct(work).alias("__own"))
     whole = rows.groupBy(topic).agg(F.count_distinct(work).alias("__all"))
@@ -150,8 +153,8 @@ def topic_share(pairs: DataFrame, entity: str, work: str, topic: str, k: int = 2
 
 def concept_scores(pairs: DataFrame, entity: str, work: str, concept: str, score: str, k: int = 25) -> DataFrame:
     """Per entity its strongest concepts, 0 to 100: the summed score over the number of its works."""
-    one = pairs.groupBy(entity, work, concept).agg(F.max(score).alias("__s"))
-    own = pairs.groupBy(entity).agg(F.count_distinct(work).alias("__n"))
+    one = stored(pairs.groupBy(entity, work, concept).agg(F.max(score).alias("__s")))
+    own = one.groupBy(entity).agg(F.count_distinct(work).alias("__n"))
     sums = one.groupBy(entity, concept).agg(F.sum("__s").alias("__s")).join(own, entity)
     out = sums.select(entity, concept, F.round(F.round(100 * F.col("__s") / F.col("__n"), 9), 1).alias("score"))
     return best_per_key(out, entity, ["-score", concept], k, "rank")

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from bibspark.functions.paths import Leaf, leaf
 from bibspark.operators.joins import with_names
-from bibspark.operators.predicates import has, is_null, matches, not_, where
+from bibspark.operators.predicates import MAX_CODES, has, in_codes, is_null, matches, not_, where
 from bibspark.operators.quantiles import exact_quantiles
 
 MAX_GROUPS = 200
-MAP_ROWS = 1_000
 
 # fixed values: statuses counted as open, and statuses whose charge counts as paid
 OPEN_STATUSES = ("gold", "hybrid", "green")
@@ -71,22 +70,21 @@ def group_presence(df: DataFrame, at: str | Leaf) -> DataFrame:
     return group_flag(df, has(at), is_null(at))
 
 
-def lookup_map(table: DataFrame, key: str, name: str, rows: int = MAP_ROWS) -> Column:
-    """A small table as a map literal; its size is checked."""
-    got = table.select(key, name).limit(rows + 1).collect()
-    if len(got) > rows:
-        raise ValueError(f"the lookup table has more than {rows} rows; join it instead")
-    return F.create_map(*[F.lit(x) for r in got for x in (r[0], r[1])])
+def lookup_map(table: DataFrame, key: str, name: str) -> Column:
+    """A small table as one map: a scalar subquery, evaluated once. Its size is checked."""
+    got = F.collect_set(F.struct(key, name))
+    checked = F.when(F.size(got) <= MAX_CODES, got).otherwise(F.raise_error(F.lit(f"more than {MAX_CODES} codes; join the table instead")))
+    return table.where(F.col(key).isNotNull()).agg(F.map_from_entries(checked).alias("names")).scalar()
 
 
 def group_continent(df: DataFrame, at: str | Leaf, table: DataFrame, unknown: bool = True) -> DataFrame:
     """Records per continent, each counted once for each; all continents are kept, and records with no
     code form the unknown group. The (continent, code) table becomes a map, so nothing is joined."""
     at = _bound(df, at)
-    names = lookup_map(table, "code", "continent")
-    places = F.array_distinct(F.array_compact(F.transform(at.values, lambda c: F.try_element_at(names, c))))
-    marked = F.when(F.size(at.values) == 0, F.array(F.lit(UNKNOWN))).otherwise(places) if unknown else places
-    counts = df.select(F.explode(marked).alias("key")).groupBy("key").agg(F.count("*").alias("count"))
+    rows = df.select(at.values.alias("codes"), lookup_map(table, "code", "continent").alias("names"))
+    places = F.array_distinct(F.array_compact(F.transform("codes", lambda c: F.try_element_at("names", c))))
+    marked = F.when(F.size("codes") == 0, F.array(F.lit(UNKNOWN))).otherwise(places) if unknown else places
+    counts = rows.select(F.explode(marked).alias("key")).groupBy("key").agg(F.count("*").alias("count"))
     domain = table.select(F.col("continent").alias("key")).distinct()
     return zero_fill(counts, domain, keep_others=True)
 
@@ -148,8 +146,7 @@ def facet_prefilter(df: DataFrame, at: str | Leaf, q: str, kind: str = "text", n
         lo, hi = year_window(q)
         return df.where(at.any(lambda x: x.between(lo, hi)))
     if kind == "name":
-        hits = names.where(F.upper(F.col(names.columns[1])).startswith(q.upper())).select(F.col(names.columns[0]).alias("__c"))
-        return df.join(hits, at.col == F.col("__c"), "left_semi")
+        return df.where(in_codes(at, names.where(F.upper(F.col(names.columns[1])).startswith(q.upper()))))
     return df.where(at.any(lambda x: F.lower(x).startswith(q.lower())))
 
 

@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bibspark.session import stored
+
 MAX_PER_PAGE = 200
 MAX_WINDOW = 10_000
 MAX_SAMPLE = 10_000
@@ -36,6 +38,19 @@ def page(df: DataFrame, keys: list[str], number: int = 1, per_page: int = 25) ->
     return sort(df, keys).offset((number - 1) * per_page).limit(per_page)
 
 
+def numbered(df: DataFrame, keys: list[str], name: str = "row") -> DataFrame:
+    """Rows numbered from 1 in the order of the keys, which end in a unique one. The sorted rows are cut into even slices, whatever
+    values repeat; a slice numbers its own and starts behind all before it, so no task meets the whole list."""
+    order = sort_columns(keys)
+    rows = stored(df.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id()), "numbered")
+    sizes = rows.groupBy("__slice").agg(F.count("*").alias("__n"))
+    # one row a slice
+    before = F.sum("__n").over(Window.orderBy("__slice")) - F.col("__n")
+    inside = F.row_number().over(Window.partitionBy("__slice").orderBy(*order))
+    rows = rows.withColumn("__inside", inside).join(sizes.select("__slice", before.alias("__before")), "__slice")
+    return rows.withColumn(name, F.col("__before") + F.col("__inside")).drop("__slice", "__inside", "__before")
+
+
 def total(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("count"))
 

@@ -188,9 +188,27 @@ def starts_any(at: Leaf, prefixes) -> Column:
     return at.any(lambda x: any_of(*[x.startswith(p) for p in prefixes]))
 
 
+# most codes that travel as one value
+MAX_CODES = 100_000
+
+
+def code_set(codes: DataFrame, dtype=None) -> Column:
+    """The first column of a small table as one array: a scalar subquery, evaluated once. Its size is checked."""
+    got = F.collect_set(F.col(codes.columns[0]).cast(dtype) if dtype is not None else F.col(codes.columns[0]))
+    checked = F.when(F.size(got) <= MAX_CODES, got).otherwise(F.raise_error(F.lit(f"more than {MAX_CODES} codes; join the table instead")))
+    return codes.agg(checked.alias("codes")).scalar()
+
+
+def in_codes(at: Leaf, codes: DataFrame) -> Column:
+    """Some value of a path, through arrays too, is in the first column of a table. Rows are not multiplied, so negation by ``not_`` stays
+    about the record: true where no value is in it, missing ones included."""
+    return F.arrays_overlap(at.values, code_set(codes, at.dtype))
+
+
 def in_region(df: DataFrame, path: str, region: DataFrame, wanted: bool = True) -> DataFrame:
-    """Rows whose code is in the one column of a region table (a scalar path)."""
-    return in_frame(df, path, region, "left_semi" if wanted else "left_anti")
+    """Rows with a code, or with none, in the one column of a region table."""
+    pred = in_codes(leaf(df, path), region)
+    return df.where(pred if wanted else not_(pred))
 
 
 def continent_codes(table: DataFrame, continent: str) -> DataFrame:

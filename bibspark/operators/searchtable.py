@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibspark.operators import search as S
+from bibspark.session import exists
 
 BUCKETS = 32
 SPREAD = 4
@@ -72,7 +73,9 @@ def build(df: DataFrame, key: str, fields: list[str], path: str, exact: bool = T
 
 
 def add_lookups(table: SearchTable) -> SearchTable:
-    """Store ``deletes`` and ``grams`` of a table's vocabulary, for words asked for by likeness or pattern."""
+    """Store ``deletes`` and ``grams`` of a table's vocabulary, for words asked for by likeness or pattern, unless they are there."""
+    if exists(table.spark, f"{table.path}/grams/_SUCCESS"):
+        return table
     words = table.part("vocabulary").where("term != ''").select("term").distinct()
     near = words.select(F.explode(variants(F.col("term"))).alias("variant"), "term")
     _stored(near, f"{table.path}/deletes", "variant", table.buckets, F.col("term"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bibspark.catalog import EntityDef, Spec, run, with_places
 from bibspark.functions import ids
 from bibspark.functions.paths import leaf, value
 from bibspark.operators import predicates as P
@@ -207,6 +208,37 @@ def continent(t):
     return P.in_continent(df, "s_nationkey", places, "Q46").unionByName(P.in_continent(df, "s_nationkey", places, "asia"))
 
 
+_CODES = "cs as (select c_custkey, case when c_acctbal < 0 then [] when c_acctbal < 1000 then [null] else [c_nationkey, c_nationkey // 2, null] end as codes from customer)"
+_SOUTH = "south as (select list(n_nationkey) as all_codes from nation join region on n_regionkey = r_regionkey where r_name in ('AFRICA', 'ASIA'))"
+
+
+def coded(t):
+    """Customers with an array of nation codes: none, a missing one, or two and a missing one."""
+    two = F.array("c_nationkey", F.floor(F.col("c_nationkey") / 2).cast(t.customer.schema["c_nationkey"].dataType), F.lit(None))
+    codes = F.when(F.col("c_acctbal") < 0, F.array().cast("array<bigint>")).when(F.col("c_acctbal") < 1000, F.array(F.lit(None).cast("bigint"))).otherwise(two.cast("array<bigint>"))
+    return t.customer.select(F.col("c_custkey").alias("id"), F.struct(codes.alias("country_code")).alias("at"))
+
+
+@query("filter_region_of_arrays", f"""
+with {_CODES}, {_SOUTH} select c_custkey as id, true as in_south from cs, south where list_has_any(codes, all_codes) union all select c_custkey, false from cs, south where not list_has_any(codes, all_codes)""")
+def region_arrays(t):
+    """A region flag over arrays of codes; its negation keeps records without codes."""
+    south = t.nation.join(t.region.where(F.col("r_name").isin("AFRICA", "ASIA")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey")
+    df = coded(t)
+    yes = P.in_region(df, "at.country_code", south, True).select("id", F.lit(True).alias("in_south"))
+    return yes.unionByName(P.in_region(df, "at.country_code", south, False).select("id", F.lit(False).alias("in_south")))
+
+
+@query("filter_places_in_list_query", f"""
+with {_CODES}, {_SOUTH}, europe as (select list(n_nationkey) as europe_codes from nation join region on n_regionkey = r_regionkey where r_name = 'EUROPE')
+select c_custkey as id from cs, south, europe where not list_has_any(codes, all_codes) and list_has_any(codes, europe_codes) order by id limit 150""")
+def places_in_list(t):
+    south = t.nation.join(t.region.where(F.col("r_name").isin("AFRICA", "ASIA")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey")
+    entity = with_places(EntityDef("customers", default_sort=("id",), citations=None), {"at": "at.country_code"}, south, continent_table(t))
+    spec = Spec(filters=(("at.is_global_south", "=", False), ("at.continent", "is", "Q46")), per_page=150, select=("id",))
+    return run(coded(t), entity, spec)
+
+
 @query("filter_two_paths", with_works("""
 select id, coalesce(source.name, '') = 'src5' or len(list_filter(sentences, lambda s: s.opener = 'the')) > 0 as hit,
   source.name is not null and len(sentences) > 0 and len(list_filter(sentences, lambda s: s.mark is not null)) > 0 as both_known,

@@ -8,7 +8,7 @@ from bibspark.operators import groups as G
 from bibspark.operators import joins as J
 from bibspark.operators import predicates as P
 from bibspark.operators import trees
-from bibspark.plans.filters import continent_table
+from bibspark.plans.filters import _CODES, coded, continent_table
 from bibspark.plans.joined import line_orders
 from bibspark.plans.registry import TABLE_NAMES, query, with_works
 
@@ -177,6 +177,14 @@ def group_prefilter(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("group_prefilter_names_of_arrays", f"""
+with {_CODES} select codes[1]::varchar as key, {_N} from cs where list_has_any(codes, (select list(n_nationkey) from nation where upper(n_name) like 'NATION\\_2%' escape '\\')) group by 1""")
+def group_prefilter_arrays(t):
+    """Records one of whose codes has such a name, through an array."""
+    hits = G.facet_prefilter(coded(t), "at.country_code", "nation_2", "name", t.nation.select("n_nationkey", "n_name"))
+    return hits.groupBy(F.get("at.country_code", F.lit(0)).cast("string").alias("key")).agg(F.count("*").alias("count"))
+
+
 @query("group_keyset_pages", f"""
 select ((rn - 1) // 30 + 1)::integer as page, key, count from (select l_partkey as key, {_N}, row_number() over (order by l_partkey) as rn from lineitem group by 1) where rn <= 90""")
 def group_pages(t):

@@ -1,9 +1,12 @@
 """List queries: a spec over the field catalogue, as a reader of the catalogue would ask."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from bibspark.catalog import EntityDef, Spec, run
+from bibspark.catalog import EntityDef, Spec, filtered, run, search_table, searched
 from bibspark.functions.paths import leaf
+from bibspark.functions.text import ACCENTED
 from bibspark.operators import predicates as P
 from bibspark.plans.registry import query, with_works
 
@@ -38,6 +41,31 @@ def list_sample(t):
     return run(t.works, PAPERS, Spec(filters=(("cited_by_count", ">=", 100),), sample=40, seed=9, per_page=40, select=("id", "lang")))
 
 
+_ONE_BYTE = f"translate(w, '{ACCENTED}ß', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ01')"
+_FORMS = f"""
+with d as (select doc_id as id, lang, ' ' || array_to_string(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), ' ') || ' ' as s from documents where coalesce(lang, '') <> 'de')
+select 'phrase' as form, id from d where contains(s, ' the of ') union all
+select 'near', id from d where regexp_matches(s, ' the ([^ ]+ ){{0,2}}of ') or contains(s, ' of the ') union all
+select 'tree', id from d where (contains(s, ' que ') or contains(s, ' of the ')) and not contains(s, ' with ') union all
+select 'wildcards', id from d where regexp_matches(s, ' tion[^ ]* ') union all
+select 'fuzzy', id from d where len(list_filter(string_split(trim(s), ' '), lambda w: damerau_levenshtein({_ONE_BYTE}, 'that') <= 1)) > 0 union all
+select 'span', id from d where regexp_matches(s, ' of the ([^ ]+ ){{0,9}}and ')"""
+
+
+@query("list_search_forms", _FORMS)
+def list_search_forms(t):
+    """Every form of a search in a list query, with a filter."""
+    df = t.documents.select(F.col("doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("cited_by_count"))
+    forms = {
+        "phrase": {"phrase": "the of"}, "near": {"near": "the of", "slop": 2}, "tree": {"tree": {"and": [{"or": ["que", "of the"]}, {"not": "with"}]}},
+        "wildcards": {"wildcards": ["tion*"]}, "fuzzy": {"fuzzy": "that", "distance": 1}, "span": {"span": ("of the", "and", 9)},
+    }
+    table = search_table(df, PAPERS)
+    rows = filtered(df, PAPERS, Spec(filters=(("lang", "is not", "de"),)))
+    parts = [searched(rows, df, PAPERS, form, table).select(F.lit(name).alias("form"), "id") for name, form in forms.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("list_cursor", with_works("select id, lang from works where lang > 'en' or (lang = 'en' and cited_by_count < 200) or (lang = 'en' and cited_by_count = 200 and id > 30) order by lang, cited_by_count desc, id limit 60"))
 def list_cursor(t):
     return run(t.works, PAPERS, Spec(sort=("lang", "-cited_by_count"), cursor=True, after=("en", 200, 30), per_page=60, select=("id", "lang")))

@@ -59,9 +59,7 @@ class Tables:
         if key not in _STORED:
             docs = self.spark.read.parquet(self.path("documents"))
             _STORED[key] = build(docs, "doc_id", ["text", "source", "lang"], scratch(self.spark, "search"), exact)
-        if lookups and (*key, "lookups") not in _STORED:
-            _STORED[*key, "lookups"] = add_lookups(_STORED[key])
-        return _STORED[key]
+        return add_lookups(_STORED[key]) if lookups else _STORED[key]
 
     @property
     def works(self) -> DataFrame:

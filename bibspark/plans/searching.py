@@ -10,7 +10,7 @@ from bibspark.operators import predicates as P
 from bibspark.operators import search as S
 from bibspark.operators import searchtable as ST
 from bibspark.plans.registry import query
-from bibspark.session import local_frame
+from bibspark.session import local_frame, scratch
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
 _FOLD = r"regexp_replace(strip_accents(lower({})), '\p{{M}}+', '', 'g')"
@@ -190,6 +190,71 @@ def match_span_loose(t):
     return S.match_span(post, "in the", "to and", 12, loose=True).select("id")
 
 
+_LINES = f"ls as (select doc_id as id, n_chars, list_transform(string_split(text, chr(10)), lambda l: ' ' || array_to_string({_WORDS.format('l')}, ' ') || ' ') as lines from documents)"
+
+
+def _lined(t):
+    """Documents with their lines as an array of texts."""
+    return t.documents.select(F.col("doc_id").alias("id"), F.split("text", "\n").alias("lines"), F.struct(F.array("source", "lang").alias("names")).alias("at"), "n_chars")
+
+
+def _line_table(t):
+    return ST.build(_lined(t), "id", ["lines", "at.names"], scratch(t.spark, "lines"))
+
+
+@query("match_phrase_in_array", f"""
+with {_LINES}, q as (select * from (values (0, ' the of '), (1, ' und die '), (2, ' que de ')) v(query_id, phrase))
+select query_id, id from ls, q where len(list_filter(lines, lambda l: contains(l, phrase))) > 0""")
+def match_phrase_array(t):
+    """Phrases inside one text of an array, never over two."""
+    return ST.match_near(_line_table(t), _asked(t, "the of", "und die", "que de"), 0, ["lines"]).select("query_id", "id")
+
+
+@query("score_array_fields", f"""
+with d as (select doc_id as id, 'lines' as field, {_WORDS.format('text')} as words, 1.0::double as wm, 2.0::double as wp, list_transform(string_split(text, chr(10)), lambda l: {_WORDS.format('l')}) as lists from documents
+  union all select doc_id, 'at.names', {_WORDS.format("source || ' ' || lang")}, 0.1::double, 0.15::double, [{_WORDS.format('source')}, {_WORDS.format('lang')}] from documents),
+ q as (select * from (values (0, ['the', 'of']), (1, ['src3', 'en']), (2, ['und', 'die'])) v(query_id, words)),
+ st as (select field, count(*) as n_docs, avg(len(words)) as avg_len from d where len(words) > 0 group by 1),
+ tf as (select id, field, len(words) as doc_len, term, count(*) as tf from (select id, field, words, unnest(words) as term from d) group by 1, 2, words, 4),
+ dfs as (select field, term, count(*) as df from tf group by 1, 2),
+ idf as (select field, term, avg_len, {_BM25} as idf from dfs join st using (field)),
+ qt as (select distinct query_id, len(list_distinct(words)) as n_terms, unnest(words) as term from q),
+ w as (select query_id, id, field, doc_len, avg_len, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * doc_len / avg_len))) as score, sum(idf) as idf
+   from qt join tf using (term) join idf using (field, term) group by query_id, id, field, doc_len, avg_len, n_terms having count(*) = n_terms),
+ ph as (select query_id, id, field, list_sum(list_transform(lists, lambda l: len(list_filter(range(0, len(l)), lambda i: l[i + 1 : i + len(q.words)] = q.words)))) as hits, wm, wp
+   from w join d using (id, field) join q using (query_id))
+select query_id, id, round(sum(score * wm + wp * idf * hits * 2.2 / (hits + 1.2 * (0.25 + 0.75 * doc_len / avg_len))), 4) as score from w join ph using (query_id, id, field) group by 1, 2""")
+def score_array_fields(t):
+    """Scores over arrays of texts: words of a whole field, phrases of one text."""
+    found = ST.scores(_line_table(t), _asked(t, "the of", "src3 en", "und die"), ["lines", "at.names"])
+    return found.select("query_id", "id", F.round("score", 4).alias("score"))
+
+
+@query("match_names_in_array", f"""
+with {_LINES} select id, max(case when contains(l, ' the of ') then 3 else 1 end) as score from (select id, unnest(lines) as l from ls) where contains(l, ' the ') and contains(l, ' of ') group by 1""")
+def match_names_array(t):
+    return S.match_name(_lined(t), ["lines"], "The of").select("id", "score")
+
+
+@query("search_array_field", "select 0 as query_id, doc_id as id from documents where source = 'src7' and lang = 'en'")
+def search_array_field(t):
+    return ST.match_all(_line_table(t), _asked(t, "SRC7 en"), ["at.names"])
+
+
+@query("autocomplete_array", f"""
+with {_LINES} select id, n_chars from ls where len(list_filter(lines, lambda l: contains({_FOLD.format('l')}, ' of th'))) > 0 order by n_chars desc, id limit 10""")
+def autocomplete_array(t):
+    df = _lined(t).withColumn("name", F.lit("none"))
+    return S.autocomplete(df, "of th", ["lines"], "id", "name", "n_chars").select("id", "n_chars")
+
+
+@query("affiliation_search_array", f"""
+with {_LINES} select id from ls where len(list_filter(lines, lambda l: contains(l, ' the ') and contains(l, ' with '))) > 0 and n_chars between 100 and 5000""")
+def affiliation_array(t):
+    df = _lined(t)
+    return S.affiliation_search(df, "lines", "With the", F.lit(True), F.lit(True), P.between(leaf(df, "n_chars"), 100, 5000)).select("id")
+
+
 @query("citation_boosts", """
 select doc_id, round(n_chars * case when coalesce(c, 0) = 0 then 0.5 else 1 + sqrt(c) end, 4) as by_sqrt, round(n_chars * case when coalesce(c, 0) <= 1 then 0.5 else 1 + ln(c) end, 4) as by_log
 from (select doc_id, n_chars, nullif(n_chars % 100, 6) as c from documents)""")

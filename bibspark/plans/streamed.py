@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from bibspark.plans.registry import query
 from bibspark.session import scratch
 from bibspark.streaming import streams
+from bibspark.streaming.state import KeyedState
 
 
 def event_stream(t, files: int = 6, per_batch: int = 2):
@@ -33,15 +34,16 @@ _LATEST = "select user_id, arg_max(event_id, (ts, event_id)) as event_id, arg_ma
 def stream_upsert(t):
     out, mark = _paths(t, "latest", "mark")
     streams.stream_upsert(event_stream(t), "user_id", "ts", out, mark, ["event_id"])
-    return streams.read_latest(t.spark, out, "user_id", "ts", ["event_id"]).select("user_id", "event_id", "event_type")
+    return streams.read_latest(t.spark, out).select("user_id", "event_id", "event_type")
 
 
 @query("stream_upsert_compacted", _LATEST)
 def stream_upsert_compacted(t):
-    out, mark, target = _paths(t, "latest", "mark", "compact")
-    streams.stream_upsert(event_stream(t), "user_id", "ts", out, mark, ["event_id"])
-    streams.compact(t.spark, out, target, "user_id", "ts", ["event_id"])
-    return t.spark.read.parquet(target).select("user_id", "event_id", "event_type")
+    """The stored rows themselves: each key once, without a reduction on reading."""
+    out, mark = _paths(t, "latest", "mark")
+    streams.stream_upsert(event_stream(t, 6, 1), "user_id", "ts", out, mark, ["event_id"], buckets=4)
+    state = KeyedState(t.spark, out, "user_id", 4)
+    return state.rows(state.manifest()).select("user_id", "event_id", "event_type")
 
 
 @query("stream_cube", """
@@ -52,7 +54,7 @@ def stream_cube(t):
     rows = event_stream(t).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     keys = ["event_type", "day"]
     streams.stream_cube(rows, "user_id", "ts", keys, {"id_sum": F.col("event_id")}, state, cells, mark, ["event_id"])
-    return streams.read_cube(t.spark, cells, keys)
+    return streams.read_cube(t.spark, cells)
 
 
 @query("stream_version_guard", _LATEST)
@@ -62,4 +64,4 @@ def stream_version_guard(t):
     twice.withColumn("ts", F.col("ts").cast("timestamp")).repartition(6, "event_type").write.parquet(path)
     stream = streams.read_files(t.spark, path, t.spark.read.parquet(path).schema, "parquet", 2)
     streams.version_guard(stream, "user_id", "ts", out, mark, ["event_id"])
-    return streams.read_latest(t.spark, out, "user_id", "ts", ["event_id"]).select("user_id", "event_id", "event_type")
+    return streams.read_latest(t.spark, out).select("user_id", "event_id", "event_type")

@@ -89,6 +89,22 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _files(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written folder, wherever it lies; nothing happens where there is none."""
+    at, files = _files(spark, path)
+    files.delete(at, True)
+
+
 def local_frame(spark: SparkSession, **columns: pa.Array) -> DataFrame:
     """A short list from the caller as a frame. It goes in through Arrow as a local relation, whose size
     the optimizer knows, so it can decide on a broadcast before anything is shuffled."""

@@ -2,17 +2,10 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _numbered(df: DataFrame) -> DataFrame:
-    """Rows numbered by count, most first, then key. Rows of one count are numbered by themselves, and start
-    behind all with a higher count, so no task meets the whole list."""
-    above = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy("count").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))).drop("n")
-    inside = F.row_number().over(Window.partitionBy("count").orderBy("key"))
-    return df.join(sizes, "count").withColumn("row", (F.col("before") + inside).cast("int")).drop("before")
+from bibspark.operators.paging import numbered
 
 
 def export_groups(groups: dict[str, DataFrame], n: int | None = None) -> DataFrame:
@@ -20,8 +13,8 @@ def export_groups(groups: dict[str, DataFrame], n: int | None = None) -> DataFra
     the first ``n`` of each."""
     blocks = []
     for name, df in groups.items():
-        ranked = _numbered(df if n is None else df.orderBy(F.desc("count"), "key").limit(n))
-        blocks.append(ranked.select("row", F.col("key").alias(f"{name}_name"), F.col("count").alias(f"{name}_count"), F.lit("").alias(f"{name}_blank")))
+        ranked = numbered(df if n is None else df.orderBy(F.desc("count"), "key").limit(n), ["-count", "key"])
+        blocks.append(ranked.select(F.col("row").cast("int").alias("row"), F.col("key").alias(f"{name}_name"), F.col("count").alias(f"{name}_count"), F.lit("").alias(f"{name}_blank")))
     return reduce(lambda a, b: a.join(b, "row", "full_outer"), blocks)
 
 

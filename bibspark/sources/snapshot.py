@@ -1,11 +1,9 @@
 """Snapshot folders: ``root/<entity>/updated_date=YYYY-MM-DD/part*.gz`` of JSON Lines."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LEDGER = "path string, loaded_at timestamp"
-
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.gz") -> DataFrame:
     """(entity, path, length) of every data file under a root; only file names are read."""
@@ -60,32 +58,23 @@ def land(lines: DataFrame, id_path: str = "$.id", col: str = "value") -> tuple[D
     return rows.where("kind = 'good'").select("id", "raw"), rows.where("kind = 'reject'").select("line")
 
 
-def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    return files.join(ledger, "path", "left_anti")
-
-
-def load_new(spark: SparkSession, root: str, ledger_path: str, out: str, id_path: str = "$.id", pattern: str = "*.gz") -> int:
-    """Load the files that the ledger does not name, then add them to it; returns their number. The
-    rows go to one folder per load, good and rejected apart, so a load that died is simply written again."""
-    if _exists(spark, ledger_path):
-        done = spark.read.schema(LEDGER).parquet(ledger_path)
-    else:
-        done = spark.createDataFrame([], LEDGER)
-    # file names only; the lines stay on the executors
-    fresh = sorted(r.path for r in new_files(list_files(spark, root, pattern), done).select("path").collect())
-    if not fresh:
-        return 0
-    load = done.select("loaded_at").distinct().count()
-    land_all(read_lines(spark, fresh), id_path).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/load={load}")
-    rows = spark.createDataFrame([(p,) for p in fresh], "path string").select("path", F.current_timestamp().alias("loaded_at"))
-    rows.coalesce(1).write.mode("append").parquet(ledger_path)
-    return len(fresh)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def load_new(spark: SparkSession, root: str, ledger: str, out: str, id_path: str = "$.id", pattern: str = "*.gz", tasks: int | None = None) -> int:
+    """Land the lines of files that no earlier load read; returns their number. A file stream reads each file once, and its checkpoint, the
+    folder ``ledger``, names those that it has read, so no list of files is kept here. A gzip file is one task only while it is
+    read: ``tasks`` spreads its lines for the work after it. The rows go to one folder per load, good and rejected apart, so a
+    load that died is written again."""
+    lines = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    counted = []
+
+    def each(df: DataFrame, load: int) -> None:
+        seen = Observation()
+        rows = df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism).observe(seen, F.count(F.lit(1)).alias("n"))
+        land_all(rows, id_path).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/load={load}")
+        counted.append(seen.get["n"])
+
+    query = lines.writeStream.foreachBatch(each).option("checkpointLocation", ledger).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(counted)
 
 
 def profile(df: DataFrame, col: str) -> DataFrame:

@@ -1,16 +1,15 @@
 """Incremental jobs.
 
-A state table is a folder of batches, ``batch=N``. Each micro-batch writes only its own folder, already
-reduced by key, and a replayed batch overwrites it, so a lost executor or a restart changes nothing.
-Readers reduce over the batches; ``compact`` folds them into one.
+Rows that are only added go to a folder per micro-batch, ``batch=N``, which a replay overwrites. Rows that replace others, or add up,
+are keyed state (see ``state``): a batch works on the buckets it touches. Either way a lost executor or a restart changes nothing.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bibspark.operators.groups import merge_cubes
 from bibspark.operators.upkeep import flatten, latest_by
+from bibspark.streaming.state import BUCKETS, KeyedState
 
 
 def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -36,58 +35,45 @@ def stream_flatten(stream: DataFrame, mapping: dict, out: str, checkpoint: str)
     return _run(stream, lambda df, n: flatten(df, mapping).write.mode("overwrite").parquet(_batch(out, n)), checkpoint)
 
 
-def stream_upsert(stream: DataFrame, key, version: str, out: str, checkpoint: str, tie: list[str] = ()) -> StreamingQuery:
-    """Keep the highest version per key. A batch stores its own winners; a late, lower version loses
-    when the state is read."""
-    return _run(stream, lambda df, n: latest_by(df, key, version, tie).write.mode("overwrite").parquet(_batch(out, n)), checkpoint)
+def stream_upsert(stream: DataFrame, key, version: str, out: str, checkpoint: str, tie: list[str] = (), buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the highest version per key; a late, lower version loses when it comes. A batch reads and writes the buckets of its keys."""
+    state = KeyedState(stream.sparkSession, out, key, buckets)
+    return _run(stream, lambda df, n: state.apply(n, df, lambda rows: latest_by(rows, key, version, tie)), checkpoint)
 
 
-def read_latest(spark: SparkSession, out: str, key, version: str, tie: list[str] = ()) -> DataFrame:
-    return latest_by(spark.read.parquet(out).drop("batch"), key, version, tie)
+def read_latest(spark: SparkSession, out: str) -> DataFrame:
+    """The state as of the last whole batch: one row per key."""
+    return KeyedState(spark, out, ()).read().drop("bucket")
 
 
-def compact(spark: SparkSession, out: str, target: str, key, version: str, tie: list[str] = ()) -> str:
-    """Fold all batches of a state table into batch 0 of another folder."""
-    read_latest(spark, out, key, version, tie).write.mode("overwrite").parquet(_batch(target, 0))
-    return target
-
-
-def stream_cube(stream: DataFrame, key, version: str, keys: list[str], sums: dict, state: str, cells: str, checkpoint: str, tie: list[str] = ()) -> StreamingQuery:
+def stream_cube(stream: DataFrame, key, version: str, keys: list[str], sums: dict, state: str, cells: str, checkpoint: str, tie: list[str] = (), buckets: int = BUCKETS) -> StreamingQuery:
     """Keep a cube of the latest versions. For the keys a batch touches, the cells of the version that
     held before are taken out and those of the new one put in, so a correction moves a record from cell
-    to cell; cells stay additive."""
+    to cell. Records and cells are both keyed state."""
     spark = stream.sparkSession
+    records, cube = KeyedState(spark, state, key, buckets), KeyedState(spark, cells, keys, buckets)
     held = F.count("*").alias("doc_count")
 
-    def cube(df, sign):
-        measures = [held, *[F.sum(c).alias(n) for n, c in sums.items()]]
-        rows = df.groupBy(*keys).agg(*measures)
+    def latest(rows):
+        return latest_by(rows, key, version, tie)
+
+    def measured(df, sign):
+        rows = df.groupBy(*keys).agg(held, *[F.sum(c).alias(n) for n, c in sums.items()])
         return rows.select(*keys, *[(F.col(c) * sign).alias(c) for c in rows.columns if c not in keys])
 
+    def summed(rows):
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
+
     def each(df, n):
-        new = latest_by(df, key, version, tie)
-        new.write.mode("overwrite").parquet(_batch(state, n))
-        new = spark.read.parquet(_batch(state, n))
-        after = new
-        parts = []
-        if n > 0:
-            by = [key] if isinstance(key, str) else list(key)
-            earlier = spark.read.parquet(state).where(F.col("batch") < n).drop("batch")
-            before = latest_by(earlier.join(new.select(*by), by, "left_semi"), key, version, tie)
-            after = latest_by(before.unionByName(new), key, version, tie)
-            parts = [cube(before, -1)]
-        out = cube(after, 1)
-        for part in parts:
-            out = merge_cubes(out, part, keys)
-        out.write.mode("overwrite").parquet(_batch(cells, n))
+        new, before = records.apply(n, df, latest)
+        change = measured(new, 1) if before is None else measured(latest(before.unionByName(new)), 1).unionByName(measured(before, -1))
+        cube.apply(n, change, summed)
 
     return _run(stream, each, checkpoint)
 
 
-def read_cube(spark: SparkSession, cells: str, keys: list[str]) -> DataFrame:
-    df = spark.read.parquet(cells).drop("batch")
-    out = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in df.columns if c not in keys])
-    return out.where("doc_count <> 0")
+def read_cube(spark: SparkSession, cells: str) -> DataFrame:
+    return KeyedState(spark, cells, ()).read().drop("bucket").where("doc_count <> 0")
 
 
 def version_guard(stream: DataFrame, key, version: str, out: str, checkpoint: str, tie: list[str] = ()) -> StreamingQuery:
