@@ -1,13 +1,10 @@
 """Vector search.
 
-The exact search is one scan: each task multiplies its Arrow batches with the query block and keeps its
-own best ``k`` per query, so that only ``k`` rows per task and query are shuffled. Queries travel as a
-block of checked size; a larger set is answered block by block, each result cut through the checkpoint
-folder. Filters go on the corpus before the call and reach the scan.
+The exact search for one vector is one scan: each task multiplies its Arrow batches with it and keeps its
+own best ``k``, so that only ``k`` rows per task are shuffled. Many queries meet the corpus block by block, through the
+shuffle. Filters go on the corpus before the call and reach the scan. ``vectorindex`` stores a corpus by cells.
 """
 
-from math import ceil
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,11 +17,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from bibspark.functions.text import fold, tokens
 from bibspark.operators.paging import best_per_key, inject
-from bibspark.session import checkpointed, local_frame, ship
+from bibspark.session import ship, stored
 
 ship(__name__)
 
 BLOCK = 1024
+SIDES = 4
 ROWS = 4096
 # fixed values: similarity of injected matches when the vector search finds none, and their number
 NO_RESULT_SCORE, INJECTED, SHORT_WORDS = 0.55, 20, 3
@@ -83,39 +81,49 @@ def _scanner(query_ids: list, query_type: pa.DataType, block: np.ndarray, k: int
     return scan
 
 
-def knn_join(
-    corpus: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 10, min_sim: float | None = None, unit: bool = False, block: int = BLOCK
-) -> DataFrame:
+def knn_join(corpus: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 10, min_sim: float | None = None, unit: bool = False, blocks: int | None = None,
+             sides: int = SIDES) -> DataFrame:
     """For each row of ``queries(query_id, vector)`` its ``k`` nearest records by cosine: (query_id, id,
     similarity, rank). ``unit`` puts similarity and threshold on the scale 0 to 1. Exact; equal
-    similarities go by id."""
-    rows = corpus.select(key, vector)
+    similarities go by id. Records are dealt into ``blocks`` (as many as shuffle partitions), queries into ``sides``, and each pair of a block
+    and a side meets in one task, which keeps the best ``k`` per query: one job, in which the corpus is read once."""
+    blocks = blocks or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = corpus.select(own(key, blocks).alias("__block"), every(sides).alias("__side"), F.col(key).alias("__id"), F.col(vector).alias("__vector"))
+    right = queries.where("vector is not null").select(every(blocks).alias("__block"), own("query_id", sides).alias("__side"), "query_id", F.col("vector").cast("array<double>").alias("vector"))
+    id_type, query_type = (to_arrow_type(f.dataType) for f in (corpus.schema[key], queries.schema["query_id"]))
+    out = pa.schema([("query_id", query_type), ("id", id_type), ("similarity", pa.float64())])
+
+    def run(records: pa.Table, asked: pa.Table) -> pa.Table:
+        found = []
+        rows = records.select(["__id", "__vector"])
+        for start in range(0, asked.num_rows if rows.num_rows else 0, BLOCK):
+            part = asked.slice(start, BLOCK).select(["query_id", "vector"])
+            ids, vectors = part.column("query_id").to_pylist(), part.column("vector").to_pylist()
+            # queries of one length together
+            for dim in sorted({len(v) for v in vectors}):
+                picked = [i for i, v in enumerate(vectors) if len(v) == dim]
+                matrix = np.array([vectors[i] for i in picked], dtype=np.float64).reshape(len(picked), dim)
+                size = np.linalg.norm(matrix, axis=1)
+                keep = np.isfinite(size) & (size > 0)
+                if keep.any():
+                    scan = _scanner([ids[i] for i, ok in zip(picked, keep, strict=True) if ok], query_type, matrix[keep] / size[keep, None], k, min_sim, unit)
+                    found.extend(scan(rows.to_batches()))
+        return pa.Table.from_batches([b.cast(out) for b in found], out)
+
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema[key].dataType.simpleString()}, similarity double"
-    number = queries.count()
-    blocks = max(1, ceil(number / block))
-    out = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        got = part.where("vector is not null").collect()
-        if not got:
-            continue
-        matrix = np.array([r["vector"] for r in got], dtype=np.float64)
-        size = np.linalg.norm(matrix, axis=1)
-        keep = size > 0
-        ids = [r["query_id"] for r, ok in zip(got, keep, strict=True) if ok]
-        scan = _scanner(ids, to_arrow_type(queries.schema["query_id"].dataType), matrix[keep] / size[keep, None], k, min_sim, unit)
-        found = best_per_key(rows.mapInArrow(scan, schema), "query_id", ["-similarity", "id"], k, "rank")
-        if blocks > 1:
-            found = checkpointed(found)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else corpus.sparkSession.createDataFrame([], schema + ", rank int")
+    met = left.groupBy("__block", "__side").cogroup(right.groupBy("__block", "__side")).applyInArrow(run, schema)
+    return best_per_key(met, "query_id", ["-similarity", "id"], k, "rank")
 
 
 def knn(corpus: DataFrame, key: str, vector: str, query: list[float], k: int = 10, min_sim: float | None = 0.5, unit: bool = False) -> DataFrame:
-    """Nearest records of one vector: (id, similarity), best first."""
-    vector_type = pa.list_(pa.float64())
-    one = local_frame(corpus.sparkSession, query_id=pa.array([0], pa.int32()), vector=pa.array([[float(x) for x in query]], vector_type))
-    return knn_join(corpus, key, vector, one, k, min_sim, unit).select("id", "similarity").orderBy(F.desc("similarity"), "id")
+    """Nearest records of one vector: (id, similarity), best first. One scan: each task keeps its own best ``k``, and only those move."""
+    at = np.asarray(query, dtype=np.float64)
+    schema = f"query_id int, id {corpus.schema[key].dataType.simpleString()}, similarity double"
+    scan = _scanner([0], pa.int32(), (at / np.linalg.norm(at))[None, :], k, min_sim, unit)
+    found = corpus.select(key, vector).mapInArrow(scan, schema)
+    return found.select("id", "similarity").orderBy(F.desc("similarity"), "id").limit(k)
 
 
 def knn_lsh(corpus: DataFrame, key: str, vector: str, query: list[float], k: int = 10, candidates: int = 75, tables: int = 4, width: float = 2.0, seed: int = 42) -> DataFrame:
@@ -136,12 +144,13 @@ def short_query_inject(found: DataFrame, titles: DataFrame, q: str, key: str, ti
     median similarity of the vector results. ``found`` is a ranked list (id, similarity)."""
     if len(q.split()) > SHORT_WORDS:
         return found
+    found = stored(found)
     # the middle of the list, best first
-    middle = found.orderBy(F.desc("similarity")).offset(found.count() // 2).limit(1).first()
-    median = middle["similarity"] if middle else NO_RESULT_SCORE
+    best_first = F.sort_array(F.collect_list("similarity"), asc=False)
+    median = F.coalesce(found.agg(F.get(best_first, F.floor(F.size(best_first) / 2).cast("int"))).scalar(), F.lit(NO_RESULT_SCORE))
     words = tokens(fold(F.lit(q)))
     hits = titles.where(F.size(F.array_except(words, tokens(fold(F.col(title))))) == 0)
-    top = hits.orderBy(F.desc_nulls_last(cited), key).limit(n).select(F.col(key).alias("id"), F.lit(float(median)).alias("similarity"))
+    top = hits.orderBy(F.desc_nulls_last(cited), key).limit(n).select(F.col(key).alias("id"), median.alias("similarity"))
     return inject(found.select("id", "similarity"), top, "id")
 
 

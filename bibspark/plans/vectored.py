@@ -1,12 +1,16 @@
 """Vector search."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from bibspark.functions import vectors as V
 from bibspark.operators import joins as J
 from bibspark.operators import predicates as P
+from bibspark.operators import vectorindex as VI
 from bibspark.operators import vectors as S
 from bibspark.plans.registry import query
+from bibspark.session import scratch, stored
 
 _COS = "list_cosine_similarity({}::double[], {}::double[])"
 _SIMS = f"sims as (select e.vec_id as id, label, {_COS.format('e.embedding', 'z.embedding')} as sim from embeddings e, (select embedding from embeddings where vec_id = 0) z)"
@@ -76,6 +80,39 @@ def knn_join_centres(t):
     return found.select("query_id", "id", F.round("similarity", 6).alias("similarity"), "rank")
 
 
+@query("knn_join_many_queries", f"""
+select query_id, id, round(sim, 6) as similarity, rank::integer as rank from (
+ select q.vec_id as query_id, e.vec_id as id, {_COS.format('e.embedding', 'q.embedding')} as sim, row_number() over (partition by q.vec_id order by {_COS.format('e.embedding', 'q.embedding')} desc, e.vec_id) as rank
+ from embeddings e, embeddings q) where rank = 2""")
+def knn_join_many(t):
+    """Every vector's nearest other one: as many queries as records, in one job."""
+    asked = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = S.knn_join(t.embeddings, "vec_id", "embedding", asked, 2)
+    return found.where("rank = 2").select("query_id", "id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@query("knn_stored_index_exact", f"with {_SIMS} select id, round(sim, 6) as similarity from sims order by sim desc, id limit 10")
+def knn_index_exact(t):
+    """Cells of a stored index, read until no other can hold a better one."""
+    index = VI.build(t.embeddings, "vec_id", "embedding", scratch(t.spark, "vectors"), cells=16)
+    return _found(VI.search(index, _first(t), 10, probes=2, exact=True))
+
+
+@query("knn_stored_index_recall", "select true as found_nine_tenths, true as read_under_half")
+def knn_index_recall(t):
+    """The nearest cells only: recall against the exact search, and the share of rows read, over twenty queries. The records are
+    documents by their words, whose vectors lie in groups; those of ``embeddings`` have none, so that no cell could hold a query's neighbours."""
+    rows = stored(S.embed(t.documents, "doc_id", "text"), "embedded")
+    index = VI.build(rows, "doc_id", "embedding", scratch(t.spark, "vectors"), cells=32)
+    some = rows.where(V.norm(F.col("embedding")) > 0).orderBy("doc_id").limit(20)
+    asked = some.collect()
+    exact = S.knn_join(rows, "doc_id", "embedding", some.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("vector")), 5)
+    parts = [VI.search(index, r["embedding"], 5, probes=6).select(F.lit(r["doc_id"]).alias("query_id"), "id") for r in asked]
+    both = exact.join(reduce(lambda a, b: a.unionByName(b), parts), ["query_id", "id"], "left_semi")
+    shares = [VI.rows_read(index, r["embedding"], 6) for r in asked]
+    return both.agg((F.count("*") >= 90).alias("found_nine_tenths")).withColumn("read_under_half", F.lit(sum(shares) / len(shares) < 0.5))
+
+
 _UNIT = "(1 + sim) / 2"
 
 
@@ -116,6 +153,14 @@ def short_query(t):
     return _found(S.short_query_inject(found, t.documents, "The of", "doc_id", "text", "n_chars"))
 
 
+@query("embed_whole_texts_bound", "select count(*) as n, true as widths_are_64, true as norms_are_1_or_0 from documents")
+def embed_bound(t):
+    """What holds for any text: one vector a record, of the model's width and of unit length, or zero where there is no word."""
+    rows = S.embed(t.documents, "doc_id", "text").select(F.size("embedding").alias("width"), V.norm(F.col("embedding")).alias("norm"))
+    fits = (F.abs(F.col("norm") - 1) < 1e-5) | (F.col("norm") == 0)
+    return rows.agg(F.count("*").alias("n"), F.bool_and(F.col("width") == 64).alias("widths_are_64"), F.bool_and(fits).alias("norms_are_1_or_0"))
+
+
 @query("embed_whole_texts")
 def embed_texts(t):
     return S.embed(t.documents, "doc_id", "text").select("doc_id", F.size("embedding").alias("width"), F.round(V.norm(F.col("embedding")), 4).alias("norm"))

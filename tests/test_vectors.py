@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bibspark.functions import vectors as V
+from bibspark.operators import vectorindex as VI
 from bibspark.operators import vectors as S
 
 
@@ -27,11 +28,11 @@ def brute(data, q, k):
     return sorted(range(len(sims)), key=lambda i: (-sims[i], i))[:k]
 
 
-@pytest.mark.parametrize("block", [3, 1024])
-def test_join_is_brute_force(spark, corpus, data, block):
+@pytest.mark.parametrize("blocks, sides", [(None, 4), (3, 1), (1, 2)])
+def test_join_is_brute_force(spark, corpus, data, blocks, sides):
     asked = spark.createDataFrame([(f"q{i}", [float(x) for x in data[i]]) for i in range(0, 60, 7)], "query_id string, vector array<double>")
     got = {}
-    for r in S.knn_join(corpus, "id", "v", asked, 6, block=block).collect():
+    for r in S.knn_join(corpus, "id", "v", asked, 6, blocks=blocks, sides=sides).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = r.id
     for i in range(0, 60, 7):
         assert [got[f"q{i}"][n] for n in range(1, 7)] == brute(data, data[i], 6)
@@ -51,6 +52,43 @@ def test_approximate_recall(corpus, data):
     assert len(want & got) >= 7
 
 
+def test_many_queries_in_one_job(spark, corpus, data):
+    rng = np.random.default_rng(5)
+    asked = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(5000, 8)).round(3))] + [(-1, None), (-2, [0.0] * 8), (-3, [1.0])], "query_id long, vector array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    found = S.knn_join(corpus, "id", "v", asked, 2)
+    assert not tracker.getJobIdsForGroup("planning")
+    got = {(r.query_id, r["rank"]): r.id for r in found.collect()}
+    spark.sparkContext.setJobGroup("", "")
+    assert len(got) == 10_001 and got[-3, 1] == 902
+    for r in asked.where("query_id in (0, 77, 4999)").collect():
+        assert [got[r.query_id, n] for n in (1, 2)] == brute(data, np.array(r.vector), 2)
+
+
+def test_index(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(20, 16)) * 3
+    data = (centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 16))).round(3)
+    rows = [(i, [float(x) for x in v], i % 3) for i, v in enumerate(data)] + [(9000, None, 0), (9001, [0.0] * 16, 0), (9002, [float("nan")] * 16, 0)]
+    df = spark.createDataFrame(rows, "id int, v array<double>, third int")
+    index = VI.build(df, "id", "v", str(tmp_path / "index"), cells=20)
+    assert sum(c["n"] for c in index.cells()) == 2000
+    hits = 0
+    for i in range(0, 2000, 250):
+        want = brute(data, data[i], 10)
+        got = [r.id for r in VI.search(index, data[i], 10, probes=3).collect()]
+        hits += len(set(got) & set(want))
+        assert VI.rows_read(index, data[i], 3) < 0.4
+        assert [r.id for r in VI.search(index, data[i], 10, probes=1, exact=True).collect()] == want
+    assert hits >= 0.9 * 80
+    some = VI.search(index, data[0], 5, exact=True, where="third = 1").collect()
+    only = data[np.arange(2000) % 3 == 1]
+    assert [r.id for r in some] == [3 * j + 1 for j in brute(only, data[0], 5)]
+    # more asked for than the nearest cell holds
+    assert VI.search(index, data[0], 1500, probes=1).count() == 1500
+
+
 def test_column_functions(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0])], "a array<float>, b array<float>")
     got = df.select(V.dot(F.col("a"), F.col("b")), V.norm(F.col("a")), V.cosine(F.col("a"), F.col("b"))).first()
