@@ -11,6 +11,7 @@ from bibspark.operators import trees
 from bibspark.plans.filters import _CODES, coded, continent_table
 from bibspark.plans.joined import line_orders
 from bibspark.plans.registry import TABLE_NAMES, query, with_works
+from bibspark.session import stored
 
 _N = "cast(count(*) as bigint) as count"
 
@@ -216,6 +217,20 @@ def stats_exact(t):
     return out.withColumn("sum", F.round("sum", 2))
 
 
+@query("stats_percentiles_approx_bound", "select unnest(['l_quantity', 'l_extendedprice']) as \"column\", true as p25_near, true as p50_near, true as p75_near")
+def stats_approx_bound(t):
+    """What an approximate percentile keeps: its rank, cut to a whole number, is within a hundredth of the one asked for."""
+    found = stored(G.stats(t.lineitem, ["l_quantity", "l_extendedprice"]), "stats")
+
+    def near(c, p):
+        at = found.where(F.col("column") == c).select(f"p{p}").scalar()
+        below, upto = (F.count_if(x) / F.count(c) for x in (F.col(c) < at, F.col(c) < at + 1))
+        return ((below <= p / 100 + 0.01) & (upto >= p / 100 - 0.01)).alias(f"p{p}_near")
+
+    parts = [t.lineitem.agg(F.lit(c).alias("column"), *[near(c, p) for p in (25, 50, 75)]) for c in ("l_quantity", "l_extendedprice")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("stats_percentiles_approx")
 def stats_approx(t):
     return G.stats(t.lineitem, ["l_quantity", "l_extendedprice"])
