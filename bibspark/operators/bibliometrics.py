@@ -107,7 +107,7 @@ def related_works(works: DataFrame, terms: str, recency: str, k: int = 10, key:
     ``overlap.top_overlaps``. ``hot`` only decides which lists are read out; the result is exact with any."""
     members = F.array_sort(F.array_distinct(F.array_compact(terms)))
     sets = works.select(F.col(key).alias("related_id"), F.col(recency).alias("at"), members.alias("set")).where(F.size("set") > 0)
-    sets = sets.withColumn("sid", F.md5(F.to_json("set")))
+    sets = stored(sets.withColumn("sid", F.md5(F.to_json("set"))))
     newest = stored(best_per_key(sets, "sid", ["-at", "related_id"], k + 1, "nth"))
     best = top_overlaps(newest.where("nth = 1").drop("nth"), k + 1, hot).select("sid", F.col("other"), "shared")
     # one more than k, for the record itself may be among them

@@ -34,7 +34,7 @@ def ordered_sets(sets: DataFrame) -> DataFrame:
 
 
 def _longer(run: Column, member: Column) -> Column:
-    return F.md5(F.concat_ws("\x1f", run, member.cast("string")))
+    return F.unhex(F.md5(F.concat(run, member.cast("string").cast("binary"))))
 
 
 def _lengthened(runs: DataFrame, last: Column) -> DataFrame:
@@ -65,8 +65,10 @@ def _bound(found: DataFrame, k: int) -> DataFrame:
 def top_overlaps(sets: DataFrame, k: int, hot: int = HOT) -> DataFrame:
     """(sid, other, shared, at, related_id): for every set the ``k`` best, itself included, by shared
     members, then ``at``, latest first, then ``related_id``. ``sets``: (sid, set, at, related_id), each set once."""
-    sets = stored(ordered_sets(sets))
-    start = sets.select("sid", "ordered", F.lit("").alias("run"), F.lit(0).alias("pos"))
+    # numbers in place of digests while rows move
+    named = stored(ordered_sets(sets).withColumnRenamed("sid", "name").withColumn("sid", F.monotonically_increasing_id()))
+    sets, names = named.drop("name"), named.select("sid", "name")
+    start = sets.select("sid", "ordered", F.lit(b"").alias("run"), F.lit(0).alias("pos"))
     offered = asked = _lengthened(start, F.size("ordered"))
     found, length = None, 1
     while True:
@@ -91,6 +93,8 @@ def top_overlaps(sets: DataFrame, k: int, hot: int = HOT) -> DataFrame:
         after = F.least(F.size("ordered"), F.col("last") + 1)
         asked = stored(_lengthened(asked.join(long, "run", "left_semi").withColumn("last", after), F.col("last")))
         if asked.isEmpty():
-            return found
+            other = names.select(F.col("sid").alias("other"), F.col("name").alias("other_name"))
+            found = found.join(names, "sid").join(other, "other")
+            return found.select(F.col("name").alias("sid"), F.col("other_name").alias("other"), "shared", "at", "related_id")
         wanted = asked.select("run").distinct()
         offered = _lengthened(offered.join(long, "run", "left_semi"), F.size("ordered")).join(wanted, "run", "left_semi")
