@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from bibspark.functions import text as X
 from bibspark.functions.ids import norm_catalog
 from bibspark.functions.paths import leaf
+from bibspark.operators import completion as C
 from bibspark.operators import predicates as P
 from bibspark.operators import search as S
 from bibspark.operators import searchtable as ST
@@ -362,3 +363,89 @@ def autocomplete_all(t):
 @query("autocomplete_all_short_query", "select 'N' || n_nationkey as id, n_name as display_name, cast(n_nationkey as bigint) as cited_by_count, 'nation' as entity_type from nation order by 3 desc, 1 limit 10")
 def autocomplete_short(t):
     return S.autocomplete_all(_name_frames(t), "nat", "cited_by_count", short=("nation",)).select("id", "display_name", "cited_by_count", "entity_type")
+
+
+# completion from a stored table, many queries at once
+
+
+def _completion(t, df, cols, key, name, tie):
+    return C.build(df, cols, key, name, tie, scratch(t.spark, "completion"))
+
+
+def _typed(df, text):
+    """The different texts typed, each its own query id."""
+    return df.select(text.alias("text")).distinct().withColumn("query_id", F.col("text"))
+
+
+@query("completion_stored", """
+with q as (select distinct split_part(p_name, ' ', 1) || ' ' || substr(split_part(p_name, ' ', 2), 1, 2) as query_id from part union select distinct substr(split_part(p_name, ' ', 2), 1, 3) from part),
+ h as (select query_id, p_partkey as id, p_size as tie, case when p_name = query_id then 1000 when starts_with(p_name, query_id) then 500 else 1 end as weight
+  from q join part on contains(' ' || p_name, ' ' || query_id))
+select query_id, id, tie, weight, row_number() over (partition by query_id order by weight desc, tie desc, id) as rank from h qualify rank <= 10""")
+def completion_stored(t):
+    """Every beginning of a name, and of its second word, completed from the stored table."""
+    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    asked = _typed(t.part, F.concat(first, F.lit(" "), F.substring(second, 1, 2))).unionByName(_typed(t.part, F.substring(second, 1, 3)))
+    return C.complete(_completion(t, t.part, ["p_name", "p_brand"], "p_partkey", "p_name", "p_size"), asked).drop("name")
+
+
+@query("completion_stored_long", """
+with q as (select distinct left(c_name, 17) as query_id from customer)
+select query_id, c_custkey as id, c_name as name, 500 as weight, row_number() over (partition by query_id order by c_acctbal desc, c_custkey) as rank
+from q join customer on starts_with(c_name, query_id) qualify rank <= 10""")
+def completion_stored_long(t):
+    """Queries longer than the stored prefixes."""
+    asked = _typed(t.customer, F.substring("c_name", 1, 17))
+    return C.complete(_completion(t, t.customer, ["c_name"], "c_custkey", "c_name", "c_acctbal"), asked).drop("tie")
+
+
+_NORMAL = rf"array_to_string(regexp_extract_all({_FOLD}, '[\p{{{{L}}}}\p{{{{N}}}}]+'), ' ')"
+
+
+@query("completion_stored_lines", f"""
+with ls as (select doc_id as id, n_chars as tie, list_transform(string_split(text, chr(10)), lambda l: ' ' || {_NORMAL.format('l')}) as lines from documents),
+ q as (select distinct rtrim(substr(min({_NORMAL.format("split_part(text, chr(10), 1)")}), 1, 20)) as query_id from documents where text is not null group by source)
+select query_id, id, tie, row_number() over (partition by query_id order by tie desc, id) as rank from q join ls on len(list_filter(lines, lambda l: contains(l, ' ' || query_id))) > 0 qualify rank <= 10""")
+def completion_stored_lines(t):
+    """Arrays of alternative texts: the beginning of a line of each source, within any line."""
+    first = F.substring(X.normal_phrase(F.split_part("text", F.lit("\n"), F.lit(1))), 2, 2**31 - 1)
+    lines = t.documents.where("text is not null").groupBy("source").agg(F.min(first).alias("line"))
+    table = _completion(t, _lined(t).withColumn("name", F.lit("none")), ["lines"], "id", "name", "n_chars")
+    return C.complete(table, _typed(lines, F.rtrim(F.substring("line", 1, 20)))).drop("name", "weight")
+
+
+@query("completion_stored_by_id", "select 'W100' || p_partkey as query_id, 'W100' || p_partkey as id, p_name as name from part")
+def completion_stored_by_id(t):
+    parts = t.part.select(F.concat(F.lit("W100"), "p_partkey").alias("id"), "p_name", "p_size")
+    asked = parts.select(F.col("id").alias("query_id"), F.concat(F.lit("https://example.org/works/"), F.lower("id")).alias("text"))
+    found = C.complete(_completion(t, parts, ["p_name"], "id", "p_name", "p_size"), asked, norm=norm_catalog)
+    return found.select("query_id", "id", "name")
+
+
+@query("completion_stored_all_entities", """
+with names as (select 'C' || c_custkey as id, c_name as name, c_custkey as tie, 'customer' as entity_type from customer where c_custkey <> 1499 union all
+ select 'P' || p_partkey, p_name, p_size, 'part' from part union all select 'N' || n_nationkey, n_name, n_nationkey, 'nation' from nation),
+ q as (select distinct lower(left(name, 5)) as query_id from names union select distinct lower(left(name, 8)) from names),
+ h as (select query_id, id, tie, entity_type, case when lower(name) = query_id then 1000 when starts_with(lower(name), query_id) then 500 else 1 end as weight
+  from q join names on contains(' ' || trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), rtrim(' ' || regexp_replace(query_id, '[^a-z0-9]+', ' ', 'g')))
+  where len(query_id) > 5 or entity_type = 'nation')
+select query_id, id, tie, entity_type, weight, row_number() over (partition by query_id order by weight desc, tie desc, id) as rank from h qualify rank <= 10""")
+def completion_stored_all(t):
+    """Over several entities; up to five characters only nations are looked at."""
+    frames = _name_frames(t)
+    frames["customer"] = frames["customer"].where("id <> 'C1499'")
+    tables = {e: _completion(t, df, ["display_name"], "id", "display_name", "cited_by_count") for e, df in frames.items()}
+    names = frames["part"].select("display_name").union(frames["customer"].select("display_name")).union(frames["nation"].select("display_name"))
+    asked = _typed(names, F.lower(F.substring("display_name", 1, 5))).union(_typed(names, F.lower(F.substring("display_name", 1, 8)))).distinct()
+    return C.complete_all(tables, asked, short=("nation",)).drop("name")
+
+
+@query("suggest_stored", f"""
+with {_GRAMS}, p as (select ngram as phrase, ' ' || {_FOLD.format('ngram')} as folded, cast(count(*) as bigint) as count from grams group by 1, 2),
+ q as (select distinct left({_FOLD.format('ngram')}, 6) as query_id from grams where ngram like 'th% %')
+select query_id, phrase, count, row_number() over (partition by query_id order by count desc, phrase) as rank from q join p on contains(folded, ' ' || rtrim(query_id)) qualify rank <= 10""")
+def suggest_stored(t):
+    """The most frequent phrases for each beginning of a phrase."""
+    phrases = S.phrase_counts(t.documents, "text", 2)
+    asked = _typed(phrases.where("phrase like 'th% %'"), F.substring(X.fold(F.col("phrase")), 1, 6))
+    return C.suggest(_completion(t, phrases, ["phrase"], "phrase", "phrase", "count"), asked)
