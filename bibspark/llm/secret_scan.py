@@ -2,18 +2,18 @@
 
 Three base kinds are always reported: ``assign``, ``access`` and ``hex``. Three weak kinds are looked for
 as well: ``identifier`` (a named account or key id), ``secret`` (a long mixed token) and ``endpoint`` (an
-address with a scheme). A weak candidate is reported only where its complement stands near it, within
-``REACH`` characters and in the same scope, a run of lines without a blank one:
+address with a scheme). A weak candidate is reported only where its complement stands in the same scope, a run of
+lines without a blank one, however far apart they are:
 
 * an identifier beside a secret (assign, hex or weak secret),
 * a secret beside an identifier (access or weak identifier),
 * an endpoint beside both.
 
-A weak candidate that overlaps a base span adds nothing and is dropped. Spans are found by splitting a text at
-a pattern, so their places are running sums over gaps and matches. Scopes and nearness are an interval join by
-a sweep: the parts and scope breaks of a text in order of place, with the nearest part of each role before and
-after; no pairs are made. Only parts move, never texts, and the weak patterns run only on texts that have
-both an identifier and a secret.
+A weak candidate that base spans cover wholly adds nothing and is dropped, and so is a secret inside a weak
+identifier: it is that one's value, not its complement. One that a base span overlaps in part stays. Spans are found by
+splitting a text at a pattern, so their places are running sums over gaps and matches. Parts meet their scopes in an interval
+join by a sweep over the parts and scope breaks of a text in order of place; no pairs are made. Only parts move, never texts, and
+the weak patterns run only on texts that have both an identifier and a secret.
 
 Cases. Empty table: no rows. Null text: empty, no spans. Repeated rows: the same result for each. Null doc_id:
 kept. Extra columns are ignored. Offsets are code points, ends exclusive.
@@ -36,7 +36,6 @@ ENDPOINT = r"""[a-z][a-z0-9+]{1,15}://[^\s"'<>]{3,}"""
 WEAK = {"identifier": IDENTIFIER, "secret": SECRET, "endpoint": ENDPOINT}
 BREAK = r"\n[\x20\t\r]*\n"
 KINDS = [*BASE, *WEAK]
-REACH = 400
 ASSIGN_CHARS = 6
 ROLE = {"access": "id", "identifier": "id", "assign": "key", "hex": "key", "secret": "key"}
 
@@ -82,49 +81,54 @@ def parts(docs: DataFrame) -> DataFrame:
     return each.where("good").select("doc_id", "mark", "kind", (F.col("end") - F.col("len")).alias("start"), "end", (F.col("bend") - F.col("blen")).alias("bstart"), "bend")
 
 
-def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
-    """Base parts, and those weak ones whose complement stands near in their scope."""
+def linked(found: DataFrame) -> DataFrame:
+    """Base parts, and those weak ones whose complement stands in their scope."""
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    doc = W.partitionBy("doc_id", "mark").orderBy("start", "rank", "end")
-    rows = found.withColumn("rank", rank).withColumn("scope", F.sum((F.col("kind") == "break").cast("int")).over(doc)).where("kind != 'break'")
+    text = W.partitionBy("doc_id", "mark")
+    upto = text.orderBy("start", "rank", "end")
+    before = upto.rowsBetween(W.unboundedPreceding, -1)
     role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])[F.col("kind")]
-    rows = rows.withColumn("role", role).withColumn("base", F.col("kind").isin(*BASE))
-    before = W.partitionBy("doc_id", "mark", "scope").orderBy("start", "rank", "end").rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy("doc_id", "mark", "scope").orderBy(F.desc("start"), F.desc("rank"), F.desc("end")).rowsBetween(W.unboundedPreceding, -1)
-    near = {}
-    for r in ("id", "key"):
-        mine = F.col("role") == r
-        left, right = F.max(F.when(mine, F.col("end"))).over(before), F.min(F.when(mine, F.col("start"))).over(after)
-        near[f"{r}_near"] = F.coalesce(F.col("start") - left <= reach, F.lit(False)) | F.coalesce(right - F.col("end") <= reach, F.lit(False))
-    over = F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(before) > F.col("start"), F.lit(False)) | F.coalesce(
-        F.min(F.when(F.col("base"), F.col("start"))).over(after) < F.col("end"), F.lit(False)
-    )
-    rows = rows.withColumns(near).withColumn("over", over)
+    rows = found.withColumns({"rank": rank, "role": role, "base": F.col("kind").isin(*BASE)})
+
+    def latest(which: Column) -> Column:
+        return F.coalesce(F.max(F.when(which, F.col("end"))).over(before), F.lit(-1))
+
+    # base spans that overlap or touch make a block; a weak one begins in or behind the block before it
+    rows = rows.withColumns({
+        "new": F.col("base") & (F.col("start") > latest(F.col("base"))), "named": (F.col("kind") == "secret") & (latest(F.col("kind") == "identifier") >= F.col("end")),
+        "scope": F.sum((F.col("kind") == "break").cast("int")).over(upto),
+    })
+    rows = rows.withColumn("block", F.sum(F.col("new").cast("int")).over(upto)).where("kind != 'break'")
+    end = F.max(F.when(F.col("base"), F.col("end"))).over(W.partitionBy("doc_id", "mark", "block"))
+    rows = rows.withColumn("gone", ~F.col("base") & (F.coalesce(end >= F.col("end"), F.lit(False)) | F.col("named")))
+    scope = W.partitionBy("doc_id", "mark", "scope")
+    has = {r: F.coalesce(F.max(~F.col("gone") & (F.col("role") == r)).over(scope), F.lit(False)) for r in ("id", "key")}
+    rows = rows.withColumns({f"{r}_here": c for r, c in has.items()})
     weak = (
-        ((F.col("kind") == "identifier") & F.col("key_near"))
-        | ((F.col("kind") == "secret") & F.col("id_near"))
-        | ((F.col("kind") == "endpoint") & F.col("id_near") & F.col("key_near"))
+        ((F.col("kind") == "identifier") & F.col("key_here"))
+        | ((F.col("kind") == "secret") & F.col("id_here"))
+        | ((F.col("kind") == "endpoint") & F.col("id_here") & F.col("key_here"))
     )
-    return rows.where(F.col("base") | (weak & ~F.col("over")))
+    return rows.where(F.col("base") | (weak & ~F.col("gone")))
 
 
-def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """Per document with spans: doc_id, mark (hash of its text) and spans, an array in order of start, then
     kind as listed, of (start, rank, kind, end, bstart, bend, base)."""
     spans = F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "bstart", "bend", "base")))
-    return linked(parts(docs), reach).groupBy("doc_id", "mark").agg(spans.alias("spans"))
+    return linked(parts(docs)).groupBy("doc_id", "mark").agg(spans.alias("spans"))
 
 
-def with_spans(rows: DataFrame, docs: DataFrame, reach: int = REACH) -> DataFrame:
+def with_spans(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows that have doc_id and mark, with their spans; null for none."""
-    found = scan(docs, reach).select(F.col("doc_id").alias("f_id"), F.col("mark").alias("f_mark"), "spans")
+    found = scan(docs).select(F.col("doc_id").alias("f_id"), F.col("mark").alias("f_mark"), "spans")
     return rows.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left").drop("f_id", "f_mark")
 
 
-def secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secrets(docs: DataFrame) -> DataFrame:
     """Every document: doc_id and its spans (empty array for none)."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(whole(F.col("text"))).alias("mark"))
-    return with_spans(rows, docs, reach).select("doc_id", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    return with_spans(rows, docs).select("doc_id", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 SPANS = "array<struct<start:bigint,rank:bigint,kind:string,end:bigint,bstart:bigint,bend:bigint,base:boolean>>"
@@ -135,12 +139,12 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def masked(docs: DataFrame, reach: int = REACH, mask: str = "[SECRET]") -> DataFrame:
+def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """documents with every span replaced by ``mask`` (spans that overlap or touch by one), n_chars anew.
     Texts are cut by byte places, in time linear in the text."""
     rows = documents(docs).withColumn("mark", F.xxhash64(whole(F.col("text"))))
     run = W.partitionBy("doc_id", "mark").orderBy("bstart", "bend").rowsBetween(W.unboundedPreceding, -1)
-    cover = linked(parts(docs), reach).withColumn("upto", F.coalesce(F.max("bend").over(run), F.lit(-1))).withColumn("new", (F.col("bstart") > F.col("upto")).cast("int"))
+    cover = linked(parts(docs)).withColumn("upto", F.coalesce(F.max("bend").over(run), F.lit(-1))).withColumn("new", (F.col("bstart") > F.col("upto")).cast("int"))
     blocks = cover.withColumn("block", F.sum("new").over(W.partitionBy("doc_id", "mark").orderBy("bstart", "bend").rowsBetween(W.unboundedPreceding, W.currentRow)))
     blocks = blocks.groupBy("doc_id", "mark", "block").agg(F.min("bstart").alias("a"), F.max("bend").alias("b"))
     cuts = blocks.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("cuts"))

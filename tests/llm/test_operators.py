@@ -294,7 +294,7 @@ def test_secrets(spark, some):
                 assert r[f"n_{kind}"] == sum(b.startswith(kind) for b in base)
             assert set(base) <= set(r["spans"].split(",")) | {""}
     weak = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s.split(":")[0] in secret_scan.WEAK] for r in queries.op7(made).collect()}
-    assert weak[6] == ["secret", "endpoint"] and weak[7] == weak[8] == weak[11] == [] and weak[9] == ["identifier"]
+    assert weak[6] == ["secret", "endpoint"] and weak[7] == weak[8] == [] and weak[9] == ["identifier"] and weak[11] == ["secret"]
     assert weak[10] == ["identifier", "secret"] and weak[12] == ["secret"]
 
 
@@ -307,6 +307,24 @@ def test_masked(spark):
     assert not any(brute_base(r["text"]) for r in out.values())
 
 
+def test_scopes_bound_the_links(spark):
+    """Parts of one scope meet at any distance; a weak part goes only where base spans cover it wholly."""
+    far = "w " * 3000
+    made = [
+        f"user_name=alice {far} {MIXED}", f"user_name=alice {far}\n \n{MIXED}", "jdbc:postgresql://host/db?login=alice1&password=hunter22 end", f"user_name={MIXED}",
+        f"aws_access_key_id={KEY} and password=hunter22", f"token={MIXED} {KEY}", f"user_name=alice\n{far}\nhttps://h.example/x?token=abcdef1 tail {HEX}",
+    ]
+    table = spark.createDataFrame([(i, t, None, "s", None) for i, t in enumerate(made)], ", ".join(f"{c} {t}" for c, t in DOCUMENT.items()))
+    got = {r["doc_id"]: [(k, made[r["doc_id"]][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)] for r in queries.op7(table).collect()}
+    assert got[0] == [("identifier", "user_name=alice"), ("secret", MIXED)] and got[1] == []
+    assert got[2] == [("endpoint", "postgresql://host/db?login=alice1&password=hunter22"), ("identifier", "login=alice1"), ("assign", "password=hunter22")]
+    assert got[3] == [] and got[5] == [("assign", f"token={MIXED}"), ("access", KEY)]
+    assert got[4] == [("identifier", f"access_key_id={KEY}"), ("access", KEY), ("assign", "password=hunter22")]
+    assert [k for k, _ in got[6]] == ["identifier", "endpoint", "assign", "hex"]
+    text = {r["doc_id"]: r["text"] for r in secret_scan.masked(table).collect()}
+    assert text[2] == "jdbc:[SECRET] end" and text[4] == "aws_[SECRET] and [SECRET]" and text[3] == made[3]
+
+
 def test_named_pairs(spark):
     plain, padded, url_safe, asia = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY", "aB3+" * 10 + "==", "aB3_x-" * 7, "ASIA" + "Z9" * 8
     pairs = [
