@@ -77,6 +77,14 @@ def pack(pieces: DataFrame, tokens: int = TOKENS, docs: int = TOKENS, cost: floa
     return rows.groupBy("_group").applyInPandas(run, schema)
 
 
+def packed_ids(pieces: DataFrame, tokens: int = TOKENS, **options) -> DataFrame:
+    """``pack`` for pieces with a column ``ids``. Only lengths go through the packing tasks; the ids meet their places by a key of
+    their own, since repeated documents share doc_id and piece."""
+    rows = checkpointed(pieces).withColumn("_piece", F.monotonically_increasing_id())  # stored, so both uses number alike
+    placed = pack(rows.select("_piece", "length"), tokens, **options).select("_piece", "sequence_id", "offset")
+    return rows.join(placed, "_piece").drop("_piece")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """sequence_id and ids: the pieces of a sequence put together (a sequence's size is bounded)."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))

@@ -4,6 +4,7 @@ clashing columns and no rows at all."""
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -540,7 +541,22 @@ def test_stages(spark, real, sf_dir):
         assert docs.columns == list(DOCUMENT)
         docs = spark.createDataFrame(docs.collect(), docs.schema)
     runs = tokens.Runs()
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    pieces = packed.collect()
+    # the sequences hold the ids of all texts of the stage before, each piece where its row says
+    whole = {r["sequence_id"]: r["ids"] for r in packing.sequences(spark.createDataFrame(pieces, packed.schema)).collect()}
+    texts = Counter((r["doc_id"], runs.text(r["text"]) + (1).to_bytes(4, "little")) for r in docs.collect())
+    assert max(texts.values()) > 1 and sum(map(len, whole.values())) == 4 * sum(r["length"] for r in pieces)
+    read, parts = Counter(), {}
+    for r in pieces:
+        ids = bytes(whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])])
+        assert zlib.crc32(ids) == r["ids_crc32"] and ids == bytes(r["ids"])
+        parts.setdefault((r["doc_id"], r["start"]), []).append(ids)
+    for d in {d for d, _ in parts}:  # copies of a document have equal pieces
+        own = sorted((start, ids) for (e, start), ids in parts.items() if e == d)
+        assert all(len(set(ids)) == 1 for _, ids in own)
+        read[d, b"".join(ids[0] for _, ids in own)] += len(own[0][1])
+    assert read == texts
     assert sum(r["length"] for r in pieces) == sum(len(runs.text(r["text"])) // 4 + 1 for r in docs.collect())
     assert not any(brute_base(r["text"]) for r in docs.collect())
 
