@@ -19,27 +19,33 @@ from bibspark.session import scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language. Null texts and those without a letter go; repeated rows and null ids stay."""
     small_batches(spark)
     return lang.accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; texts without words are one group."""
     small_batches(spark)
     return simhash.deduplicated(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each span in a text replaced by a mask and n_chars counted anew; null texts stay null."""
     return secret_scan.masked(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, so ids repeat; the null source is a source of its own."""
     return mixing.Mix(docs).texts()
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per piece its document, place and ids, as bytes of little-endian unsigned 32-bit numbers: ``packing.sequences`` puts the
+    sequences together. A null text is the end id alone; each copy of a document is packed."""
     small_batches(spark)
-    cut = tokens.pieces(docs, packing.TOKENS)
-    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    cut = tokens.pieces(docs, packing.TOKENS).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.packed_ids(cut)
 
 
 STAGES = [
