@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.session import checkpointed, local_frame
+from bibspark.session import checkpointed, local_frame, stored
 
 
 def entity_works(entity: DataFrame, bridge: DataFrame, works: DataFrame, entity_on: tuple[str, str], work_on: tuple[str, str]) -> DataFrame:
@@ -23,6 +23,17 @@ def left_attach(df: DataFrame, dim: DataFrame, left_key: str, right_key: str) ->
     return df.join(dim, F.col(left_key) == F.col(right_key), "left")
 
 
+def by_repetition(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key stands once, and those whose key repeats, if there are any; null is a key like others. Only keys are counted
+    for it, so rows that stand alone need not move to meet their group."""
+    counts = df.select(F.col(key).alias("__key")).groupBy("__key").agg(F.count("*").alias("__n"))
+    again = stored(counts.where("__n > 1").select("__key"), "again")
+    if again.isEmpty():
+        return df, None
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    return df.join(again, same, "left_anti"), df.join(again, same, "left_semi")
+
+
 def co_members(bridge: DataFrame, member: str, work: str, x) -> DataFrame:
     """Members that share a work with ``x``, with the number of shared works; ``x`` itself left out."""
     own = bridge.where(F.col(member) == F.lit(x)).select(work).distinct()

@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bibspark.functions.paths import leaf
+from bibspark.functions.text import by_word
+from bibspark.operators.joins import by_repetition
 
 # fixed values: columns too heavy for lists
 HEAVY = ("abstract", "abstract_inverted_index", "fulltext", "authorships_full", "embeddings", "vector_embedding", "text", "embedding", "html")
@@ -36,17 +38,32 @@ def unwrap_index(wrapped: Column) -> Column:
     return wrapped.getField("InvertedIndex")
 
 
+def _places(text: str) -> Column:
+    """(term, positions) of the words of a text."""
+    return by_word(F.transform(F.split(text, " "), lambda w, i: F.struct(w.alias("term"), i.alias("position"))))
+
+
 def word_positions(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, positions). The text is shuffled once, by record; both groupings that follow reuse
-    that partitioning."""
-    words = df.select(key, text).repartition(key).select(key, F.posexplode(F.split(text, " ")).alias("position", "word"))
-    return words.groupBy(key, "word").agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    """(key, word, positions). Words are grouped inside the record; only records that share a key meet in a shuffle."""
+
+    def in_row(rows):
+        return rows.select(key, F.explode(_places(text)).alias("w")).select(key, F.col("w.term").alias("word"), "w.positions")
+
+    once, again = by_repetition(df.select(key, text), key)
+    if again is None:
+        return in_row(once)
+    merged = in_row(again).groupBy(key, "word").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+    return in_row(once).unionByName(merged)
 
 
 def index_from_text(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, index map) for each record. A group is one record's own words."""
-    entry = F.struct("word", "positions")
-    return word_positions(df, key, text).groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("index"))
+    once, again = by_repetition(df.select(key, text).where(F.col(text).isNotNull()), key)
+    index = once.select(key, F.map_from_entries(_places(text)).alias("index"))
+    if again is None:
+        return index
+    words = again.select(key, F.explode(_places(text)).alias("w")).groupBy(key, "w.term").agg(F.array_sort(F.flatten(F.collect_list("w.positions"))).alias("positions"))
+    return index.unionByName(words.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("index")))
 
 
 def truncate_list(df: DataFrame, path: str, n: int = 100) -> DataFrame:
