@@ -248,3 +248,39 @@ def test_name_hints(spark):
     df = spark.createDataFrame(rows, "n array<string>")
     got = [r[0] for r in df.select(project.name_hint(F.col("n"))).collect()]
     assert got == ["a, b", "a, b, c", "a, b, c, et al.", "a", "authors unknown", "authors unknown"]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_words_are_grouped_inside_the_record(spark):
+    rows = [(1, "a b a"), (2, "b"), (None, "c a"), (3, None), (4, " ")]
+    once = spark.createDataFrame(rows, "id int, t string")
+    post = S.postings(once, "id", ["t"])
+    assert exchanges(post) == exchanges(project.word_positions(once, "id", "t")) == exchanges(project.index_from_text(once, "id", "t")) == 0
+    got = sorted(((r.id, r.term, r.tf, r.positions) for r in post.collect()), key=repr)
+    assert got == sorted([(1, "a", 2, [0, 2]), (1, "b", 1, [1]), (2, "b", 1, [0]), (None, "c", 1, [0]), (None, "a", 1, [1])], key=repr)
+
+
+def test_words_of_records_that_share_a_key_meet(spark, tmp_path):
+    rows = [(1, "a b a"), (1, "a b a"), (2, "b"), (None, "c"), (None, "c"), (1, None)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    want = [(1, "a", 4, [0, 0, 2, 2], 3), (1, "b", 2, [1, 1], 3), (2, "b", 1, [0], 1), (None, "c", 2, [0, 0], 1)]
+    got = [(r.id, r.term, r.tf, r.positions, r.doc_len) for r in S.postings(df, "id", ["t"]).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    kept = ST.build(df, "id", ["t"], str(tmp_path), buckets=2).part("postings").collect()
+    assert sorted([(r.id, r.term, r.tf, r.positions, r.doc_len) for r in kept if r.term], key=repr) == sorted(want, key=repr)
+    assert sorted((repr(r.id), r.tf, r.positions) for r in kept if not r.term) == [("1", 3, []), ("2", 1, []), ("None", 1, [])]
+    words = [(r.id, r.word, r.positions) for r in project.word_positions(df, "id", "t").collect()]
+    assert sorted(words, key=repr) == sorted([w[:2] + w[3:4] for w in want], key=repr)
+    index = {r.id: r["index"] for r in project.index_from_text(df, "id", "t").collect()}
+    assert index == {1: {"a": [0, 0, 2, 2], "b": [1, 1]}, 2: {"b": [0]}, None: {"c": [0, 0]}}
+
+
+def test_words_asked_for_are_broadcast(spark, table):
+    """The folders' postings are not shuffled to meet a few words, however these were found."""
+    words = ST.wildcard_words(table, ["cat*"]).select("term")
+    for found in (table.of_keys("postings", "term", words), ST.word_rows(table, ["the", "cat"]), table.of_keys("vocabulary", "term", S.query_terms(asked(spark, "the cat")))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
