@@ -95,3 +95,14 @@ def test_few_texts_open_their_folders_only(table):
     scans = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
     assert scans and all("PartitionFilters: [bucket" in x or "PartitionFilters: [isnotnull(bucket" in x for x in scans)
     assert [r["query_id"] for r in C.complete(table, ["zzz", "Customer#000000012"]).collect()] == [1]
+
+
+def test_queries_meet_only_the_names_that_begin_with_them(spark, tmp_path):
+    """Names with one beginning do not all meet the queries that share it."""
+    rows = spark.createDataFrame([(i, f"Customer#{i:09d}") for i in range(400)], "id int, name string").withColumn("n", F.lit(1))
+    table = C.build(rows, ["name"], "id", "name", "n", str(tmp_path), buckets=2)
+    asked = C._asked(rows.select(F.col("id").alias("query_id"), F.substring("name", 1, 17).alias("text")))
+    asked = asked.select("*", F.lit("any").alias("kind"), F.col("folded").alias("typed"))
+    assert C._by_heads(table, asked).count() == 4000
+    plan = C._by_heads(table, asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert "StartsWith" not in plan and "typed" in next(x for x in plan.splitlines() if "Join Inner" in x)
