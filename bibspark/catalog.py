@@ -313,10 +313,10 @@ def found_ids(df: DataFrame, entity: EntityDef, form: dict, table: searchtable.S
         post = searchtable.word_rows(table, search.tree_words(form["tree"]))
         found = search.match_tree(df.select(F.col(entity.key).alias("id")), post, form["tree"])
     elif "wildcards" in form:
-        found = searchtable.with_patterns(searchtable.add_lookups(table), list(form["wildcards"]))
+        found = searchtable.with_patterns(searchtable.add_lookups(table, "grams"), list(form["wildcards"]))
     elif "fuzzy" in form:
         word = local_frame(df.sparkSession, word=pa.array([form["fuzzy"]]))
-        found = searchtable.with_words(table, searchtable.fuzzy_words(searchtable.add_lookups(table), word, form.get("distance", 2)))
+        found = searchtable.with_words(table, searchtable.fuzzy_words(searchtable.add_lookups(table, "deletes"), word, form.get("distance", 2)))
     elif "span" in form:
         first, second, distance = form["span"]
         found = search.match_span(searchtable.word_rows(table, [*first.lower().split(), *second.lower().split()]), first, second, distance)

@@ -9,6 +9,7 @@ from bibspark.functions import text as X
 from bibspark.operators import project
 from bibspark.operators import search as S
 from bibspark.operators import searchtable as ST
+from bibspark.session import portions
 
 DOCS = [
     (1, "The cat sat on the mat", "zoo"),
@@ -284,3 +285,35 @@ def test_words_asked_for_are_broadcast(spark, table):
     for found in (table.of_keys("postings", "term", words), ST.word_rows(table, ["the", "cat"]), table.of_keys("vocabulary", "term", S.query_terms(asked(spark, "the cat")))):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_table_is_written_where_its_records_are(spark, tmp_path, monkeypatch):
+    """Postings and the keys of likenesses are sorted and written by the task that makes them, never moved by word."""
+    plans = {}
+    written = ST._written
+
+    def seen(rows, path, key, buckets):
+        plans[path.rsplit("/", 1)[1]] = rows._jdf.queryExecution().executedPlan().toString()
+        written(rows, path, key, buckets)
+
+    monkeypatch.setattr(ST, "_written", seen)
+    docs = spark.createDataFrame([(i, f"the cat {i} the mat") for i in range(50)], "id int, text string").repartition(3)
+    stored_docs = docs.write.parquet(str(tmp_path / "docs")) or spark.read.parquet(str(tmp_path / "docs"))
+    table = ST.build(stored_docs, "id", ["text"], str(tmp_path / "table"), buckets=4)
+    assert "Exchange" not in plans["postings"]
+    assert {(r.term, r.df, r.words) for r in table.part("vocabulary").where("term in ('', 'the', '7')").collect()} == {("", 50, 250), ("the", 50, 100), ("7", 1, 1)}
+    # each lookup is stored for itself, and the words alone move for it
+    ST.add_lookups(table, "grams")
+    assert "deletes" not in plans and plans["grams"].count("Exchange") == 1
+    assert {r.term for r in ST.wildcard_words(table, ["*at"], 0).collect()} == {"cat", "mat"}
+    ST.add_lookups(table, "deletes")
+    assert plans["deletes"].count("Exchange") == 1
+    assert table.part("deletes").groupBy("variant", "term").count().where("count > 1").isEmpty()
+
+
+def test_portions_by_file_size(spark, tmp_path):
+    spark.range(0, 1 << 19, 1, 1).selectExpr("id", "sha2(cast(id as string), 256) as text").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    dealt = portions(df, 1 << 20)
+    assert dealt.rdd.getNumPartitions() > 16 and dealt.count() == df.count()
+    assert portions(spark.range(10)).rdd.getNumPartitions() == spark.range(10).rdd.getNumPartitions()
