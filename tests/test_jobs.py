@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bibspark.operators import bibliometrics as B
 from bibspark.operators import joins as J
-from bibspark.operators import trees, upkeep
+from bibspark.operators import overlap, trees, upkeep
 from bibspark.session import local_frame, scratch
 from bibspark.sources import exports, snapshot
 from bibspark.streaming import streams
@@ -122,6 +122,33 @@ def test_related_with_many_terms(spark):
     assert {i: got.get(i, []) for i, *_ in works} == related_brute(works, 3)
 
 
+def test_related_by_rare_terms_compares_no_sets(spark, monkeypatch):
+    """Sets of rare members meet as numbers that are counted; only frequent members are compared."""
+    rng = random.Random(8)
+    works = [(i, [f"w{x}" for x in rng.sample(range(60), rng.randint(1, 12))], rng.choice([None, *range(1, 9)])) for i in range(90)]
+    asked = []
+    compared = overlap._compared
+
+    def seen(pairs, sets):
+        asked.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(overlap, "_compared", seen)
+    # batches of a few rows, so that a set's rows go over several
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.createDataFrame(works, "id int, terms array<string>, at int")
+        got = related_found(df, 3, 128)
+        assert sum(asked) == 0
+        assert {i: got.get(i, []) for i, *_ in works} == related_brute([(i, t, a or 0) for i, t, a in works], 3)
+        # a term of all records beside the rare ones
+        hub = [(i, [*t, "hub"], a) for i, t, a in works]
+        got = related_found(spark.createDataFrame(hub, "id int, terms array<string>, at int"), 3, 40)
+        assert {i: got.get(i, []) for i, *_ in hub} == related_brute([(i, t, a or 0) for i, t, a in hub], 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_percentiles_match_windows(spark):
     rng = random.Random(2)
     df = spark.createDataFrame([(i, "g" if i % 3 else "h", int(rng.paretovariate(1))) for i in range(300)], "id int, g string, c int")
