@@ -199,3 +199,17 @@ def test_trie(spark, talk, burst):
 def test_numbered_turns(spark, talk):
     out = trie.turns(frame(spark, talk)).groupBy("conv_id").agg(F.min("pos").alias("a"), F.max("pos").alias("b"), F.count("*").alias("n"), F.count_distinct("pos").alias("d")).collect()
     assert all(r["a"] == 1 and r["b"] == r["n"] == r["d"] for r in out)
+
+
+def test_containers_are_shuffled_whole(spark, talk, monkeypatch):
+    """The sweep reads whole containers: its shuffle is not left to joins that may become broadcasts."""
+    plans, checkpointed = [], trie.checkpointed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpointed(df)
+
+    monkeypatch.setattr(trie, "checkpointed", seen)
+    trie.nodes(trie.rebuilt(frame(spark, talk)), 200)
+    (plan,) = [p for p in plans if "MapInArrow sweep" in p]
+    assert "REPARTITION_BY_COL" in plan[: plan.index("Union")]
