@@ -317,3 +317,25 @@ def test_portions_by_file_size(spark, tmp_path):
     dealt = portions(df, 1 << 20)
     assert dealt.rdd.getNumPartitions() > 16 and dealt.count() == df.count()
     assert portions(spark.range(10)).rdd.getNumPartitions() == spark.range(10).rdd.getNumPartitions()
+
+
+def test_only_records_with_the_rarest_word_move(spark, tmp_path):
+    """Null and repeated ids included; queries of frequent words only take all records of their words."""
+    rows = [(i, f"the cat {i} on the mat", "the zoo") for i in range(60)] + [(None, "the mat 7", None), (None, "cat", None), (7, "the end", "mat")]
+    table = ST.build(spark.createDataFrame(rows, "id int, text string, place string"), "id", ["text", "place"], str(tmp_path), buckets=4)
+    rare, plain = asked(spark, "the cat 7", "mat 7", "cat 8 on", "the end", "the nowhere"), asked(spark, "the cat", "zoo the")
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (ST.matches(table, rare), ST.matches(table, plain))]
+    assert ["led_id" in p for p in plans] == [True, False]
+    found = lambda df: sorted(((r.query_id, r.id) for r in df.collect()), key=repr)
+    want = [(0, 7), (0, None), (1, 7), (1, None), (2, 8), (3, 7)]
+    assert found(ST.match_all(table, rare)) == sorted(want, key=repr)
+    # the texts of records that share an id lie over each other, as in the postings
+    assert found(ST.match_near(table, rare)) == sorted([(0, 7), (1, None), (2, 8), (3, 7)], key=repr)
+    assert found(ST.match_all(table, plain)) == sorted([(0, i) for i in [*range(60), None]] + [(1, i) for i in range(60)], key=repr)
+    scored = ST.scores(table, rare, ["text", "place"])
+    assert found(scored) == sorted(want, key=repr)
+
+
+def test_words_alone_move_where_places_do_not_count(table, spark):
+    plan = ST.match_all(table, asked(spark, "the cat"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "positions" not in "".join(line for line in plan.splitlines() if "Aggregate" in line)
