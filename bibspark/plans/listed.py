@@ -55,7 +55,7 @@ select 'span', id from d where regexp_matches(s, ' of the ([^ ]+ ){{0,9}}and ')"
 @query("list_search_forms", _FORMS)
 def list_search_forms(t):
     """Every form of a search in a list query, with a filter."""
-    df = t.documents.select(F.col("doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("cited_by_count"))
+    df = t.files("documents").select(F.col("doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("cited_by_count"))
     forms = {
         "phrase": {"phrase": "the of"}, "near": {"near": "the of", "slop": 2}, "tree": {"tree": {"and": [{"or": ["que", "of the"]}, {"not": "with"}]}},
         "wildcards": {"wildcards": ["tion*"]}, "fuzzy": {"fuzzy": "that", "distance": 1}, "span": {"span": ("of the", "and", 9)},
@@ -80,6 +80,6 @@ with d as (select doc_id as id, lang, n_chars, regexp_extract_all(lower(text), '
  r as (select id, n_chars, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / avg_len))) + 2 * sum(idf) * any_value(hits) * 2.2 / (any_value(hits) + 1.2 * (0.25 + 0.75 * any_value(len(words)) / any_value(avg_len))) as score from s group by 1, 2)
 select id, round(score * (1 + sqrt(n_chars)), 3) as score from r order by r.score * (1 + sqrt(n_chars)) desc, id limit 100""")
 def list_search(t):
-    df = t.documents.select(F.col("doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("cited_by_count"))
+    df = t.files("documents").select(F.col("doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("cited_by_count"))
     spec = Spec(filters=(("lang", "is", "en"),), search="With from", per_page=100, select=("id", "score"))
     return run(df, PAPERS, spec).withColumn("score", F.round("score", 3))

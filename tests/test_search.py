@@ -339,3 +339,20 @@ def test_only_records_with_the_rarest_word_move(spark, tmp_path):
 def test_words_alone_move_where_places_do_not_count(table, spark):
     plan = ST.match_all(table, asked(spark, "the cat"))._jdf.queryExecution().optimizedPlan().toString()
     assert "positions" not in "".join(line for line in plan.splitlines() if "Aggregate" in line)
+
+
+def test_tables_are_stored_from_their_files(spark, sf_dir, monkeypatch):
+    """No text moves before the table deals it out itself."""
+    from bibspark.operators import searchtable
+    from bibspark.plans import QUERIES, Tables
+
+    plans, build = [], searchtable.build
+
+    def seen(df, *args, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return build(df, *args, **more)
+
+    monkeypatch.setattr(searchtable, "build", seen)
+    for name in ("search_array_field", "list_search"):
+        QUERIES[name][0](Tables(spark, sf_dir))
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
