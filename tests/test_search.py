@@ -1,6 +1,9 @@
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from bibspark.functions import text as X
 from bibspark.operators import project
 from bibspark.operators import search as S
 from bibspark.operators import searchtable as ST
-from bibspark.session import portions
+from bibspark.session import portions, settings
 
 DOCS = [
     (1, "The cat sat on the mat", "zoo"),
@@ -356,3 +359,41 @@ def test_tables_are_stored_from_their_files(spark, sf_dir, monkeypatch):
     for name in ("search_array_field", "list_search"):
         QUERIES[name][0](Tables(spark, sf_dir))
     assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+
+
+SMALL_MEMORY = """
+import glob, json, os, sys
+os.environ["PYSPARK_SUBMIT_ARGS"] = "--driver-memory 1g --conf spark.memory.fraction=0.1 --conf spark.buffer.pageSize=1m --conf spark.eventLog.enabled=true --conf spark.eventLog.dir=file://{at}/events --conf spark.eventLog.compress=false --conf spark.eventLog.rolling.enabled=false pyspark-shell"
+os.makedirs("{at}/events")
+sys.path.insert(0, "{root}")
+from bibspark.operators import searchtable as ST
+from bibspark.session import local_session
+spark = local_session(1, shuffle=1, memory="1g", shared="{at}/shared")
+text = "array_join(transform(sequence(0, 399), i -> concat('w', (i * 7 + id) % 3000)), ' ') as text"
+table = ST.add_lookups(ST.build(spark.range(0, 2000, 1, 1).selectExpr("id", text), "id", ["text"], "{at}/table", buckets=4), "deletes")
+print("rows", table.part("postings").count(), table.part("postings").where("term = 'w7'").count())
+spark.stop()
+ends = [x for f in glob.glob("{at}/events/*") for x in map(json.loads, open(f)) if x["Event"] == "SparkListenerTaskEnd"]
+print("spilled", len(ends) > 0, sum(x["Task Metrics"]["Memory Bytes Spilled"] for x in ends))
+"""
+
+
+def test_postings_take_no_memory_to_be_written(tmp_path):
+    """A task's postings are several times what its memory holds; none are spilled."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = SMALL_MEMORY.format(at=tmp_path, root=root)
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    had = sum((i * 7 + n) % 3000 == 7 for n in range(2000) for i in range(400))
+    assert f"rows {2000 * 401} {had}\nspilled True 0\n" in run.stdout, run.stdout + run.stderr[-2000:]
+
+
+def test_settings_hold_for_a_block(spark, tmp_path):
+    """Storing a table leaves the session's settings as they were, also where it fails."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    ST.build(spark.createDataFrame(DOCS, "id int, text string, place string"), "id", ["text"], str(tmp_path), buckets=4)
+    assert spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), settings(spark, {key: "3", "bibspark.none": "1"}):
+        assert spark.conf.get(key) == "3"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before and spark.conf.get("bibspark.none", None) is None
