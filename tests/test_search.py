@@ -363,28 +363,37 @@ def test_tables_are_stored_from_their_files(spark, sf_dir, monkeypatch):
 
 SMALL_MEMORY = """
 import glob, json, os, sys
-os.environ["PYSPARK_SUBMIT_ARGS"] = "--driver-memory 1g --conf spark.memory.fraction=0.1 --conf spark.buffer.pageSize=1m --conf spark.eventLog.enabled=true --conf spark.eventLog.dir=file://{at}/events --conf spark.eventLog.compress=false --conf spark.eventLog.rolling.enabled=false pyspark-shell"
+os.environ["PYSPARK_SUBMIT_ARGS"] = "--driver-memory 1g --conf spark.memory.fraction={share} --conf spark.buffer.pageSize=1m --conf spark.eventLog.enabled=true --conf spark.eventLog.dir=file://{at}/events --conf spark.eventLog.compress=false --conf spark.eventLog.rolling.enabled=false pyspark-shell"
 os.makedirs("{at}/events")
 sys.path.insert(0, "{root}")
 from bibspark.operators import searchtable as ST
 from bibspark.session import local_session
 spark = local_session(1, shuffle=1, memory="1g", shared="{at}/shared")
-text = "array_join(transform(sequence(0, 399), i -> concat('w', (i * 7 + id) % 3000)), ' ') as text"
-table = ST.add_lookups(ST.build(spark.range(0, 2000, 1, 1).selectExpr("id", text), "id", ["text"], "{at}/table", buckets=4), "deletes")
-print("rows", table.part("postings").count(), table.part("postings").where("term = 'w7'").count())
+text = "array_join(transform(sequence(0, 399), i -> {word}), ' ') as text"
+table = ST.add_lookups(ST.build(spark.range(0, {n}, 1, 1).selectExpr("id", text), "id", ["text"], "{at}/table", buckets=4), "deletes")
+print("rows", table.part("postings").count(), table.part("deletes").select("term").distinct().count())
 spark.stop()
 ends = [x for f in glob.glob("{at}/events/*") for x in map(json.loads, open(f)) if x["Event"] == "SparkListenerTaskEnd"]
 print("spilled", len(ends) > 0, sum(x["Task Metrics"]["Memory Bytes Spilled"] for x in ends))
 """
 
 
+def spilled_in_small_memory(tmp_path, **given):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", SMALL_MEMORY.format(at=tmp_path, root=root, **given)], cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    return run.stdout, run.stdout + run.stderr[-2000:]
+
+
 def test_postings_take_no_memory_to_be_written(tmp_path):
     """A task's postings are several times what its memory holds; none are spilled."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    script = SMALL_MEMORY.format(at=tmp_path, root=root)
-    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=200)
-    had = sum((i * 7 + n) % 3000 == 7 for n in range(2000) for i in range(400))
-    assert f"rows {2000 * 401} {had}\nspilled True 0\n" in run.stdout, run.stdout + run.stderr[-2000:]
+    out, log = spilled_in_small_memory(tmp_path, share=0.1, n=2000, word="concat('w', (i * 7 + id) % 3000)")
+    assert f"rows {2000 * 401} 3000\nspilled True 0\n" in out, log
+
+
+def test_keys_of_words_fit_a_task(tmp_path):
+    """The keys of 160,000 different words, in two tasks, are sorted in some 250 MB."""
+    out, log = spilled_in_small_memory(tmp_path, share=0.35, n=400, word="concat('word', id * 400 + i)")
+    assert f"rows {400 * 401} 160000\nspilled True 0\n" in out, log
 
 
 def test_settings_hold_for_a_block(spark, tmp_path):
