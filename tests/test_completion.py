@@ -84,6 +84,48 @@ def test_ids_entities_and_phrases(spark, frame, tmp_path):
     assert got == [(0, "of the"), (0, "of them"), (2, "off then")]
 
 
+def test_frequent_prefixes_have_lists(spark, frame, tmp_path):
+    """The answers do not depend on which prefixes have their best records stored; no other has."""
+    table = C.build(frame, ["name", "other"], "id", "name", "n", str(tmp_path), buckets=3, often=20)
+    heads = table.heads().withColumn("long", F.explode(F.sequence(F.lit(1), F.length("at")))).where("at != ''")
+    many = heads.groupBy("kind", F.substring("at", F.lit(1), F.col("long")).alias("prefix")).count().where("count > 20").select("kind", "prefix")
+    many = {tuple(r) for r in many.collect()} | {tuple(r) for r in table.heads().where("at = ''").groupBy("kind", "at").count().where("count > 20").select("kind", "at").collect()}
+    lists = {tuple(r)[:2]: r["count"] for r in table.part("prefixes").groupBy("kind", "prefix").count().collect()}
+    assert set(lists) == many and {len(p) for _, p in many} >= set(range(C.PREFIX + 1)) and max(lists.values()) == C.BEST
+    queries = spark.createDataFrame(list(enumerate(ASKED)), "query_id int, text string")
+    got = {}
+    for r in C.complete(table, queries).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["weight"], r["tie"], r["id"]))
+    for i, q in enumerate(ASKED):
+        want = [(r["weight"], r["n"], r["id"]) for r in S.autocomplete(frame, q, ["name", "other"], "id", "name", "n").collect()]
+        assert got.get(i, []) == want, q
+
+
+def test_equal_ties_empty_names_and_one_column(spark, tmp_path):
+    """A record with many words of one beginning is one record; a name that is the key, and the text, is stored once."""
+    rows = [("", 1), ("-", 1), ("a", 1), ("a b", 1), ("A", 1), (None, 1)] + [(f"{' '.join(f'ab{j}' for j in range(70))} {i}", 1) for i in range(15)]
+    df = spark.createDataFrame(rows, "name string, n int")
+    for often in (2, 1000):
+        table = C.build(df, ["name"], "name", "name", "n", str(tmp_path / str(often)), buckets=5, often=often)
+        assert not {"name", "phrases"} & set(table.part("records").columns)
+        for q in ("", "a", "ab", "-", "ab0 ab1 ab2 a", "a b"):
+            want = [(r["name"], r["weight"]) for r in S.autocomplete(df, q, ["name"], "name", "name", "n").collect()]
+            asked = spark.createDataFrame([(0, q)], "query_id int, text string")
+            assert [(r["id"], r["weight"]) for r in C.complete(table, asked).orderBy("rank").collect()] == want, q
+
+
+def test_the_table_is_small(spark, tmp_path):
+    """No text and no list of beginnings moves or is stored: every word of a text is one narrow row."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(3000)]
+    lines = [(i, [" ".join(rng.choices(words, k=12)) for _ in range(20)], i % 50) for i in range(400)]
+    df = spark.createDataFrame(lines, "id int, lines array<string>, n int").withColumn("name", F.lit("none"))
+    table = C.build(df, ["lines"], "id", "name", "n", str(tmp_path), buckets=2)
+    text = sum(len(x) for _, xs, _ in lines for x in xs)
+    assert table.part("heads").count() < 400 * 242 and table.part("prefixes").count() < 1000
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 3 * text
+
+
 def test_empty_table(spark, tmp_path):
     table = C.build(spark.createDataFrame([], SCHEMA), ["name"], "id", "name", "n", str(tmp_path), buckets=2)
     assert C.complete(table, spark.createDataFrame([(0, "r"), (1, "ring road blue")], "query_id int, text string")).count() == 0
