@@ -126,6 +126,20 @@ def test_the_table_is_small(spark, tmp_path):
     assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 3 * text
 
 
+def test_phrases_are_stored_once(spark, tmp_path):
+    """A phrase of two words is a record of its text and its count, and three narrow rows."""
+    rng = random.Random(5)
+    pairs = {f"{''.join(rng.choices('abcdefth', k=4))} {''.join(rng.choices('abcdefth', k=rng.randint(3, 9)))}" for _ in range(4000)}
+    df = spark.createDataFrame([(p, len(p)) for p in sorted(pairs)], "phrase string, count long")
+    table = C.build(df, ["phrase"], "phrase", "phrase", "count", str(tmp_path), buckets=2)
+    assert table.part("records").columns == ["id", "tie", "rid", "bucket"] and table.part("heads").count() == 3 * len(pairs) and table.part("prefixes").count() < 1000
+    asked = [(i, p[:n]) for i, (p, n) in enumerate(zip(sorted(pairs)[::900], (3, 4, 7, 9, 5), strict=False))]
+    got = C.suggest(table, spark.createDataFrame(asked, "query_id int, text string")).orderBy("query_id", "rank").collect()
+    for i, q in asked:
+        want = [r["phrase"] for r in S.suggest(df, q).collect()]
+        assert want and [r["phrase"] for r in got if r["query_id"] == i] == want
+
+
 def test_empty_table(spark, tmp_path):
     table = C.build(spark.createDataFrame([], SCHEMA), ["name"], "id", "name", "n", str(tmp_path), buckets=2)
     assert C.complete(table, spark.createDataFrame([(0, "r"), (1, "ring road blue")], "query_id int, text string")).count() == 0
